@@ -38,7 +38,7 @@ s AS (SELECT *, ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1,
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY shuffle, doc_id NULLS FIRST, crc, size) - 1 AS k, count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total FROM s),
 p AS (SELECT *, row_number() OVER (ORDER BY (2 * k + 1)::DOUBLE / (2 * n), shuffle, doc_id NULLS FIRST, crc, size, source) - 1 AS pos FROM r)
 SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'rows' AS law, (pos * 8 // total)::INT AS shard,
-       (at - (pos * 8 // total * total + 7) // 8)::BIGINT AS slot, NULL::INT AS grown_shard, source
+       (pos - (pos * 8 // total * total + 7) // 8)::BIGINT AS slot, NULL::INT AS grown_shard, source
 FROM p"""
 
 OP10 = r"""
