@@ -92,7 +92,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     edge[0], edge[n] = w[0], w[-1]
     edge[1:n] = w[1:] != w[:-1]
     at = offsets[1:-1]
-    at = at[(at > 0) & (at < n)]
+    at = np.unique(at[(at > 0) & (at < n)])  # empty rows repeat a place
     both = at[w[at] & w[at - 1]]  # a word ends and another begins where rows meet
     cuts = np.flatnonzero(edge)
     if len(both):

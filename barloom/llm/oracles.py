@@ -28,11 +28,11 @@ SELECT conv_id, n_turns, n_copies, s AS rendered FROM full_ WHERE s NOT IN (SELE
 
 # CRC-32: the table follows from the polynomial; a text's bytes are folded over it
 OP5 = """
-WITH tab AS (SELECT list(list_reduce(list_prepend(i, range(8)), (c, k) -> CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) x(i)),
+WITH tab AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) x(i)),
 b AS (SELECT doc_id, coalesce(source, NULL) AS source, coalesce(text, '') AS text FROM documents),
 c AS (SELECT doc_id, source, strlen(text) + 1 AS size,
-             xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), h -> ('0x' || h)::BIGINT)),
-                 (c, x) -> xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS crc
+             xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT)),
+                 lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS crc
       FROM b, tab),
 s AS (SELECT *, ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS shuffle FROM c),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY shuffle, doc_id NULLS FIRST, crc, size) - 1 AS k, count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total FROM s),
