@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm._shared import text_or_empty
+from barloom.llm._words import buffers, chunks
 
 #: The pre-split pattern of byte-level BPE vocabularies, over Unicode classes, and the same over ASCII alone.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPLIT_ASCII = r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 #: Pre-split words in each of the two generations that a Python worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
+#: Bytes of text that a task encodes before it hands on the result.
+SLICE = 2 << 20
 
 
 def byte_names() -> dict[str, int]:
@@ -206,16 +209,19 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = automaton(held.value)
-        for b in batches:
-            flat, sizes, texts = [], [0], []
-            for text in b.column(1).to_pylist():
-                ids = a.encode(text or "")
-                flat.append(ids)
-                sizes.append(sizes[-1] + len(ids))
-                if decoded:
-                    texts.append(a.decode(ids.tolist()))
-            got = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column(0), got] + ([pa.array(texts, pa.string())] if decoded else []), ["id", "ids"] + ["decoded"] * decoded)
+        for whole in batches:
+            _, offsets = buffers(whole.column(1))
+            for i, j in chunks(offsets, SLICE) if len(whole.column(1)) else ():
+                b = whole.slice(i, j - i)
+                flat, sizes, texts = [], [0], []
+                for text in b.column(1):
+                    ids = a.encode(text.as_py() or "")
+                    flat.append(ids)
+                    sizes.append(sizes[-1] + len(ids))
+                    if decoded:
+                        texts.append(a.decode(ids.tolist()))
+                got = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(flat)))
+                yield pa.RecordBatch.from_arrays([b.column(0), got] + ([pa.array(texts, pa.string())] if decoded else []), ["id", "ids"] + ["decoded"] * decoded)
 
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, ids array<int>" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
