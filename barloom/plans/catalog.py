@@ -8,20 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.operators import actions, articles, cross_section, gates, membership, merge, returns, technicals
-from barloom.plans import sql
+from barloom.plans import series, sql
+from barloom.plans.registry import DIGITS, rounded
 from barloom.sources import tables
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-#: Digits to which doubles are rounded in results that two engines are to agree on.
-DIGITS = 6
-
-
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Doubles rounded, with no negative zero; a nudge takes exact halves off the border, where two engines' last bits would decide."""
-    return df.select(*[(F.round(F.col(f"`{c}`") + sql.NUDGE, digits) + 0.0).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes])
-
-
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     _queries[f.__name__] = lambda spark, sf_dir: rounded(f(spark, sf_dir))
     return f
@@ -349,8 +341,12 @@ def corpus_manifest(spark, d):  # noqa: ANN001, ANN201
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_queries)
+    return _queries | {k: v for m in MODULES for k, v in m.R.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in sql.oracle_sql(DIGITS).items() if k in _queries}
+    return {k: v for k, v in sql.oracle_sql(DIGITS).items() if k in _queries} | {k: v for m in MODULES for k, v in m.R.sql.items()}
+
+
+#: Modules with queries beside their SQL.
+MODULES = [series]

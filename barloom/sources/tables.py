@@ -25,3 +25,13 @@ def closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices of one (user, day) by source, for merges and agreement gates: event types stand for sources."""
     e = read(spark, sf_dir, "events")
     return e.groupBy((F.col("user_id") % 500).alias("ticker"), F.to_date("ts").alias("date"), F.col("event_type").alias("source")).agg(F.max_by("value", "event_id").alias("close"), F.max("event_id").alias("run"))
+
+
+#: Order priorities stand for macro series.
+SERIES = {"1-URGENT": "VIX", "2-HIGH": "VIX3M", "3-MEDIUM": "TNX", "4-NOT SPECIFIED": "IRX", "5-LOW": "GLD"}
+
+
+def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Macro series (series_id, date, value): the mean order value of a priority on a date; not every series has every date."""
+    name = F.coalesce(*[F.when(F.col("o_orderpriority") == k, F.lit(v)) for k, v in SERIES.items()])
+    return read(spark, sf_dir, "orders").groupBy(name.alias("series_id"), F.to_date("o_orderdate").alias("date")).agg((F.avg("o_totalprice") / 10000).alias("value"))
