@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.operators import actions, articles, cross_section, gates, membership, merge, returns, technicals
-from barloom.plans import series, sql
+from barloom.plans import records, series, sql
 from barloom.plans.registry import DIGITS, rounded
 from barloom.sources import tables
 
@@ -349,4 +349,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 #: Modules with queries beside their SQL.
-MODULES = [series]
+MODULES = [series, records]
