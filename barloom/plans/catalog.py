@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.operators import actions, articles, cross_section, gates, membership, merge, returns, technicals
-from barloom.plans import records, series, sql
+from barloom.plans import catalog_inputs, records, series, sql, states
 from barloom.plans.registry import DIGITS, rounded
 from barloom.sources import tables
 
@@ -182,35 +182,24 @@ def quote_sanity(spark, d):  # noqa: ANN001, ANN201
     return gates.quote_sanity(tables.bars(spark, d))
 
 
-def _splits(spark, d):  # noqa: ANN001, ANN202
-    """Two splits of each seventh ticker, on dates in its history: sizes and days follow from the ticker."""
-    t = tables.read(spark, d, "supplier").where("s_suppkey % 7 = 0").select(F.col("s_suppkey").alias("ticker"), F.explode(F.array(F.lit(1), F.lit(2))).alias("k"))
-    return t.select("ticker", F.expr("date_add(date'1994-01-01', cast(ticker % 50 * 10 + k * 400 as int))").alias("ex_date"), F.lit(1.0).alias("split_from"), (F.col("k") + F.col("ticker") % 3).cast("double").alias("split_to"))
-
-
-def _dividends(spark, d):  # noqa: ANN001, ANN202
-    t = tables.read(spark, d, "supplier").where("s_suppkey % 5 = 0").select(F.col("s_suppkey").alias("ticker"), F.explode(F.sequence(F.lit(1), F.lit(6))).alias("k"))
-    return t.select("ticker", F.expr("date_add(date'1993-01-01', cast(ticker % 30 + k * 180 as int))").alias("ex_date"), (F.col("k") * 3.0).alias("cash_amount"))
-
-
 @query
 def split_restatement(spark, d):  # noqa: ANN001, ANN201
-    return actions.restate_splits(tables.bars(spark, d), _splits(spark, d)).select("ticker", "date", "open", "close", "volume", "split_factor")
+    return actions.restate_splits(tables.bars(spark, d), catalog_inputs.splits(spark, d)).select("ticker", "date", "open", "close", "volume", "split_factor")
 
 
 @query
 def total_return(spark, d):  # noqa: ANN001, ANN201
-    return actions.total_return(tables.bars(spark, d), _dividends(spark, d)).select("ticker", "date", "close", "total_return_close")
+    return actions.total_return(tables.bars(spark, d), catalog_inputs.dividends(spark, d)).select("ticker", "date", "close", "total_return_close")
 
 
 @query
 def split_evidence(spark, d):  # noqa: ANN001, ANN201
-    return actions.orientation(_splits(spark, d), tables.bars(spark, d))
+    return actions.orientation(catalog_inputs.splits(spark, d), tables.bars(spark, d))
 
 
 @query
 def residual_jumps(spark, d):  # noqa: ANN001, ANN201
-    return actions.residual_jumps(tables.bars(spark, d), _splits(spark, d))
+    return actions.residual_jumps(tables.bars(spark, d), catalog_inputs.splits(spark, d))
 
 
 @query
@@ -220,7 +209,7 @@ def splice_guard(spark, d):  # noqa: ANN001, ANN201
 
 @query
 def action_ids(spark, d):  # noqa: ANN001, ANN201
-    s = _splits(spark, d).select(F.lit("split").alias("type"), "ticker", "ex_date", F.col("split_from").cast("int").alias("split_from"), F.col("split_to").cast("int").alias("split_to"), F.lit(None).cast("int").alias("cash_amount"))
+    s = catalog_inputs.splits(spark, d).select(F.lit("split").alias("type"), "ticker", "ex_date", F.col("split_from").cast("int").alias("split_from"), F.col("split_to").cast("int").alias("split_to"), F.lit(None).cast("int").alias("cash_amount"))
     return actions.action_id(s).select("ticker", "ex_date", "action_id")
 
 
@@ -349,4 +338,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 #: Modules with queries beside their SQL.
-MODULES = [series, records]
+MODULES = [series, records, states]
