@@ -129,14 +129,15 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int
     return docs.select("id", "node", "text").mapInArrow(run, f"id {dict(docs.dtypes)['id']}, node binary, bands array<bigint>")
 
 
-def candidates(members: DataFrame, centers: int) -> DataFrame:
-    """Pairs (a, c) of nodes to compare, for members of (node, band).
+def candidates(members: DataFrame, centers: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, c) of nodes to compare, for members of (node, band), and the members of buckets in which that leaves pairs out.
 
     Instead of all pairs of a band's bucket, each member is paired with the bucket's `centers` most
     popular members. Popularity is the sum of the sizes of a node's buckets: the text that others are edited from
     falls in with most of its copies in most bands, so it leads every bucket that it is in."""
     sizes = members.groupBy("band").count().where("count > 1")
     members = materialize(members.join(sizes, "band"), "members")
+    crowded = members.where(F.col("count") > centers + 1).select("node", "band")
     popular = members.groupBy("node").agg(F.sum("count").alias("popularity"))
     members = materialize(members.select("band", "node").join(popular, "node").select("band", F.struct("popularity", "node").alias("m")), "popular")
     left, pairs = members, None
@@ -146,7 +147,49 @@ def candidates(members: DataFrame, centers: int) -> DataFrame:
         got = left.select(F.col("m.node").alias("a"), F.col("c.node").alias("c"))
         pairs = got if pairs is None else pairs.union(got)
         left = left.select("band", "m")
-    return pairs.distinct()
+    return pairs.distinct(), crowded
+
+
+def _prefixes(docs: DataFrame, similarity: float, size: int) -> DataFrame:
+    """node, root, n (shingles in the text) and shingle, for the rarest shingles of each text of (node, root, text), so many that two texts of the given similarity have one in common."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = buffers(b.column(2))
+            for i, j in chunks(offsets):
+                s, d = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
+                order = np.lexsort((s, d))
+                s, d = s[order], d[order]
+                new = np.concatenate([[True], (s[1:] != s[:-1]) | (d[1:] != d[:-1])]) if len(s) else np.zeros(0, bool)
+                s, d = s[new], d[new]
+                n = np.bincount(d, minlength=j - i)
+                at = pa.array(d + i)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(n[d]), pa.array(s.view(np.int64))], ["node", "root", "n", "shingle"])
+
+    every = materialize(docs.select("node", "root", "text").mapInArrow(run, "node binary, root binary, n bigint, shingle bigint"), "shingled")
+    shared = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    # the order must be one for all texts, so shingles of a single text count too; they fill places and then find nobody
+    nth = F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle"))
+    ranked = every.join(shared, "shingle").withColumn("nth", nth)
+    return ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).where("df > 1").select("node", "root", "n", "shingle")
+
+
+def left_out(crowded: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Pairs (a, c) of nodes in different components that can still be similar, for the texts (node, text) of buckets whose members are not all in one component.
+
+    Similar texts share one of their rarest shingles (a prefix filter, which loses none), and neither has
+    less than `similarity` times the other's number of shingles. So what a bucket's members share widely, such as a
+    common passage, pairs nobody."""
+    rooted = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
+    open_nodes = materialize(rooted.join(split, "band", "left_semi").select("node", "root").distinct(), "open")
+    prefix = materialize(_prefixes(texts.join(open_nodes, "node"), similarity, size), "prefixes")
+    mixed = prefix.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("shingle")
+    prefix = prefix.join(mixed, "shingle", "left_semi")
+    x = prefix.select("shingle", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
+    y = prefix.select("shingle", F.col("node").alias("c"), F.col("root").alias("rc"), F.col("n").alias("nc"))
+    fits = (F.col("ra") < F.col("rc")) & (F.least("na", "nc") >= F.greatest("na", "nc") * similarity - 1e-9)
+    return x.join(y, "shingle").where(fits).select("a", "c").distinct()
 
 
 def _jaccard(a: pa.Array, b: pa.Array, size: int) -> np.ndarray:
@@ -204,7 +247,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: id, class_id (least id of its class), class_size, kept (whether it is the one that stays).
 
     Classes are the connected components of links between texts whose sets of five-word shingles have
-    a Jaccard similarity of 0.8 or more; equal texts are collapsed first and always share a class.
+    a Jaccard similarity of 0.8 or more. Of two texts that share a band all links count: those that comparison with a bucket's
+    centers leaves out are sought by their rarest shingles. Equal texts are collapsed first and always share a class.
     `weighted` takes a shingle's count as its weight in the signatures instead of 1; the check of a
     link is on sets either way. Null and empty texts are equal texts; a text with no words links to
     none but its equals, one of fewer than five words is a single shingle. Repeated rows share a class, and of rows with one id and
@@ -214,12 +258,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = materialize(signatures(rows_, bands, rows, size, weighted), "signed")
     nodes = signed.groupBy("node").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     members = signed.select("node", F.explode("bands").alias("band")).distinct()
-    pairs = materialize(candidates(members, centers), "pairs")
+    pairs, crowded = candidates(members, centers)
+    pairs = materialize(pairs, "pairs")
     least = nodes.select(F.col("node").alias("n"), "first_id")
-    wanted = pairs.select("a").union(pairs.select("c")).distinct().join(least, F.expr("a = n")).select(F.col("a").alias("w"), "first_id")
+    paired = pairs.select("a").union(pairs.select("c")).distinct()  # has every node of a crowded bucket
+    wanted = paired.join(least, F.expr("a = n")).select(F.col("a").alias("w"), "first_id")
     texts = rows_.join(wanted, (F.col("node") == F.col("w")) & F.col("id").eqNullSafe(F.col("first_id"))).select("node", "text")
     links = verified(pairs, texts, similarity, size)
     roots = components(links)
+    rest = materialize(left_out(crowded, roots, texts, similarity, size), "rest")
+    more = materialize(verified(rest, texts, similarity, size), "more")
+    if not more.isEmpty():
+        root = lambda c: more.select(c).distinct().join(roots.withColumnRenamed("node", c), c, "left").select(c, F.coalesce("root", c).alias(f"r{c}"))
+        joined = components(more.join(root("a"), "a").join(root("c"), "c").select(F.col("ra").alias("a"), F.col("rc").alias("c")))
+        joined = joined.select(F.col("node").alias("root"), F.col("root").alias("least"))
+        every = members.select("node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        roots = materialize(every.join(joined, "root", "left").select("node", F.coalesce("least", "root").alias("root")), "roots")
     classed = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first_id", "copies")
     classes = classed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
     named = materialize(classed.join(classes, "root").select("node", "class_id", "class_size"), "classes")

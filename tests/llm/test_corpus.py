@@ -107,6 +107,25 @@ def test_near_duplicates_against_all_pairs(spark):
     assert got == want
 
 
+def test_pairs_left_out_by_centers_are_found(spark):
+    rng = np.random.default_rng(5)
+    passage = " ".join(f"p{i}" for i in range(100))
+    texts = []
+    for g in range(8):  # eight pairs around one passage: within a pair similar, between pairs not
+        own = [f"g{g}w{i}" for i in range(60)]
+        for _ in range(2):
+            mine = list(own)
+            mine[int(rng.integers(60))] = f"e{rng.integers(1 << 30)}"
+            texts.append(passage + " " + " ".join(mine))
+    df = spark.createDataFrame([(bytes([i]), t) for i, t in enumerate(texts)], "node binary, text string")
+    crowded = df.selectExpr("node", "1L as band")
+    roots = spark.createDataFrame([], "node binary, root binary")
+    rest = near_dedup.left_out(crowded, roots, df, 0.8, 5)
+    assert rest.count() < 30
+    got = {(r["a"][0], r["c"][0]) for r in near_dedup.verified(rest, df, 0.8, 5).collect()}
+    assert got == {(2 * g, 2 * g + 1) for g in range(8)}
+
+
 def test_near_duplicates_odd(spark):
     got = near_dedup.near_duplicates(odd(spark)).collect()
     assert len(got) == 9 and sum(r["class_size"] == 4 for r in got) == 4
