@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.operators import actions, articles, cross_section, gates, membership, merge, returns, technicals
-from barloom.plans import catalog_inputs, records, series, sql, states, upkeep
+from barloom.plans import catalog_inputs, records, series, shapes, sql, states, upkeep
 from barloom.plans.registry import DIGITS, rounded
 from barloom.sources import tables
 
@@ -338,4 +338,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 #: Modules with queries beside their SQL.
-MODULES = [series, records, states, upkeep]
+MODULES = [series, records, states, upkeep, shapes]
