@@ -92,3 +92,26 @@ def trailing(bars: DataFrame, sessions: int) -> DataFrame:
     """The rows of the last so many sessions, for features of the newest dates that look back no further."""
     first = bars.select("date").distinct().orderBy(F.desc("date")).limit(sessions)
     return bars.join(first, "date", "left_semi")
+
+
+def mapped(holdings: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Holdings with the ticker of their identifier; those that the dimension (key, ticker) does not know are dropped."""
+    return holdings.join(dimension.where("ticker is not null").select(key, "ticker").dropDuplicates([key]), key)
+
+
+def stale(expected: DataFrame, bars: DataFrame, reference: str, days: int) -> DataFrame:
+    """Expected tickers whose newest bar is more than so many days before the reference date, or that have none (age is null)."""
+    newest = bars.groupBy("ticker").agg(F.max("date").alias("last_date"))
+    df = expected.join(newest, "ticker", "left").withColumn("age", F.datediff(F.lit(reference).cast("date"), "last_date"))
+    return df.where(F.col("age").isNull() | (F.col("age") > days)).select("ticker", "last_date", "age")
+
+
+def price_source(universe: DataFrame, macro: DataFrame) -> DataFrame:
+    """The universe's bars and the macro series in the shape of bars as one table; columns that one side lacks are null there."""
+    return universe.unionByName(macro, allowMissingColumns=True)
+
+
+def annotations(scores: DataFrame, events: DataFrame) -> DataFrame:
+    """Scores (id, score) and event flags (id, category) of articles as one long table (id, kind, name, value)."""
+    a = scores.select("id", F.lit("score").alias("kind"), F.lit("sentiment").alias("name"), F.col("score").alias("value"))
+    return a.union(events.select("id", F.lit("event"), F.col("category"), F.lit(1.0)))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import windows
 from barloom.operators import articles, documents, gates, payloads, tracking
-from barloom.plans import sql
+from barloom.plans import records, sql
 from barloom.plans.registry import Registry
 from barloom.plans.upkeep import _MACRO
 from barloom.sources import tables
@@ -108,3 +108,35 @@ def trailing_returns(spark, d):  # noqa: ANN001, ANN201
 def vendor_symbols(spark, d):  # noqa: ANN001, ANN201
     c = tables.read(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.expr("CASE c_custkey % 4 WHEN 0 THEN '^' || c_mktsegment WHEN 1 THEN c_mktsegment || '-B' WHEN 2 THEN c_mktsegment || '-BC' ELSE c_mktsegment END").alias("raw"))
     return c.select("id", "raw", payloads.vendor_symbol("raw").alias("symbol"))
+
+
+@R.query(f"WITH {_BARS} SELECT ticker::VARCHAR AS ticker, date, close, NULL::DOUBLE AS adj_close, volume FROM bars", "close adj_close volume")
+def canonical_columns(spark, d):  # noqa: ANN001, ANN201
+    return payloads.canonical(tables.bars(spark, d), [("ticker", "string"), ("date", "date"), ("close", "double"), ("adj_close", "double"), ("volume", "double")])
+
+
+@R.query("""SELECT p_brand AS ticker, count(*) AS lots, sum(l_quantity) AS shares FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_partkey % 3 > 0 GROUP BY ALL""", "shares")
+def mapped_holdings(spark, d):  # noqa: ANN001, ANN201
+    h = tables.read(spark, d, "lineitem").select(F.col("l_partkey").alias("cusip"), F.col("l_quantity").alias("shares"))
+    dim = tables.read(spark, d, "part").select(F.col("p_partkey").alias("cusip"), F.when(F.col("p_partkey") % 3 > 0, F.col("p_brand")).alias("ticker"))
+    return documents.mapped(h, dim, "cusip").groupBy("ticker").agg(F.count(F.lit(1)).alias("lots"), F.sum("shares").alias("shares"))
+
+
+@R.query(f"""WITH {_BARS}, n AS (SELECT ticker, max(date) AS last_date FROM bars WHERE ticker % 9 > 0 GROUP BY ALL)
+SELECT s_suppkey AS ticker, last_date, (DATE '2000-01-01' - last_date)::INT AS age FROM supplier LEFT JOIN n ON ticker = s_suppkey WHERE last_date IS NULL OR (DATE '2000-01-01' - last_date)::INT > 400""")
+def stale_tickers(spark, d):  # noqa: ANN001, ANN201
+    expected = tables.read(spark, d, "supplier").select(F.col("s_suppkey").alias("ticker"))
+    return documents.stale(expected, tables.bars(spark, d).where("ticker % 9 > 0"), "2000-01-01", 400)
+
+
+@R.query(f"""WITH {_BARS}, {_MACRO} SELECT ticker::VARCHAR AS ticker, date, close, volume, vwap, NULL::VARCHAR AS source FROM bars UNION ALL SELECT series_id, date, value, 0, NULL, 'macro' FROM macro""", "close volume vwap")
+def price_source(spark, d):  # noqa: ANN001, ANN201
+    b = tables.bars(spark, d).withColumn("ticker", F.col("ticker").cast("string"))
+    m = documents.as_bars(tables.macro(spark, d), "macro").withColumn("volume", F.col("volume").cast("double"))
+    return documents.price_source(b, m).select("ticker", "date", "close", "volume", "vwap", "source")
+
+
+@R.query(f"""WITH {records._SCORES} SELECT id, 'score' AS kind, 'sentiment' AS name, score AS value FROM scores UNION ALL SELECT doc_id, 'event', 'table', 1 FROM documents WHERE regexp_matches(text, '\\|') UNION ALL SELECT doc_id, 'event', 'number', 1 FROM documents WHERE regexp_matches(text, '[0-9]{{3}}')""", "value")
+def article_annotations(spark, d):  # noqa: ANN001, ANN201
+    flags = articles.event_flags(tables.read(spark, d, "documents"), "doc_id", "text", [("table", r"\|"), ("number", r"[0-9]{3}")])
+    return documents.annotations(records._scores(spark, d), flags.withColumnRenamed("doc_id", "id"))
