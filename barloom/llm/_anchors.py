@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
-from barloom.llm._words import U, prefix_hash, span_hash
+from barloom.llm._words import CHUNK, U, chunks, prefix_hash, span_hash
 
 #: Bytes of the k-gram at an anchor; a window of `length` bytes has length - GRAM + 1 of them.
 GRAM = 48
+#: Low bits of a hash that hold a position while the least one is sought.
+PLACE = 24
+
+
+def pieces(offsets: np.ndarray, length: int, limit: int = CHUNK) -> Iterator[tuple[int, int, int, int]]:
+    """Row ranges of about limit bytes each and the bytes of each; a longer row comes in pieces that overlap by length - 1 bytes, so each of its windows is in one."""
+    for i, j in chunks(offsets, limit):
+        if j - i > 1 or offsets[j] - offsets[i] <= limit:
+            yield i, j, int(offsets[i]), int(offsets[j])
+            continue
+        for at in range(int(offsets[i]), int(offsets[j]) - length + 1, limit):
+            yield i, j, at, min(at + limit + length - 1, int(offsets[j]))
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -15,7 +29,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM
 
     Equal windows have their anchors at equal offsets. Returned for each run of windows of one row with one
     anchor: key (hash of the k-gram), span (hash of all bytes of the run and its place around the anchor), row, anchor,
-    first and last window start, as positions in data."""
+    first and last window start, as positions in data. A longer text comes in pieces (see `pieces`)."""
+    if len(data) >> PLACE:
+        raise ValueError(f"{len(data)} bytes at once; positions have {PLACE} bits")
     empty = np.zeros(0, np.int64)
     n = len(data)
     if n < length:
@@ -23,7 +39,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM
     prefix = prefix_hash(data)
     at = np.arange(n - gram + 1)
     h = span_hash(prefix, at, at + gram)
-    packed = (h & ~U((1 << 24) - 1)) | at.astype(U)
+    packed = (h & ~U((1 << PLACE) - 1)) | at.astype(U)
     width = length - gram + 1
     have = 1  # least of `have` consecutive values, doubled while it fits
     low = packed
@@ -32,7 +48,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM
         have *= 2
     rest = width - have
     low = np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
-    anchor = (low & U((1 << 24) - 1)).astype(np.int64)
+    anchor = (low & U((1 << PLACE) - 1)).astype(np.int64)
     starts = np.arange(len(anchor))
     row = np.searchsorted(offsets, starts, side="right") - 1
     inside = starts + length <= offsets[row + 1]

@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm._anchors import anchors
+from barloom.llm._anchors import anchors, pieces
 from barloom.llm._shared import materialize, partitions, text_or_empty
-from barloom.llm._words import U, buffers, chunks, mix, prefix_hash, span_hash
+from barloom.llm._words import U, buffers, mix, prefix_hash, span_hash
 
 LENGTH = 200
 #: Bytes that multikey quicksort orders before blind tries take over.
@@ -25,6 +25,10 @@ SHALLOW = 16
 HOT = 128
 #: Windows that are sorted at a time.
 BLOCK = 40_000
+#: Windows of hot anchors that are hashed at a time, and bytes of a text that are.
+PART, PLACES = 1 << 20, 1 << 24
+#: Bytes of cut spans that are handed on at a time.
+CUT_BYTES = 1 << 25
 
 
 def _ranges(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,9 +93,8 @@ def _anchored(length: int):
         for b in batches:
             data, offsets = buffers(b.column(1))
             got = []
-            for i, j in chunks(offsets):
-                base = offsets[i]
-                key, span, row, a, first, stop = anchors(data[base : offsets[j]], offsets[i : j + 1] - base, length)
+            for i, j, base, end in pieces(offsets, length):
+                key, span, row, a, first, stop = anchors(data[base:end], np.clip(offsets[i : j + 1], base, end) - base, length)
                 start = (offsets[i : j + 1] - base)[row]
                 got.append((key, span, row + i, first - start, stop - start, a - start))
             key, span, row, first, stop, a = (np.concatenate([x[c] for x in got]) for c in range(6)) if got else [np.zeros(0, np.int64)] * 6
@@ -108,8 +111,18 @@ def _anchored(length: int):
     return run
 
 
+def _parts(at: np.ndarray, row: np.ndarray, first: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
+    """The spans `at` by place, in parts of about PART windows that in a row lie less than PLACES bytes apart."""
+    if not len(at):
+        return []
+    at = at[np.lexsort((first[at], row[at]))]
+    by = np.cumsum((stop - first + 1)[at].astype(np.int64)) // PART, first[at] // PLACES
+    return np.split(at, np.flatnonzero((by[0][1:] != by[0][:-1]) | (by[1][1:] > by[1][:-1])) + 1)
+
+
 def _cut(length: int):
-    """Bytes of the spans that are to be sorted; the windows of hot anchors one by one, equal ones of the batch only once."""
+    """Bytes of the spans that are to be sorted; the windows of hot anchors one by one, equal ones of a part only once."""
+    names = ["g", "node", "first", "stop", "anchor", "repeated", "cut"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -127,15 +140,16 @@ def _cut(length: int):
             c = ~hot
             put(mix(key[c].view(U)).view(np.int64), row[c], first[c], stop[c], a[c], known[c], offsets[row[c]])
             done_row, done_at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            if hot.any():
-                count = (stop - first + 1)[hot].astype(np.int64)
-                of = np.repeat(np.flatnonzero(hot), count)
+            for part in _parts(np.flatnonzero(hot), row, first, stop):
+                count = (stop - first + 1)[part].astype(np.int64)
+                of = np.repeat(part, count)
                 w = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
                 digest = np.zeros(len(of), dtype=U)
                 for r in np.unique(row[of]):
                     mine = np.flatnonzero(row[of] == r)
-                    text = data[offsets[r] : offsets[r + 1]]
-                    digest[mine] = span_hash(prefix_hash(text), w[mine], w[mine] + length)
+                    low = w[mine].min()
+                    text = data[offsets[r] + low : offsets[r] + w[mine].max() + length]
+                    digest[mine] = span_hash(prefix_hash(text), w[mine] - low, w[mine] - low + length)
                 g = mix(mix(key[of].view(U)) + (a[of] - w).astype(U)) ^ digest
                 _, lead, back, times = np.unique(g, return_index=True, return_inverse=True, return_counts=True)
                 twice = times > 1
@@ -144,19 +158,20 @@ def _cut(length: int):
                 done_at.append(w[m])
                 put(g[lead].view(np.int64), row[of][lead], w[lead], w[lead], a[of][lead], known[of][lead] | twice, offsets[row[of][lead]])
             g, rows, f, s, an, k, at, to = (np.concatenate(v) for v in out.values())
-            o = np.concatenate([[0], np.cumsum(to - at)]).astype(np.int32)
-            take = np.repeat(at - o[:-1], to - at) + np.arange(o[-1])
-            cut = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(o), pa.py_buffer(np.ascontiguousarray(data[take]))])
             node = b.column(0)
+            ends = np.cumsum(to - at)
+            x = 0
+            while x < len(at):
+                y = max(x + 1, int(np.searchsorted(ends, (ends[x - 1] if x else 0) + CUT_BYTES, side="right")))
+                o = np.concatenate([[0], np.cumsum((to - at)[x:y])]).astype(np.int32)
+                take = np.repeat(at[x:y] - o[:-1], (to - at)[x:y]) + np.arange(o[-1])
+                cut = pa.Array.from_buffers(pa.binary(), y - x, [None, pa.py_buffer(o), pa.py_buffer(np.ascontiguousarray(data[take]))])
+                cols = [pa.array(g[x:y], pa.int64()), node.take(pa.array(rows[x:y])), *(pa.array(v[x:y].astype(np.int32)) for v in (f, s, an)), pa.array(k[x:y]), cut]
+                yield pa.RecordBatch.from_arrays(cols, names)
+                x = y
             dr, da = np.concatenate(done_row), np.concatenate(done_at)
-            none = pa.nulls(len(dr), pa.binary())
-            yield pa.RecordBatch.from_arrays([
-                pa.concat_arrays([pa.array(g, pa.int64()), pa.array(np.zeros(len(dr), np.int64))]),
-                pa.concat_arrays([node.take(pa.array(rows)), node.take(pa.array(dr))]),
-                pa.array(np.concatenate([f, da]).astype(np.int32)), pa.array(np.concatenate([s, da]).astype(np.int32)),
-                pa.array(np.concatenate([an, da]).astype(np.int32)), pa.array(np.concatenate([k, np.ones(len(dr), bool)])),
-                pa.concat_arrays([cut, none]),
-            ], ["g", "node", "first", "stop", "anchor", "repeated", "cut"])
+            places = pa.array(da.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(dr), np.int64)), node.take(pa.array(dr)), places, places, places, pa.array(np.ones(len(dr), bool)), pa.nulls(len(dr), pa.binary())], names)
 
     return run
 

@@ -163,6 +163,55 @@ def test_suffix_dedup_against_all_windows(spark):
     assert suffix_dedup.remove_repeats(none(spark)).count() == 0 and suffix_dedup.remove_repeats(odd(spark)).count() == 9
 
 
+def test_suffix_dedup_far_into_a_text(spark):
+    g = np.random.default_rng(4)
+    text = g.integers(97, 123, 17_400_000).astype(np.uint8).tobytes().decode()
+    edge = 16 << 20  # the long text is cut into pieces here
+    places = [(300, 17_000_100), (260, edge - 100), (260, 17_300_000)]
+    rows = [(0, text)] + [(n + 1, f"<{n}>" + text[at : at + size] + f"<{n}!") for n, (size, at) in enumerate(places)] + [(9, text[17_350_000:17_350_199])]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    kept = text
+    for size, at in sorted(places, key=lambda p: -p[1]):
+        kept = kept[:at] + kept[at + size :]
+    assert got[0][:3] == (len(text), 820, 3) and got[0][3] == kept.encode()
+    for n, (size, _) in enumerate(places):
+        assert got[n + 1] == (size + 6, size, 1, f"<{n}><{n}!".encode())
+    assert got[9][1] == 0
+
+
+def test_hot_windows_in_parts(spark, monkeypatch):
+    g = np.random.default_rng(6)
+    draw = lambda n: g.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+    passage = draw(400)
+    rows = [(n, draw(300) + passage[: 230 + n] + draw(300)) for n in range(40)]
+    docs = spark.createDataFrame(rows, "id int, text string").selectExpr("id", "unhex(md5(text)) AS node", "text").coalesce(1)
+    nodes = {bytes(r["node"]): r["id"] for r in docs.collect()}
+
+    def covered(**o):
+        out = collections.defaultdict(set)
+        for r in suffix_dedup.repeated_ranges(docs, **o).collect():
+            out[nodes[bytes(r["node"])]] |= set(range(r["start"], r["stop"]))
+        return out
+
+    seen = collections.Counter(t[k : k + 200] for _, t in rows for k in range(len(t) - 199))
+    want = {n: {x for k in range(len(t) - 199) if seen[t[k : k + 200]] > 1 for x in range(k, k + 200)} for n, t in rows}
+    assert covered() == want and covered(hot=2) == want
+    table = docs.select("text").toArrow().column("text").combine_chunks()
+    key, _, row, a, first, stop = suffix_dedup.anchors(*suffix_dedup.buffers(table), 200)
+    start = np.concatenate([[0], np.cumsum([len(t) for _, t in rows])])[row]
+    spans = [[] for _ in rows]
+    for k, r, *p in zip(key.view(np.int64).tolist(), row.tolist(), (first - start).tolist(), (stop - start).tolist(), (a - start).tolist(), strict=True):
+        spans[r].append(dict(zip(("key", "first", "stop", "anchor", "repeated", "hot"), [k, *p, False, True], strict=True)))
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("first", pa.int32()), ("stop", pa.int32()), ("anchor", pa.int32()), ("repeated", pa.bool_()), ("hot", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes([n]) for n, _ in rows]), table, pa.array(spans, kind)], ["node", "text", "of"])
+    strings = lambda: {(r["g"], r["cut"]) for b in suffix_dedup._cut(200)(iter([batch])) for r in b.to_pylist() if r["cut"] is not None}
+    whole = strings()
+    monkeypatch.setattr(suffix_dedup, "PART", 1000)
+    monkeypatch.setattr(suffix_dedup, "PLACES", 128)
+    monkeypatch.setattr(suffix_dedup, "CUT_BYTES", 5000)
+    assert strings() == whole and len(whole) > 10_000
+
+
 def test_deep_shallow_sorts():
     g = np.random.default_rng(1)
     s = g.integers(97, 99, (400, 24)).astype(np.uint8)
