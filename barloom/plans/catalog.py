@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from barloom.operators import actions, articles, cross_section, gates, membership, merge, returns, technicals
 from barloom.plans import catalog_inputs, records, series, shapes, sql, states, upkeep
-from barloom.plans.registry import DIGITS, rounded
+from barloom.plans.registry import DIGITS, merged, rounded
 from barloom.sources import tables
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    if f.__name__ in _queries:
+        raise ValueError(f"registered twice: {f.__name__}")
     _queries[f.__name__] = lambda spark, sf_dir: rounded(f(spark, sf_dir))
     return f
 
@@ -330,11 +332,11 @@ def corpus_manifest(spark, d):  # noqa: ANN001, ANN201
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _queries | {k: v for m in MODULES for k, v in m.R.queries.items()}
+    return merged(_queries, *(m.R.queries for m in MODULES))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in sql.oracle_sql(DIGITS).items() if k in _queries} | {k: v for m in MODULES for k, v in m.R.sql.items()}
+    return merged({k: v for k, v in sql.oracle_sql(DIGITS).items() if k in _queries}, *(m.R.sql for m in MODULES))
 
 
 #: Modules with queries beside their SQL.

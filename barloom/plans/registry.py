@@ -18,6 +18,16 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*[(F.round(F.col(f"`{c}`") + NUDGE, digits) + 0.0).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
+def merged(*parts: dict) -> dict:
+    """All entries of the parts; a name may stand in only one."""
+    out: dict = {}
+    for part in parts:
+        if twice := out.keys() & part.keys():
+            raise ValueError(f"registered twice: {', '.join(sorted(twice))}")
+        out |= part
+    return out
+
+
 class Registry:
     """Queries and SQL by name."""
 
@@ -30,6 +40,8 @@ class Registry:
         fields = ", ".join(f"round({c} + {NUDGE!r}::DOUBLE, {DIGITS}) + 0.0 AS {c}" for c in doubles.split())
 
         def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+            if f.__name__ in self.queries:
+                raise ValueError(f"registered twice: {f.__name__}")
             self.queries[f.__name__] = lambda spark, sf_dir: rounded(f(spark, sf_dir))
             if text:
                 self.sql[f.__name__] = f"SELECT * REPLACE ({fields}) FROM ({text})" if fields else text

@@ -31,7 +31,7 @@ alt AS (SELECT ticker, coalesce(CASE WHEN k % 3 > 0 AND k % 2 = 0 THEN value END
 
 
 @R.query(f"WITH {_ALT} SELECT * FROM alt", "surprise_pct days_since_earnings eps_revision_4w put_call_ratio iv_rank atm_iv")
-def alternative_features(spark, d):  # noqa: ANN001, ANN201
+def alternative_payloads(spark, d):  # noqa: ANN001, ANN201
     return documents.alternative_features(_payloads(spark, d))
 
 
