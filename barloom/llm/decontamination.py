@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm._shared import partitions, text_or_empty
+from barloom.llm._shared import materialize, text_or_empty
 from barloom.llm._words import U, buffers, chunks, grams, words
 
 #: Words of a window that counts as shared, and words of a fingerprint's k-gram.
@@ -164,7 +164,9 @@ def fingerprints(rows: DataFrame, short: list[int], window: int, gram: int) -> D
 
 def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame:
     """The way for item tables of any size: fingerprints meet in a join, then the texts of the pairs that met."""
-    items = items.where("text is not null")
+    # an item is known by its row, since ids may be null or repeat; the written table keeps the rows' numbers
+    items = materialize(items.where("text is not null").withColumnRenamed("item", "name").withColumn("item", F.monotonically_increasing_id()), "items")
+    texts = docs.select("row", "text").dropDuplicates(["row"])  # a repeated row gets its hits in the last join
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,7 +177,7 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
     short = sorted(r["n"] for r in counts.collect())  # at most window - 1 numbers
     own = fingerprints(items.select(F.col("item").alias("key"), "text"), short, window, gram).select(F.col("key").alias("item"), "print")
     met = fingerprints(docs.select(F.col("row").alias("key"), "text"), short, window, gram).join(own, "print").select(F.col("key").alias("row"), "item").distinct()
-    pairs = met.join(items, "item").select("row", "item", F.col("text").alias("item_text")).join(docs.select("row", "text"), "row")
+    pairs = met.join(items, "item").select("row", "name", F.col("text").alias("item_text")).join(texts, "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -190,7 +192,7 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
                     spans.append(at)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(names, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int64())))], ["row", "item", "spans"])
 
-    found = pairs.select("row", "item", "item_text", "text").mapInArrow(run, f"row {dict(docs.dtypes)['row']}, item string, spans array<array<bigint>>")
+    found = pairs.select("row", "name", "item_text", "text").mapInArrow(run, f"row {dict(docs.dtypes)['row']}, item string, spans array<array<bigint>>")
     per = found.groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

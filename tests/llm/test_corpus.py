@@ -254,6 +254,21 @@ def test_decontamination(spark, limit):
     assert decontamination.clean(odd(spark), items).columns == odd(spark).columns
 
 
+@pytest.mark.parametrize("limit", [-1, 1 << 20])
+def test_decontamination_null_items_and_repeated_rows(spark, limit):
+    long = "one two three four five six seven eight nine ten eleven"
+    items = spark.createDataFrame([(None, long), ("i1", "short item"), ("i1", "other words"), ("i2", "short item"), (None, "alone")], "item_id string, text string")
+    rows = [(1, f"zero {long} end")] * 3 + [(1, "alone"), (2, "a short item"), (2, "a short item"), (2, "other words, short item"), (None, "alone"), (None, "alone"), (3, "clean"), (3, "clean"), (4, None), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontamination.decontaminate(docs, items, broadcast_bytes=limit).collect()), key=repr)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = [(1, 13, 11, 1, sha(""), True)] * 3 + [(1, 1, 1, 1, sha(""), True)] + [(2, 3, 2, 2, sha("i1,i2"), True)] * 2 + [(2, 4, 4, 3, sha("i1,i1,i2"), True)]
+    want += [(None, 1, 1, 1, sha(""), True)] * 2 + [(3, 1, 0, 0, sha(""), False)] * 2 + [(4, 0, 0, 0, sha(""), False)] * 2
+    assert got == sorted(want, key=repr)
+    assert sorted(r["doc_id"] for r in decontamination.clean(docs, items, broadcast_bytes=limit).collect()) == [3, 3, 4, 4]
+    assert decontamination.decontaminate(odd(spark), items.limit(0), broadcast_bytes=limit).where("contaminated").count() == 0
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "assistant", "b"), (3, 0, "user", "a"), (3, 1, "assistant", "b"), (4, 0, "user", "c"), (5, 0, None, None), (None, 0, "user", "n"), (6, 0, "user", "a"), (6, 1, "assistant", "x")]
     got = {r["conv_id"]: (r["n_turns"], r["n_copies"]) for r in chat.format_chats(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()}
