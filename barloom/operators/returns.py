@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from barloom.operators.merge import sessions
 
 HORIZONS = (1, 3, 5, 10, 21)
+#: All horizons of the survey's row R1.
+ALL_HORIZONS = (1, 3, 5, 10, 15, 21, 30, 60, 90)
 
 
 def forward_returns(bars: DataFrame, market: DataFrame, horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
@@ -54,13 +56,16 @@ def market_beta(bars: DataFrame, market: DataFrame) -> DataFrame:
     return df.groupBy("ticker").agg(F.count("r").alias("n"), (F.covar_pop("r", "m") / F.var_pop(F.when(F.col("r").isNotNull(), F.col("m")))).alias("beta"), (total("close") - total("spy")).alias("excess_return"))
 
 
-def period_returns(bars: DataFrame, years: tuple[int, ...] = (1, 3, 5)) -> DataFrame:
-    """Per ticker the return from the first close on or after the start of each period, where its history covers that start."""
+def period_returns(bars: DataFrame, years: tuple[int, ...] = (1, 3, 5), year_to_date: bool = False) -> DataFrame:
+    """Per ticker the return from the first close on or after the start of each period, where its history covers that start.
+
+    The year to date begins on the first of January of the newest bar's year."""
     span = Window.partitionBy("ticker")
     df = bars.withColumns({"end": F.max("date").over(span), "begin": F.min("date").over(span)})
+    starts = {f"{y}y": F.add_months("end", -12 * y) for y in years} | ({"ytd": F.trunc("end", "year")} if year_to_date else {})
     aggs = [F.max_by("close", "date").alias("last")]
-    for y in years:
-        start = F.add_months("end", -12 * y)
-        aggs.append(F.min_by(F.when((F.col("date") >= start) & (F.col("begin") <= start), F.col("close")), F.when((F.col("date") >= start) & (F.col("begin") <= start), F.col("date"))).alias(f"c{y}"))
+    for n, start in starts.items():
+        inside = (F.col("date") >= start) & (F.col("begin") <= start)
+        aggs.append(F.min_by(F.when(inside, F.col("close")), F.when(inside, F.col("date"))).alias(f"c{n}"))
     g = df.groupBy("ticker").agg(*aggs)
-    return g.select("ticker", *[(F.col("last") / F.col(f"c{y}") - 1).alias(f"return_{y}y") for y in years])
+    return g.select("ticker", *[(F.col("last") / F.col(f"c{n}") - 1).alias(f"return_{n}") for n in starts])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.operators import macro, payloads, technicals
+from barloom.operators import macro, payloads, returns, technicals, tracking
 from barloom.plans import sql
 from barloom.plans.registry import Registry
 from barloom.sources import tables
@@ -168,3 +168,27 @@ def insider_activity(spark, d):  # noqa: ANN001, ANN201
 @R.query("""SELECT user_id, CASE WHEN event_type IN ('click', 'view') THEN event_type ELSE 'unknown' END AS provenance, count(*) AS n FROM events GROUP BY ALL""")
 def provenance(spark, d):  # noqa: ANN001, ANN201
     return tables.read(spark, d, "events").groupBy("user_id", payloads.closed_set("event_type", ["click", "view"]).alias("provenance")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_ALL_FWD = f"""WITH {_BARS}, {_MARKET}, {sql._CAL}, p AS (SELECT ticker, date, close, session FROM bars JOIN cal USING (date)), mk AS (SELECT session, spy FROM market JOIN cal USING (date)),
+f AS (SELECT a.ticker, a.date, h AS horizon, a.close AS c0, b.close AS c1, m0.spy AS m0, m1.spy AS m1 FROM p a CROSS JOIN unnest([1, 3, 5, 10, 15, 21, 30, 60, 90]) u(h) JOIN p b ON b.ticker = a.ticker AND b.session = a.session + h
+ LEFT JOIN mk m0 ON m0.session = a.session LEFT JOIN mk m1 ON m1.session = a.session + h)"""
+
+
+@R.query(f"{_ALL_FWD} SELECT ticker, date, horizon, c1 / c0 - 1 AS ret, ln(c1 / c0) AS log_ret, m1 / m0 - 1 AS spy_ret, ln(m1 / m0) AS log_spy, c1 / c0 - 1 > m1 / m0 - 1 AS beat_spy FROM f", "ret log_ret spy_ret log_spy")
+def forward_returns_all_horizons(spark, d):  # noqa: ANN001, ANN201
+    return returns.forward_returns(tables.bars(spark, d), tables.benchmark(spark, d), returns.ALL_HORIZONS)
+
+
+@R.query(f"{_ALL_FWD} SELECT ticker, date, horizon, c0 AS entry, floor(c0 * (1 + (c1 / c0 - 1)) * 100.0::DOUBLE + 0.5) / 100.0::DOUBLE AS exit FROM f WHERE horizon IN (5, 10, 21, 30)", "entry exit")
+def exit_prices_all_horizons(spark, d):  # noqa: ANN001, ANN201
+    b = tables.bars(spark, d)
+    return tracking.exit_prices(b.select("ticker", "date", F.col("close").alias("entry")), returns.forward_returns(b, tables.benchmark(spark, d), (5, 10, 21, 30)))
+
+
+@R.query(f"""WITH {_BARS}, s AS (SELECT ticker, min(date) AS b, max(date) AS e, arg_max(close, date) AS l FROM bars GROUP BY ALL),
+w AS (SELECT ticker, b, l, unnest([1, 3, 5, 10, 0]) AS y, unnest([e - to_years(1), e - to_years(3), e - to_years(5), e - to_years(10), date_trunc('year', e)]) AS start FROM s),
+p AS (SELECT ticker, y, any_value(l) / arg_min(close, date) - 1 AS r FROM w JOIN bars USING (ticker) WHERE b <= start AND date >= start GROUP BY ALL)
+SELECT ticker, {', '.join(f"max(r) FILTER (y = {y}) AS return_{f'{y}y' if y else 'ytd'}" for y in (1, 3, 5, 10, 0))} FROM s LEFT JOIN p USING (ticker) GROUP BY ALL""", "return_1y return_3y return_5y return_10y return_ytd")
+def period_returns_all(spark, d):  # noqa: ANN001, ANN201
+    return returns.period_returns(tables.bars(spark, d), (1, 3, 5, 10), year_to_date=True)

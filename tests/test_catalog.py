@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from barloom.operators import returns
 from barloom.plans import catalog, registry, series, shapes
 
 SF = "/root/testdata/sf0.001"
@@ -27,15 +28,30 @@ def test_a_name_is_registered_once():
         registry.merged({"a": 1}, {"b": 2}, {"a": 3})
 
 
-@pytest.mark.parametrize("name", ["alternative_features", "alternative_payloads"])
-def test_both_equal_their_sql(spark, name):
+@pytest.mark.parametrize("name", ["alternative_features", "alternative_payloads", "forward_returns_all_horizons", "exit_prices_all_horizons", "period_returns_all"])
+def test_equal_their_sql(spark, name):
     con = duckdb.connect()
     for t in ("events", "lineitem", "orders", "part", "supplier", "customer"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     rel = con.sql(catalog.oracle_sql()[name])
     got = catalog.queries()[name](spark, SF)
     assert sorted(rel.columns) == sorted(got.columns)
-    rows = lambda it: sorted(([None if x is None else round(x, 6) for x in r] for r in it), key=repr)
+    rows = lambda it: sorted(([round(x, 6) if isinstance(x, float) else x for x in r] for r in it), key=repr)
     cols = sorted(rel.columns)
     want = rows(rel.project(", ".join(cols)).fetchall())
     assert rows(tuple(r) for r in got.select(*cols).collect()) == want and want
+
+
+def test_all_horizons_have_rows(spark):
+    got = catalog.queries()["forward_returns_all_horizons"](spark, SF).groupBy("horizon").count().collect()
+    assert {r["horizon"] for r in got if r["count"]} == {1, 3, 5, 10, 15, 21, 30, 60, 90}
+    exits = catalog.queries()["exit_prices_all_horizons"](spark, SF)
+    assert {r["horizon"] for r in exits.select("horizon").distinct().collect()} == {5, 10, 21, 30} and exits.where("ticker % 3 > 0").count() > 0
+
+
+def test_long_periods_and_the_year_to_date(spark):
+    rows = [("A", f"{y}-{m:02d}-15", 100.0 + 12 * (y - 2000) + m) for y in range(2000, 2012) for m in range(1, 13)] + [("B", "2011-03-01", 10.0), ("B", "2011-12-15", 12.0)]
+    b = spark.createDataFrame(rows, "ticker string, date string, close double").selectExpr("ticker", "date(date) AS date", "close")
+    got = {r["ticker"]: r for r in returns.period_returns(b, (1, 10), year_to_date=True).collect()}
+    assert got["A"]["return_10y"] == pytest.approx(244 / 124 - 1) and got["A"]["return_ytd"] == pytest.approx(244 / 233 - 1) and got["A"]["return_1y"] == pytest.approx(244 / 232 - 1)
+    assert got["B"]["return_10y"] is None and got["B"]["return_ytd"] is None
