@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from barloom.llm import bpe, chat, decontamination, exact_dedup, near_dedup, quality, sharding, suffix_dedup, toxicity, warc
 from barloom.llm._ship import ship
 
-#: Bytes of payload in a shard of the WARC query: small enough that the test tables fill many files.
-WARC_SHARD = 16 << 20
-
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
@@ -30,7 +27,7 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = warc.archive(_read(spark, sf_dir, "pages"), shard_bytes=WARC_SHARD)
+    back = warc.archive(_read(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
