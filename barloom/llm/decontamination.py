@@ -6,7 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm._shared import materialize, text_or_empty
@@ -125,13 +127,23 @@ def _scan(items: Items, text: pa.Array) -> list[pa.Array]:
             hit, found = items.marks(h[first[d] : first[d + 1]])
             n_words.append(int(first[d + 1] - first[d]))
             n_hit.append(int(hit.sum()))
-            n_items.append(len(found))
-            digest.append(_digest([items.ids[x] for x in found]) if found else none)
+            names = {items.ids[x] for x in found}
+            n_items.append(len(names))
+            digest.append(_digest(list(names)) if names else none)
     return [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest, pa.string())]
 
 
-def _broadcast(docs: DataFrame, items: list, window: int, gram: int) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast(([r["item"] for r in items], [r["text"] for r in items]))
+def _fits(items: DataFrame, limit: int) -> bool:
+    return (items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0) <= limit
+
+
+def _sent(docs: DataFrame, items: DataFrame) -> Broadcast:
+    rows = items.collect()  # of the size that _fits allows
+    return docs.sparkSession.sparkContext.broadcast(([r["item"] for r in rows], [r["text"] for r in rows]))
+
+
+def _broadcast(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame:
+    held = _sent(docs, items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Items(*held.value, window, gram)
@@ -142,42 +154,53 @@ def _broadcast(docs: DataFrame, items: list, window: int, gram: int) -> DataFram
 
 
 def fingerprints(rows: DataFrame, short: list[int], window: int, gram: int) -> DataFrame:
-    """(key, kind) rows for `rows` of (key, text): winnowed fingerprints, and the n-grams of each length in `short`."""
+    """(key, print, windows) rows for `rows` of (key, text): each winnowed fingerprint with the hashes of the windows around it, and the n-grams of each length in `short`, each its own window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = buffers(b.column(1))
             for i, j in chunks(offsets, 1 << 18):
                 h, _, _, first = words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                rows_, prints = [], []
+                rows_, prints, windows, sizes = [], [], [], []
                 for d in range(j - i):
                     own = h[first[d] : first[d + 1]]
-                    g = grams(own, gram)
-                    got = [g[winnow(g, window - gram + 1)]] + [grams(own, n) + U(n) for n in short]
-                    got = np.unique(np.concatenate(got))
-                    prints.append(got)
-                    rows_.append(np.full(len(got), i + d))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(rows_))), pa.array(np.concatenate(prints).view(np.int64))], ["key", "print"])
-
-    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, print bigint")
+                    g, whole = grams(own, gram), grams(own, window)
+                    at = winnow(g, window - gram + 1)
+                    lo, hi = np.maximum(at - (window - gram), 0), np.minimum(at, len(whole) - 1)
+                    size = hi - lo + 1
+                    near = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+                    parts = [np.unique(grams(own, n)) + U(n) for n in short]
+                    prints += [g[at], *parts]
+                    windows += [whole[near], *parts]
+                    sizes += [size, *(np.ones(len(x), np.int64) for x in parts)]
+                    rows_.append(np.full(len(at) + sum(map(len, parts)), i + d))
+                lists = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), pa.int32())
+                found = pa.ListArray.from_arrays(lists, pa.array(np.concatenate(windows).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(rows_))), pa.array(np.concatenate(prints).view(np.int64)), found], ["key", "print", "windows"])
+
+    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, print bigint, windows array<bigint>")
 
 
 def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame:
-    """The way for item tables of any size: fingerprints meet in a join, then the texts of the pairs that met."""
-    # an item is known by its row, since ids may be null or repeat; the written table keeps the rows' numbers
+    """The way for item tables of any size: fingerprints meet in a join, what met is told apart by its windows, and the texts of the pairs that are left are compared.
+
+    A text is known by its digest, so copies are looked at once; an item by its row, since ids may be null or repeat."""
     items = materialize(items.where("text is not null").withColumnRenamed("item", "name").withColumn("item", F.monotonically_increasing_id()), "items")
-    texts = docs.select("row", "text").dropDuplicates(["row"])  # a repeated row gets its hits in the last join
+    docs = docs.withColumn("node", F.unhex(F.md5("text")))
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = np.diff(words(*buffers(b.column(0)))[3])
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], ["n"])
+            n = np.diff(words(*buffers(b.column(b.num_columns - 1)))[3])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], [*b.schema.names[:-1], "n"])
 
     counts = items.select("text").mapInArrow(lengths, "n bigint").where(f"n > 0 and n < {window}").distinct()
     short = sorted(r["n"] for r in counts.collect())  # at most window - 1 numbers
-    own = fingerprints(items.select(F.col("item").alias("key"), "text"), short, window, gram).select(F.col("key").alias("item"), "print")
-    met = fingerprints(docs.select(F.col("row").alias("key"), "text"), short, window, gram).join(own, "print").select(F.col("key").alias("row"), "item").distinct()
-    pairs = met.join(items, "item").select("row", "name", F.col("text").alias("item_text")).join(texts, "row")
+    own = materialize(fingerprints(items.select(F.col("item").alias("key"), "text"), short, window, gram), "prints")
+    met = fingerprints(docs.select(F.col("node").alias("key"), "text"), short, window, gram).join(own.select("print").distinct(), "print", "left_semi")
+    met = met.select(F.col("key").alias("node"), F.explode("windows").alias("w")).distinct()
+    met = materialize(met.join(own.select(F.col("key").alias("item"), F.explode("windows").alias("w")).distinct(), "w").select("node", "item").distinct(), "met")
+    texts = docs.select("node", "text").join(met.select("node").distinct(), "node", "left_semi").distinct()
+    pairs = met.join(items, "item").select("node", "name", F.col("text").alias("item_text")).join(texts, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -190,26 +213,21 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
                     rows.append(n)
                     names.append("" if item is None else str(item))
                     spans.append(at)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(names, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int64())))], ["row", "item", "spans"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(names, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int64())))], ["node", "item", "spans"])
 
-    found = pairs.select("row", "name", "item_text", "text").mapInArrow(run, f"row {dict(docs.dtypes)['row']}, item string, spans array<array<bigint>>")
-    per = found.groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
+    found = pairs.select("node", "name", "item_text", "text").mapInArrow(run, "node binary, item string, spans array<array<bigint>>")
+    per = found.groupBy("node").agg(F.array_sort(F.collect_set("item")).alias("items"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = np.diff(words(*buffers(b.column(1)))[3])
-            hit = []
-            for spans in b.column(2).to_pylist():
-                end, sum_ = 0, 0
-                for a, z in sorted(spans or []):
-                    sum_ += max(0, z - max(a, end))
-                    end = max(end, z)
-                hit.append(sum_)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(hit, pa.int64()), b.column(3), b.column(4)], ["id", "n_words", "n_hit", "n_items", "items_sha256"])
+    def hits(spans: Column) -> Column:
+        """Words in the union of ranges that are in order: each adds what lies beyond the furthest end before it."""
+        start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end"))
+        step = lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0).cast("bigint"), x[1] - F.greatest(x[0], a["end"]))).alias("n"), F.greatest(a["end"], x[1]).alias("end"))
+        return F.aggregate(spans, start, step, lambda a: a["n"])
 
-    out = docs.join(per, "row", "left").select("id", "text", "spans", F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"), F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"))
-    out = out.withColumn("n_items", F.greatest("n_items", F.lit(0).cast("bigint")))
-    return out.mapInArrow(total, f"id {dict(docs.dtypes)['id']}, {_OUT}")
+    per = per.select("node", hits(F.col("spans")).alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), F.array_join("items", ",").alias("names"))
+    counted = docs.select("id", "node", "text").mapInArrow(lengths, f"id {dict(docs.dtypes)['id']}, node binary, n bigint")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+    return counted.join(per, "node", "left").select("id", F.col("n").alias("n_words"), zero("n_hit"), zero("n_items"), F.sha2(F.coalesce("names", F.lit("")), 256).alias("items_sha256"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, gram: int = GRAM, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -221,20 +239,36 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     Items of fewer words than a window have one fingerprint of their whole length. If the items' texts
     have at most broadcast_bytes, they are sent to the tasks and no document is shuffled; beyond that fingerprints meet in a join.
 
-    Null and empty texts have no words; items without words match nothing. Repeated rows each get a
-    row; items with the same id count once each. Null ids are kept; a null item id counts as the empty string. Empty tables give no hits or no rows; other columns are not read."""
+    Null and empty texts have no words; items without words match nothing; very long texts are taken whole. Repeated rows each get a
+    row; items with the same id count as one, and a null item id as the empty string; both ways agree in this. Null ids are kept. Empty tables give
+    no hits or no rows; other columns, whatever their names, are not read."""
     own = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
-    bytes_ = own.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    if bytes_ <= broadcast_bytes:
-        out = _broadcast(rows, own.collect(), window, gram)
+    if _fits(own, broadcast_bytes):
+        out = _broadcast(rows, own, window, gram)
     else:
-        keyed = rows.withColumn("row", F.struct("id", F.xxhash64("text").alias("h")))
-        out = _joined(keyed, own, window, gram)
+        out = _joined(rows, own, window, gram)
     return out.withColumnRenamed("id", id_col).withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs without a hit, with all their columns."""
-    bad = decontaminate(docs, items, id_col, text_col, **options).where("contaminated").select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, gram: int = GRAM, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of docs whose text has no hit, with all their columns.
+
+    Whether a row goes depends on its text alone, so rows with one id, or none, stay or go each by its own text, and rows
+    that repeat stay or go together; null and empty texts stay. Up to broadcast_bytes of items the rows are filtered in place; beyond that
+    the digests of texts with hits are joined against them."""
+    own = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
+    if not _fits(own, broadcast_bytes):
+        node = F.unhex(F.md5(text_or_empty(text_col)))
+        hits = decontaminate(docs.select(node.alias("_node"), F.col(text_col).alias("_text")), items, "_node", "_text", item_col, item_text_col, window, gram, broadcast_bytes)
+        bad = hits.where("contaminated").select("_node").distinct()
+        named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), node.alias("_node"))
+        return named.join(bad, "_node", "left_anti").select("_row.*")
+    held, at = _sent(docs, own), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Items(*held.value, window, gram)
+        for b in batches:
+            yield b.filter(pc.equal(_scan(known, b.column(at))[1], 0))
+
+    return docs.mapInArrow(run, docs.schema)
