@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm._shared import materialize, text_or_empty
@@ -14,6 +14,8 @@ from barloom.llm._words import U, buffers, chunks, grams, mix, words
 
 #: Words in a shingle, similarity from which two texts are linked, bands and rows of the signature.
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 20, 5
+#: Ratio of the sizes in a cell in which shingles meet.
+CELL = 1.1
 _STEP = U(0x9E3779B97F4A7C15)
 #: Distribution function of the number of darts in a region of unit area.
 _POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1.0, n + 1)) for n in range(18)])
@@ -129,80 +131,85 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int
     return docs.select("id", "node", "text").mapInArrow(run, f"id {dict(docs.dtypes)['id']}, node binary, bands array<bigint>")
 
 
-def candidates(members: DataFrame, centers: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, c) of nodes to compare, for members of (node, band), and the members of buckets in which that leaves pairs out.
+def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, c) to compare first, for members of (node, band), and the members of shared buckets.
 
-    Instead of all pairs of a band's bucket, each member is paired with the bucket's `centers` most
-    popular members. Popularity is the sum of the sizes of a node's buckets: the text that others are edited from
-    falls in with most of its copies in most bands, so it leads every bucket that it is in."""
-    sizes = members.groupBy("band").count().where("count > 1")
-    members = materialize(members.join(sizes, "band"), "members")
-    crowded = members.where(F.col("count") > centers + 1).select("node", "band")
-    popular = members.groupBy("node").agg(F.sum("count").alias("popularity"))
-    members = materialize(members.select("band", "node").join(popular, "node").select("band", F.struct("popularity", "node").alias("m")), "popular")
-    left, pairs = members, None
-    for _ in range(centers):
-        top = left.groupBy("band").agg(F.max("m").alias("c"))
-        left = left.join(top, "band").where("m < c").select("band", "m", "c")
-        got = left.select(F.col("m.node").alias("a"), F.col("c.node").alias("c"))
-        pairs = got if pairs is None else pairs.union(got)
-        left = left.select("band", "m")
-    return pairs.distinct(), crowded
+    A bucket is led by its most popular member, popularity being the sum of the sizes of a node's buckets: the text that
+    others are edited from falls in with most of its copies in most bands. Each node is paired with the most popular
+    leader of its buckets, so there is a pair a node at most; `left_out` finds what that leaves unlinked."""
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = materialize(members.join(sizes, "band"), "members")
+    popular = shared.groupBy("node").agg(F.sum("size").alias("popularity"))
+    ranked = shared.select("node", "band").join(popular, "node").select("band", F.struct("popularity", "node").alias("m"))
+    leaders = ranked.groupBy("band").agg(F.max("m").alias("c"))
+    best = shared.select("node", "band").join(leaders, "band").where("c.node != node").groupBy("node").agg(F.max("c").alias("c"))
+    return best.select(F.col("node").alias("a"), F.col("c.node").alias("c")), shared.select("node", "band")
 
 
 def _prefixes(docs: DataFrame, similarity: float, size: int) -> DataFrame:
-    """node, root, n (shingles in the text) and shingle, for the rarest shingles of each text of (node, root, text), so many that two texts of the given similarity have one in common."""
+    """node, root, n (shingles in the text), nth and shingle: for each text of (node, root, text) those of its rarest shingles that texts of other roots have, too.
+
+    Two texts of the given similarity share one of their n - ceil(similarity n) + 1 rarest shingles; nth is a shingle's place in
+    that order, which is one for all texts: by the number of texts that have it, then by its value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = buffers(b.column(2))
             for i, j in chunks(offsets):
-                s, d = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
-                order = np.lexsort((s, d))
-                s, d = s[order], d[order]
-                new = np.concatenate([[True], (s[1:] != s[:-1]) | (d[1:] != d[:-1])]) if len(s) else np.zeros(0, bool)
-                s, d = s[new], d[new]
+                s, d = _distinct(*shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size))
                 n = np.bincount(d, minlength=j - i)
                 at = pa.array(d + i)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(n[d]), pa.array(s.view(np.int64))], ["node", "root", "n", "shingle"])
 
     every = materialize(docs.select("node", "root", "text").mapInArrow(run, "node binary, root binary, n bigint, shingle bigint"), "shingled")
-    shared = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    # the order must be one for all texts, so shingles of a single text count too; they fill places and then find nobody
-    nth = F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle"))
-    ranked = every.join(shared, "shingle").withColumn("nth", nth)
-    return ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).where("df > 1").select("node", "root", "n", "shingle")
+    common = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("df > 1")
+    own = Window.partitionBy("node")  # the shingles of one text; those that no other text has come before all others
+    ranked = every.join(common, "shingle").withColumn("nth", F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "shingle")))
+    return ranked.where((F.col("nth") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1) & (F.col("lo") < F.col("hi"))).select("node", "root", "n", "nth", "shingle")
 
 
-def left_out(crowded: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
-    """Pairs (a, c) of nodes in different components that can still be similar, for the texts (node, text) of buckets whose members are not all in one component.
+def left_out(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Pairs (a, c) of nodes in different components that can still be similar, among all texts (node, text) of buckets whose members are not in one component.
 
-    Similar texts share one of their rarest shingles (a prefix filter, which loses none), and neither has
-    less than `similarity` times the other's number of shingles. So what a bucket's members share widely, such as a
-    common passage, pairs nobody."""
-    rooted = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    Similar texts share one of their rarest shingles (see `_prefixes`). Texts of n and m shingles need similarity (n + m) / (1 + similarity)
+    in common, and where the first shared one is at place nth of a text, no more than n - nth + 1 are: so a shingle at a
+    late place reaches partners of few sizes only. Shingles meet in cells of sizes that both can reach, and
+    in a cell the rows of its most frequent component meet only those of others. What many texts share, such as a common
+    passage or the body of a large class, thus pairs nobody, and no pair of the given similarity is lost."""
+    rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
     open_nodes = materialize(rooted.join(split, "band", "left_semi").select("node", "root").distinct(), "open")
     prefix = materialize(_prefixes(texts.join(open_nodes, "node"), similarity, size), "prefixes")
-    mixed = prefix.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("shingle")
-    prefix = prefix.join(mixed, "shingle", "left_semi")
-    x = prefix.select("shingle", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-    y = prefix.select("shingle", F.col("node").alias("c"), F.col("root").alias("rc"), F.col("n").alias("nc"))
-    fits = (F.col("ra") < F.col("rc")) & (F.least("na", "nc") >= F.greatest("na", "nc") * similarity - 1e-9)
-    return x.join(y, "shingle").where(fits).select("a", "c").distinct()
+    n = F.col("n")
+    prefix = prefix.withColumn("reach", F.floor((n - F.col("nth") + 1) * ((1 + similarity) / similarity) - n + 1e-9))
+    cell = lambda x: F.floor(F.log(x.cast("double")) / float(np.log(CELL)) + 1e-9)
+    least = F.ceil(n * similarity - 1e-9)
+    short = prefix.where("reach >= n").withColumn("s", cell(n)).withColumn("l", F.explode(F.sequence(cell(n), cell(F.least(F.floor(n / similarity + 1e-9), F.col("reach"))))))
+    long = prefix.withColumn("l", cell(n)).withColumn("s", F.explode(F.sequence(cell(least), cell(F.least(n, F.col("reach"))))))
+    row = lambda d, is_short: d.select(F.xxhash64("shingle", "s", "l").alias("key"), F.lit(is_short).alias("short"), "node", "root", "n", "reach")
+    rows = row(short, True).union(row(long, False))
+    per = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("times")).groupBy("key").agg(F.max_by("root", "times").alias("most"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    rows = materialize(rows.join(per.select("key", "most"), "key").withColumn("main", F.expr("root = most")).drop("most"), "cells")
+    x = rows.where("short").select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("reach").alias("ha"), F.col("main").alias("ma"))
+    y = rows.where("not short").select("key", F.col("node").alias("c"), F.col("root").alias("rc"), F.col("n").alias("nc"), F.col("reach").alias("hc"), F.col("main").alias("mc"))
+    fits = F.expr("ra != rc and ha >= nc and hc >= na and (na < nc or na = nc and a < c)") & (F.col("na") >= F.col("nc") * similarity - 1e-9)
+    got = x.where("not ma").join(y, "key").where(fits).select("a", "c").union(x.where("ma").join(y.where("not mc"), "key").where(fits).select("a", "c"))
+    return got.distinct()
+
+
+def _distinct(s: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each shingle of a row once, rows in order."""
+    order = np.lexsort((s, d))
+    s, d = s[order], d[order]
+    new = np.concatenate([[True], (s[1:] != s[:-1]) | (d[1:] != d[:-1])]) if len(s) else np.zeros(0, bool)
+    return s[new], d[new]
 
 
 def _jaccard(a: pa.Array, b: pa.Array, size: int) -> np.ndarray:
     out = np.zeros(len(a))
     (da, oa), (db, ob) = buffers(a), buffers(b)
     for i, j in chunks(oa + ob):
-        sides = []
-        for data, o in ((da, oa), (db, ob)):
-            s, d = shingles(data[o[i] : o[j]], o[i : j + 1] - o[i], size)
-            order = np.lexsort((s, d))
-            s, d = s[order], d[order]
-            new = np.concatenate([[True], (s[1:] != s[:-1]) | (d[1:] != d[:-1])]) if len(s) else np.zeros(0, bool)
-            sides.append((s[new], d[new]))
+        sides = [_distinct(*shingles(data[o[i] : o[j]], o[i : j + 1] - o[i], size)) for data, o in ((da, oa), (db, ob))]
         s, d = (np.concatenate([x[n] for x in sides]) for n in (0, 1))
         order = np.lexsort((s, d))
         s, d = s[order], d[order]
@@ -243,54 +250,63 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "root")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE, centers: int = 3, weighted: bool = False) -> DataFrame:
-    """One row per document: id, class_id (least id of its class), class_size, kept (whether it is the one that stays).
+def _row_key(id_: str, node: str) -> Column:
+    """Id and text digest of a row as one value that is never null."""
+    return F.concat(F.col(node), F.encode(F.coalesce(F.concat(F.lit("="), F.col(id_).cast("string")), F.lit("")), "UTF-8"))
 
-    Classes are the connected components of links between texts whose sets of five-word shingles have
-    a Jaccard similarity of 0.8 or more. Of two texts that share a band all links count: those that comparison with a bucket's
-    centers leaves out are sought by their rarest shingles. Equal texts are collapsed first and always share a class.
-    `weighted` takes a shingle's count as its weight in the signatures instead of 1; the check of a
-    link is on sets either way. Null and empty texts are equal texts; a text with no words links to
-    none but its equals, one of fewer than five words is a single shingle. Repeated rows share a class, and of rows with one id and
-    text one stays. Null ids come last: such a row stays only where its class has no id. Empty in, empty out; other columns are not read."""
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE, weighted: bool = False) -> DataFrame:
+    """id, node, class_id, class_size, kept for each row; see near_duplicates."""
     text = text_or_empty(text_col)
     rows_ = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("node"), text.alias("text"))
     signed = materialize(signatures(rows_, bands, rows, size, weighted), "signed")
     nodes = signed.groupBy("node").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
-    members = signed.select("node", F.explode("bands").alias("band")).distinct()
-    pairs, crowded = candidates(members, centers)
-    pairs = materialize(pairs, "pairs")
-    least = nodes.select(F.col("node").alias("n"), "first_id")
-    paired = pairs.select("a").union(pairs.select("c")).distinct()  # has every node of a crowded bucket
-    wanted = paired.join(least, F.expr("a = n")).select(F.col("a").alias("w"), "first_id")
-    texts = rows_.join(wanted, (F.col("node") == F.col("w")) & F.col("id").eqNullSafe(F.col("first_id"))).select("node", "text")
-    links = verified(pairs, texts, similarity, size)
-    roots = components(links)
-    rest = materialize(left_out(crowded, roots, texts, similarity, size), "rest")
-    more = materialize(verified(rest, texts, similarity, size), "more")
+    pairs, shared = candidates(signed.select("node", F.explode("bands").alias("band")).distinct())
+    wanted = shared.select("node").distinct().join(nodes.select("node", "first_id"), "node").select(_row_key("first_id", "node").alias("pick"))
+    found = rows_.withColumn("pick", _row_key("id", "node")).join(wanted, "pick", "left_semi")  # by id, too: copies of a text are spread
+    texts = materialize(found.dropDuplicates(["pick"]).select("node", "text"), "texts")
+    roots = components(verified(pairs, texts, similarity, size))
+    more = materialize(verified(left_out(shared, roots, texts, similarity, size), texts, similarity, size), "more")
     if not more.isEmpty():
         root = lambda c: more.select(c).distinct().join(roots.withColumnRenamed("node", c), c, "left").select(c, F.coalesce("root", c).alias(f"r{c}"))
         joined = components(more.join(root("a"), "a").join(root("c"), "c").select(F.col("ra").alias("a"), F.col("rc").alias("c")))
         joined = joined.select(F.col("node").alias("root"), F.col("root").alias("least"))
-        every = members.select("node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        roots = materialize(every.join(joined, "root", "left").select("node", F.coalesce("least", "root").alias("root")), "roots")
-    classed = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first_id", "copies")
-    classes = classed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    named = materialize(classed.join(classes, "root").select("node", "class_id", "class_size"), "classes")
+        every = shared.select("node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        roots = every.join(joined, "root", "left").select("node", F.coalesce("least", "root").alias("root"))
+    classed = materialize(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first_id", "copies"), "classed")
+    # an id may stand on two texts of one class: the least text of that id is the one that stays
+    head = F.min(F.struct(F.col("first_id").isNull(), F.col("first_id"), F.col("node"))).alias("head")
+    classes = classed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"), head)
+    named = classed.join(classes, "root").select("node", "class_id", "class_size", F.expr("head.node = node").alias("stays"))
     times = signed.groupBy("id", "node").agg(F.count(F.lit(1)).alias("times"))
     out = times.join(named, "node").select("*", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("nth"))
-    # an id may stand on two texts of one class: the least text of that id is the one that stays
-    least_text = classed.join(named.select("node", "class_id"), "node").where(F.col("first_id").eqNullSafe(F.col("class_id"))).groupBy("class_id", "root").agg(F.min("node").alias("stays"))
-    out = out.join(least_text.select(F.col("stays")), F.col("node") == F.col("stays"), "left")
-    kept = F.col("id").eqNullSafe(F.col("class_id")) & F.col("stays").isNotNull() & (F.col("nth") == 1)
-    return out.select(F.col("id").alias(id_col), "class_id", "class_size", kept.alias("kept"))
+    return out.select("id", "node", "class_id", "class_size", (F.col("id").eqNullSafe(F.col("class_id")) & F.col("stays") & (F.col("nth") == 1)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document: id, class_id (least id of its class), class_size, kept (whether it is the one that stays).
+
+    Classes are the connected components of links between texts whose sets of five-word shingles have
+    a Jaccard similarity of 0.8 or more. Of two texts that share a band all links count: those that comparison with the
+    leaders of buckets leaves out are sought by their rarest shingles. Options are similarity, bands, rows (of a band), size (words of a shingle) and
+    `weighted`, which takes a shingle's count as its weight in the signatures instead of 1; the check of a
+    link is on sets either way, so by default signatures estimate that same similarity.
+
+    Null and empty texts are equal texts; equal texts are collapsed first and always share a class. A text with no words links to
+    none but its equals, one of fewer than five words is a single shingle. Very long texts are taken whole. Repeated rows and rows with one id share
+    a class if their texts do; of rows with one id and text one stays. Ties between texts of the least id go to the least digest. Null ids come last: such a
+    row stays only where its class has no id. Empty in, empty out; other columns, whatever their names, are not read."""
+    return _classes(docs, id_col, text_col, **options).select(F.col("id").alias(id_col), "class_id", "class_size", "kept")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs that stay, one of each class, with all their columns."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("_keep"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    named = docs.select(row.alias("_row"), F.col(id_col).alias("_id"), F.md5(text_or_empty(text_col)).alias("_text"))
-    joined = named.join(kept.distinct(), F.col("_id").eqNullSafe(F.col("_keep")), "left_semi")
-    one = Window.partitionBy("_id").orderBy("_text")
+    """The rows of docs that stay, one of each class, with all their columns.
+
+    Rows are known by id and text, so rows of one id with texts of different classes stay or go each by its own; of rows that
+    agree in both, that whose other columns come first as JSON stays. Nulls, empty and long texts are as in near_duplicates."""
+    kept = _classes(docs, id_col, text_col, **options).where("kept").select(_row_key("id", "node").alias("_key"))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id"), F.unhex(F.md5(text_or_empty(text_col))).alias("_node"))
+    rest = F.to_json(F.struct(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in (id_col, text_col)], F.lit(0).alias("_0")))
+    joined = named.select("_row", _row_key("_id", "_node").alias("_key")).join(kept, "_key", "left_semi")
+    one = Window.partitionBy("_key").orderBy(rest)
     return joined.withColumn("_n", F.row_number().over(one)).where("_n = 1").select("_row.*")

@@ -38,14 +38,39 @@ def test_exact_dedup(spark):
     assert sorted(r["doc_id"] for r in got if r["kept"]) == [1, 3, 4, 5, 6]
     kept = exact_dedup.keep_first(odd(spark))
     assert kept.columns == odd(spark).columns and kept.count() == 5
-    assert exact_dedup.exact_dedup(none(spark)).count() == 0
+    assert exact_dedup.exact_dedup(none(spark)).count() == 0 and exact_dedup.keep_first(none(spark)).count() == 0
+
+
+def test_keep_first_takes_one_row_of_ties(spark):
+    rows = [(7, "a  b", "x"), (7, "a b", "y"), (7, "a b", "x"), (7, "c", "x"), (8, "c", "x"), (None, "d", "z"), (None, "d", "y"), (None, "c", "x")]
+    kept = exact_dedup.keep_first(spark.createDataFrame(rows, "doc_id int, text string, _key string"))
+    assert sorted(map(tuple, kept.collect()), key=repr) == [(7, "a  b", "x"), (7, "c", "x"), (None, "d", "y")]
 
 
 def test_directory_splits_overfull_buckets(spark):
-    keys = spark.range(4000).selectExpr("xxhash64(id) AS key")
-    d = exact_dedup.directory(keys, "key", 300, 8)
-    fill = keys.selectExpr(f"shiftrightunsigned(key, {64 - 8}) AS slot").join(d, "slot").groupBy("bucket", "local_depth").count().collect()
-    assert max(r["count"] for r in fill) <= 300 and sum(r["count"] for r in fill) == 4000 and len({r["local_depth"] for r in fill}) >= 1
+    keys = spark.range(4000).selectExpr("xxhash64(id) AS key").union(spark.range(900).selectExpr("id AS key"))
+    d = exact_dedup.directory(keys, "key", 300, 8, 5)
+    slots = keys.selectExpr(f"shiftrightunsigned(key, {64 - 8}) AS slot").join(d, "slot")
+    fill = {(r["bucket"], r["local_depth"]): (r["count"], r["owner"]) for r in slots.groupBy("bucket", "local_depth", "owner").count().collect()}
+    assert sum(n for n, _ in fill.values()) == 4900 and len({depth for _, depth in fill}) > 1
+    for (bucket, depth), (n, _) in fill.items():
+        assert (n <= 300 or depth == 8) and bucket % (1 << (8 - depth)) == 0
+        up = [m for (b, other), (m, _) in fill.items() if depth and b >> (9 - depth) == bucket >> (9 - depth)]
+        assert depth == 0 or sum(up) > 300  # what was split had too many
+    owners = [o for _, (_, o) in sorted(fill.items())]
+    assert owners == sorted(owners) and set(owners) <= set(range(5)) and len(set(owners)) > 2
+
+
+def test_index_chains_texts_of_one_key(spark, monkeypatch):
+    rows = [(n, f"text {n % 40}") for n in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda c: exact_dedup.F.crc32(exact_dedup.F.col(c).cast("string").cast("binary")) % 4)
+    own = exact_dedup._rows(docs, "doc_id", "text")
+    index = exact_dedup.build_index(docs, own, capacity=5).collect()
+    assert len(index) == 40 and {r["key"] for r in index} <= {0, 1, 2, 3} and all(r["group_size"] == 5 for r in index)
+    for key in {r["key"] for r in index}:
+        assert sorted(r["chain"] for r in index if r["key"] == key) == list(range(1, sum(r["key"] == key for r in index) + 1))
+    assert {r["keep_id"] for r in exact_dedup.exact_dedup(docs).collect()} == set(range(40))
 
 
 def test_sharding(spark):
@@ -122,16 +147,47 @@ def test_pairs_left_out_by_centers_are_found(spark):
     roots = spark.createDataFrame([], "node binary, root binary")
     rest = near_dedup.left_out(crowded, roots, df, 0.8, 5)
     assert rest.count() < 30
-    got = {(r["a"][0], r["c"][0]) for r in near_dedup.verified(rest, df, 0.8, 5).collect()}
+    got = {tuple(sorted((r["a"][0], r["c"][0]))) for r in near_dedup.verified(rest, df, 0.8, 5).collect()}
     assert got == {(2 * g, 2 * g + 1) for g in range(8)}
 
 
+def test_links_of_a_cloud_around_the_threshold(spark):
+    """Edited copies of one text, most of them just too far from each other: every link between components is found, and few pairs are tried."""
+    rng = np.random.default_rng(8)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for _ in range(300):
+        mine = list(base)[: 150 - int(rng.integers(0, 12))]
+        for at in rng.integers(0, 135, int(rng.integers(1, 7))):
+            mine[at] = f"e{rng.integers(40)}"
+        texts.append(" ".join(mine))
+    df = spark.createDataFrame([(i.to_bytes(2, "big"), t) for i, t in enumerate(texts)], "node binary, text string")
+    sets = [frozenset(near_dedup.shingles(*near_dedup.buffers(pa.array([t])))[0].tolist()) for t in texts]
+    want = {(i, j) for i in range(300) for j in range(i + 1, 300) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8}
+    shared, roots = df.selectExpr("node", "1L as band"), spark.createDataFrame([], "node binary, root binary")
+    number = lambda b: int.from_bytes(b, "big")
+    every = near_dedup.left_out(shared, roots, df, 0.8, 5)
+    got = {tuple(sorted((number(r["a"]), number(r["c"])))) for r in near_dedup.verified(every, df, 0.8, 5).collect()}
+    assert got == want
+    halves = spark.createDataFrame([(i.to_bytes(2, "big"), (i % 2).to_bytes(2, "big")) for i in range(300)], "node binary, root binary")
+    between = near_dedup.left_out(shared, halves, df, 0.8, 5)
+    got = {tuple(sorted((number(r["a"]), number(r["c"])))) for r in near_dedup.verified(between, df, 0.8, 5).collect()}
+    assert got == {(i, j) for i, j in want if i % 2 != j % 2}
+
+
 def test_near_duplicates_odd(spark):
     got = near_dedup.near_duplicates(odd(spark)).collect()
     assert len(got) == 9 and sum(r["class_size"] == 4 for r in got) == 4
     assert near_dedup.near_duplicates(none(spark)).count() == 0
     kept = near_dedup.keep_one(odd(spark))
     assert kept.columns == odd(spark).columns
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect()) == [(1, "a  b\tc"), (3, ""), (4, "other text"), (5, "word " * 30000), (6, "é漢 <|endoftext|> x")]
+
+
+def test_keep_one_knows_rows_by_id_and_text(spark):
+    rows = [(9, "one text of its own here", "a"), (9, "quite another text than that", "b"), (9, "quite another text than that", "a"), (None, "a third text without an id", "c"), (None, "a third text without an id", "b"), (None, "one text of its own here", "z")]
+    kept = near_dedup.keep_one(spark.createDataFrame(rows, "doc_id int, text string, _key string"))
+    assert sorted(map(tuple, kept.collect()), key=repr) == [(9, "one text of its own here", "a"), (9, "quite another text than that", "a"), (None, "a third text without an id", "b")]
 
 
 def test_darts_estimate_weighted_similarity():
@@ -179,12 +235,13 @@ def test_suffix_dedup_far_into_a_text(spark):
     assert got[9][1] == 0
 
 
-def test_hot_windows_in_parts(spark, monkeypatch):
+def test_hot_anchors_in_blocks(spark, monkeypatch):
     g = np.random.default_rng(6)
     draw = lambda n: g.integers(97, 123, n).astype(np.uint8).tobytes().decode()
-    passage = draw(400)
-    rows = [(n, draw(300) + passage[: 230 + n] + draw(300)) for n in range(40)]
-    docs = spark.createDataFrame(rows, "id int, text string").selectExpr("id", "unhex(md5(text)) AS node", "text").coalesce(1)
+    passage, other = draw(400), draw(260)
+    rows = [(n, draw(300) + passage[: 230 + n] + draw(int(g.integers(0, 90))) + other[n % 7 :] + draw(300)) for n in range(40)]
+    rows += [(n, rows[n - 60][1][100:]) for n in range(60, 66)] + [(90, passage), (91, passage[50:] + "!" + other)]
+    docs = spark.createDataFrame(rows, "id int, text string").selectExpr("id", "unhex(md5(text)) AS node", "text").repartition(3)
     nodes = {bytes(r["node"]): r["id"] for r in docs.collect()}
 
     def covered(**o):
@@ -195,21 +252,9 @@ def test_hot_windows_in_parts(spark, monkeypatch):
 
     seen = collections.Counter(t[k : k + 200] for _, t in rows for k in range(len(t) - 199))
     want = {n: {x for k in range(len(t) - 199) if seen[t[k : k + 200]] > 1 for x in range(k, k + 200)} for n, t in rows}
-    assert covered() == want and covered(hot=2) == want
-    table = docs.select("text").toArrow().column("text").combine_chunks()
-    key, _, row, a, first, stop = suffix_dedup.anchors(*suffix_dedup.buffers(table), 200)
-    start = np.concatenate([[0], np.cumsum([len(t) for _, t in rows])])[row]
-    spans = [[] for _ in rows]
-    for k, r, *p in zip(key.view(np.int64).tolist(), row.tolist(), (first - start).tolist(), (stop - start).tolist(), (a - start).tolist(), strict=True):
-        spans[r].append(dict(zip(("key", "first", "stop", "anchor", "repeated", "hot"), [k, *p, False, True], strict=True)))
-    kind = pa.list_(pa.struct([("key", pa.int64()), ("first", pa.int32()), ("stop", pa.int32()), ("anchor", pa.int32()), ("repeated", pa.bool_()), ("hot", pa.bool_())]))
-    batch = pa.RecordBatch.from_arrays([pa.array([bytes([n]) for n, _ in rows]), table, pa.array(spans, kind)], ["node", "text", "of"])
-    strings = lambda: {(r["g"], r["cut"]) for b in suffix_dedup._cut(200)(iter([batch])) for r in b.to_pylist() if r["cut"] is not None}
-    whole = strings()
-    monkeypatch.setattr(suffix_dedup, "PART", 1000)
-    monkeypatch.setattr(suffix_dedup, "PLACES", 128)
+    assert covered() == want and covered(hot=1) == want
     monkeypatch.setattr(suffix_dedup, "CUT_BYTES", 5000)
-    assert strings() == whole and len(whole) > 10_000
+    assert covered(hot=2) == want
 
 
 def test_deep_shallow_sorts():
@@ -262,13 +307,36 @@ def test_decontamination_null_items_and_repeated_rows(spark, limit):
     docs = spark.createDataFrame(rows, "doc_id int, text string")
     got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontamination.decontaminate(docs, items, broadcast_bytes=limit).collect()), key=repr)
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-    want = [(1, 13, 11, 1, sha(""), True)] * 3 + [(1, 1, 1, 1, sha(""), True)] + [(2, 3, 2, 2, sha("i1,i2"), True)] * 2 + [(2, 4, 4, 3, sha("i1,i1,i2"), True)]
+    want = [(1, 13, 11, 1, sha(""), True)] * 3 + [(1, 1, 1, 1, sha(""), True)] + [(2, 3, 2, 2, sha("i1,i2"), True)] * 2 + [(2, 4, 4, 2, sha("i1,i2"), True)]
     want += [(None, 1, 1, 1, sha(""), True)] * 2 + [(3, 1, 0, 0, sha(""), False)] * 2 + [(4, 0, 0, 0, sha(""), False)] * 2
     assert got == sorted(want, key=repr)
     assert sorted(r["doc_id"] for r in decontamination.clean(docs, items, broadcast_bytes=limit).collect()) == [3, 3, 4, 4]
+    mixed = spark.createDataFrame([(1, "clean", "x"), (1, "a short item", "y"), (None, "alone", "z"), (None, "also clean", "x"), (None, None, "x"), (1, "clean", "x")], "doc_id int, text string, _node string")
+    assert sorted((tuple(r) for r in decontamination.clean(mixed, items, broadcast_bytes=limit).collect()), key=repr) == [(1, "clean", "x"), (1, "clean", "x"), (None, "also clean", "x"), (None, None, "x")]
     assert decontamination.decontaminate(odd(spark), items.limit(0), broadcast_bytes=limit).where("contaminated").count() == 0
 
 
+def test_decontamination_ways_agree(spark):
+    rng = random.Random(9)
+    word = lambda: rng.choice("abcdefg")  # few words, so that short grams are shared by chance
+    items = spark.createDataFrame([(rng.randrange(12), " ".join(word() for _ in range(rng.choice([3, 8, 10, 14, 40])))) for _ in range(25)], "item_id int, text string")
+    docs = spark.createDataFrame([(i, " ".join(word() for _ in range(rng.choice([0, 5, 60, 400])))) for i in range(60)], "doc_id int, text string")
+    ways = [sorted(map(tuple, decontamination.decontaminate(docs, items, broadcast_bytes=b).collect())) for b in (-1, 1 << 20)]
+    assert ways[0] == ways[1] and 5 < sum(r[-1] for r in ways[0]) < 60
+    own = [(r["item_id"], r["text"].split()) for r in items.collect()]
+    for i, (doc, n_words, n_hit, n_items, _, _) in enumerate(ways[0]):
+        w = [r["text"] for r in docs.where(f"doc_id = {doc}").collect()][0].split()
+        hit, names = set(), set()
+        for name, ws in own:
+            n = min(10, len(ws))
+            grams = {tuple(ws[k : k + n]) for k in range(len(ws) - n + 1)}
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in grams:
+                    hit |= set(range(k, k + n))
+                    names.add(name)
+        assert (n_words, n_hit, n_items) == (len(w), len(hit), len(names)), i
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "assistant", "b"), (3, 0, "user", "a"), (3, 1, "assistant", "b"), (4, 0, "user", "c"), (5, 0, None, None), (None, 0, "user", "n"), (6, 0, "user", "a"), (6, 1, "assistant", "x")]
     got = {r["conv_id"]: (r["n_turns"], r["n_copies"]) for r in chat.format_chats(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()}
