@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +28,28 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/barloom/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables materialized inside are deleted at the end, but those to be kept; they belong to the scope around, if there is one.
+
+    What is still to be read later, such as the tables behind a result that is not computed yet, must be kept."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: the lineage ends there and a lost executor costs no recomputation."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    if len(_scopes) > keep:
+        _scopes[-2 if keep else -1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

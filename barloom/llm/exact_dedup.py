@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm._shared import materialize, partitions, text_or_empty
+from barloom.llm._shared import materialize, partitions, scratch, text_or_empty
 
 #: Runs of white space that are not one blank already.
 _RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -53,7 +53,7 @@ def directory(keys: DataFrame, key: str, capacity: int, depth: int, owners: int
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, key and digest of each row, in the shared folder."""
     norm = docs.select(F.col(id_col).alias("id"), normalized(text_col).alias("norm"))
-    return materialize(norm.select("id", F.xxhash64("norm").alias("key"), F.unhex(F.sha2(F.encode("norm", "UTF-8"), 256)).alias("digest")), "rows")
+    return materialize(norm.select("id", F.xxhash64("norm").alias("key"), F.unhex(F.sha2(F.encode("norm", "UTF-8"), 256)).alias("digest")), "rows", keep=True)
 
 
 def build_index(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, depth: int = DEPTH) -> DataFrame:
@@ -77,7 +77,7 @@ def build_index(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_c
     links = dealt.groupBy("owner", "bucket", "local_depth", "key", "norm").agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
     links = links.withColumn("digest", F.unhex(F.sha2(F.encode("norm", "UTF-8"), 256))).drop("norm")
     chain = F.row_number().over(Window.partitionBy("owner", "bucket", "key").orderBy("digest"))
-    return materialize(links.select("bucket", "local_depth", "key", chain.alias("chain"), "digest", "keep_id", "group_size"), "index")
+    return materialize(links.select("bucket", "local_depth", "key", chain.alias("chain"), "digest", "keep_id", "group_size"), "index", keep=True)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -87,8 +87,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty texts are one group; very long texts are taken whole. Rows with a null id stay only where no row of the group has an id; of
     several rows with the same id and text exactly one stays; one id may stand on several texts, each with a group of its own. An empty table gives an empty result;
     further columns of docs, whatever their names, are not read."""
-    rows = _rows(docs, id_col, text_col)
-    index = build_index(docs, rows, id_col, text_col, capacity)
+    with scratch(docs.sparkSession):
+        rows = _rows(docs, id_col, text_col)
+        index = build_index(docs, rows, id_col, text_col, capacity)
     times = rows.groupBy("id", "key", "digest").agg(F.count(F.lit(1)).alias("times"))
     found = times.join(index.select("key", "digest", "keep_id", "group_size"), ["key", "digest"])
     found = found.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("nth"))

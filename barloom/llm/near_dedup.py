@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm._shared import materialize, text_or_empty
+from barloom.llm._shared import materialize, scratch, text_or_empty
 from barloom.llm._words import U, buffers, chunks, grams, mix, words
 
 #: Words in a shingle, similarity from which two texts are linked, bands and rows of the signature.
@@ -259,21 +259,22 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float = SI
     """id, node, class_id, class_size, kept for each row; see near_duplicates."""
     text = text_or_empty(text_col)
     rows_ = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("node"), text.alias("text"))
-    signed = materialize(signatures(rows_, bands, rows, size, weighted), "signed")
-    nodes = signed.groupBy("node").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
-    pairs, shared = candidates(signed.select("node", F.explode("bands").alias("band")).distinct())
-    wanted = shared.select("node").distinct().join(nodes.select("node", "first_id"), "node").select(_row_key("first_id", "node").alias("pick"))
-    found = rows_.withColumn("pick", _row_key("id", "node")).join(wanted, "pick", "left_semi")  # by id, too: copies of a text are spread
-    texts = materialize(found.dropDuplicates(["pick"]).select("node", "text"), "texts")
-    roots = components(verified(pairs, texts, similarity, size))
-    more = materialize(verified(left_out(shared, roots, texts, similarity, size), texts, similarity, size), "more")
-    if not more.isEmpty():
-        root = lambda c: more.select(c).distinct().join(roots.withColumnRenamed("node", c), c, "left").select(c, F.coalesce("root", c).alias(f"r{c}"))
-        joined = components(more.join(root("a"), "a").join(root("c"), "c").select(F.col("ra").alias("a"), F.col("rc").alias("c")))
-        joined = joined.select(F.col("node").alias("root"), F.col("root").alias("least"))
-        every = shared.select("node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        roots = every.join(joined, "root", "left").select("node", F.coalesce("least", "root").alias("root"))
-    classed = materialize(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first_id", "copies"), "classed")
+    with scratch(docs.sparkSession):
+        signed = materialize(signatures(rows_, bands, rows, size, weighted), "signed", keep=True)
+        nodes = signed.groupBy("node").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+        pairs, shared = candidates(signed.select("node", F.explode("bands").alias("band")).distinct())
+        wanted = shared.select("node").distinct().join(nodes.select("node", "first_id"), "node").select(_row_key("first_id", "node").alias("pick"))
+        found = rows_.withColumn("pick", _row_key("id", "node")).join(wanted, "pick", "left_semi")  # by id, too: copies of a text are spread
+        texts = materialize(found.dropDuplicates(["pick"]).select("node", "text"), "texts")
+        roots = components(verified(pairs, texts, similarity, size))
+        more = materialize(verified(left_out(shared, roots, texts, similarity, size), texts, similarity, size), "more")
+        if not more.isEmpty():
+            root = lambda c: more.select(c).distinct().join(roots.withColumnRenamed("node", c), c, "left").select(c, F.coalesce("root", c).alias(f"r{c}"))
+            joined = components(more.join(root("a"), "a").join(root("c"), "c").select(F.col("ra").alias("a"), F.col("rc").alias("c")))
+            joined = joined.select(F.col("node").alias("root"), F.col("root").alias("least"))
+            every = shared.select("node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            roots = every.join(joined, "root", "left").select("node", F.coalesce("least", "root").alias("root"))
+        classed = materialize(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first_id", "copies"), "classed", keep=True)
     # an id may stand on two texts of one class: the least text of that id is the one that stays
     head = F.min(F.struct(F.col("first_id").isNull(), F.col("first_id"), F.col("node"))).alias("head")
     classes = classed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"), head)
