@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
 import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
@@ -19,10 +20,12 @@ from barloom.llm._shared import materialize, new_path
 
 #: Payloads of fewer bytes are always written out.
 REVISIT_BYTES = 100
-#: Compressed bytes at which a file is closed, payload bytes of a shard, and ids, at most, from which shard borders are chosen.
-ROLL_BYTES, SHARD_BYTES, BORDER_IDS = 256 << 20, 1 << 30, 20_000
+#: Compressed bytes at which a file is closed, payload bytes of a shard, and ids from which shard borders are chosen: in all at least, and for each shard.
+ROLL_BYTES, SHARD_BYTES, BORDER_IDS, IDS_PER_SHARD = 256 << 20, 1 << 30, 20_000, 20
 #: All records carry one date, so that the same input gives the same bytes.
 DATE = "2020-01-01T00:00:00Z"
+#: Characters that stand in a URL as they are.
+_URL = ":/?#[]@!$&()*+,;=%~"
 #: Fixed value: the profile of a revisit with an identical payload.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -45,11 +48,13 @@ def record(page_id: int | None, url: str, payload: bytes | None, size: int, dige
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: <urn:x-page:{'' if page_id is None else page_id}>",
         f"WARC-Date: {DATE}",
-        f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~')}",
+        f"WARC-Target-URI: {quote(url, safe=_URL)}",
         "Content-Type: application/http; msgtype=response",
         f"WARC-Payload-Digest: {digest}",
         f"WARC-Block-Digest: {_digest(block)}",
     ]
+    if quote(url, safe=_URL) != url:  # a URL that had to be escaped, as it was
+        head.append(f"X-Page-URL: {json.dumps(url)}")
     if refers_to is not None:
         head += [f"WARC-Refers-To: <urn:x-page:{refers_to}>", f"WARC-Profile: {PROFILE}"]
     return ("\r\n".join([*head, f"Content-Length: {len(block)}", "", ""])).encode() + block + b"\r\n\r\n"
@@ -91,11 +96,11 @@ MANIFEST = "shard int, file string, records bigint, bytes bigint, sha256 string"
 
 
 def _borders(pages: DataFrame, sizes: int, shard_bytes: int) -> list[int]:
-    """Ids at which shards begin, from the ids with the least digests: the same ids for the same table, BORDER_IDS at most."""
+    """Ids at which shards begin, from the ids with the least digests: the same ids for the same table, some for each shard (of a gigabyte, say)."""
     shards = max(1, -(-sizes // shard_bytes))
     if shards == 1:
         return []
-    ids = pages.select("id").where("id is not null").distinct().orderBy(F.md5(F.col("id").cast("string")), "id").limit(BORDER_IDS).collect()
+    ids = pages.select("id").where("id is not null").distinct().orderBy(F.md5(F.col("id").cast("string")), "id").limit(max(BORDER_IDS, IDS_PER_SHARD * shards)).collect()
     ordered = sorted(r["id"] for r in ids)
     return sorted({ordered[len(ordered) * n // shards] for n in range(1, shards)}) if ordered else []
 
@@ -108,8 +113,8 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     smallest id's record is the response and others revisit it. Files are renamed into place when complete; the manifest, written last by
     Spark's committer, is what makes them part of the archive, so what failed attempts leave is never read.
 
-    A null payload is empty, a null url the empty string. Null ids come first in their order and are responses unless the same payload has
-    an id; rows that repeat an id and payload are a response and revisits of that id. An empty table gives an empty manifest; other columns are not read."""
+    A null payload is empty, a null url the empty string; a very long payload is one record. Of a URL that WARC must escape the record keeps the raw form, too. Null ids come first in their order and are responses unless the same payload has
+    an id; rows that repeat an id and payload are a response and revisits of that id. An empty table gives an empty manifest; other columns, whatever their names, are not read."""
     spark = pages.sparkSession
     payload = F.encode(F.coalesce(html_col, F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(url_col, F.lit("")).alias("url"), payload.alias("payload"))
@@ -196,7 +201,7 @@ def read_record(data: bytes) -> tuple:
     if _digest(block) != fields["WARC-Block-Digest"] or kind == "response" and (_digest(payload) != fields["WARC-Payload-Digest"] or len(payload) != size):
         raise ValueError(f"{fields['WARC-Record-ID']}: its digest does not match")
     number = lambda x: int(x[12:-1]) if x[12:-1] else None  # noqa: E731  <urn:x-page:7>
-    return number(fields["WARC-Record-ID"]), fields["WARC-Target-URI"], kind, size, fields["WARC-Payload-Digest"].removeprefix("sha256:"), number(fields["WARC-Refers-To"]) if kind == "revisit" else None, payload if kind == "response" else None
+    return number(fields["WARC-Record-ID"]), json.loads(fields["X-Page-URL"]) if "X-Page-URL" in fields else fields["WARC-Target-URI"], kind, size, fields["WARC-Payload-Digest"].removeprefix("sha256:"), number(fields["WARC-Refers-To"]) if kind == "revisit" else None, payload if kind == "response" else None
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
