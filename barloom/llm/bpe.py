@@ -119,9 +119,9 @@ class Automaton:
                 if tokens[node] >= 0:
                     token, to = tokens[node], end
             if last >= 0:
-                ok = table.get(last << 20 | token)
+                ok = table.get(last << 32 | token)
                 if ok is None:
-                    ok = table[last << 20 | token] = self.arc(last, token)
+                    ok = table[last << 32 | token] = self.arc(last, token)
                 if not ok:
                     break
             path.append(token)
@@ -135,9 +135,9 @@ class Automaton:
                 token, end = here.pop()
                 if end in dead:
                     continue
-                ok = table.get(last << 20 | token) if last >= 0 else True
+                ok = table.get(last << 32 | token) if last >= 0 else True
                 if ok is None:
-                    ok = table[last << 20 | token] = self.arc(last, token)
+                    ok = table[last << 32 | token] = self.arc(last, token)
                 if ok:
                     path.append(token)
                     places.append(end)

@@ -16,8 +16,6 @@ from barloom.llm._words import buffers, chunks, words
 
 #: Labelled rows, at most, from which lexicon and weights are learned.
 SAMPLE = 20_000
-#: Terms, at most, in the lexicon.
-TERMS = 200
 #: Words on either side of a hit that make its context.
 CONTEXT = 8
 #: Quotation marks.
@@ -192,7 +190,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int, id_col: str,
     return found.groupBy("text").agg(F.max("y").alias("y"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn the lexicon (words and stems that mark toxic texts) and the weights of the features from labelled rows."""
     rows = training_rows(docs, labels, sample, id_col, text_col, label_col)
     totals = rows.agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("all"), F.sum(F.length("text")).alias("size")).first()
@@ -209,9 +207,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = T
     share, own = bad / (bad + good), F.col("a") / (F.col("a") + F.col("b"))
     gain = F.col("a") * F.log(own / share) + F.when(F.col("b") > 0, F.col("b") * F.log((1 - own) / (1 - share))).otherwise(0.0)
     least = 5 + np.log(max(1.0, float(totals["size"] or 0)))
-    top = counts.where((F.col("a") >= max(3.0, 0.01 * bad)) & (own > 0.9) & (gain >= least)).orderBy(gain.desc(), "term").limit(terms * 20).collect()
+    top = counts.where((F.col("a") >= max(3.0, 0.01 * bad)) & (own > 0.9) & (gain >= least)).collect()  # words that mark one in a hundred toxic texts of the sample: no more than a hundred times what such a text has
     chosen: list[str] = []
     stems_: set[str] = set()
+    top.sort(key=lambda r: r["term"])
     for r in sorted(top, key=lambda r: (not r["term"].endswith("*"), len(r["term"]), r["term"])):
         t = r["term"].removesuffix("*")
         if any(t[:n] in stems_ for n in range(STEM, len(t) + 1)) or r["term"].endswith("*") and any(x["term"].startswith(t) and not x["term"].endswith("*") and x["a"] >= 0.9 * r["a"] for x in top):
@@ -220,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = T
         if r["term"].endswith("*"):
             stems_.add(t)
     strength = {r["term"]: r["a"] for r in top}
-    chosen = sorted(chosen, key=lambda t: (-strength[t], t))[:terms]
+    chosen = sorted(chosen, key=lambda t: (-strength[t], t))
     lexicon = Lexicon(chosen)
     held = docs.sparkSession.sparkContext.broadcast(lexicon)
 
