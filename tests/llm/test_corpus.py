@@ -73,7 +73,7 @@ def test_index_chains_texts_of_one_key(spark, monkeypatch):
     assert {r["keep_id"] for r in exact_dedup.exact_dedup(docs).collect()} == set(range(40))
 
 
-def test_sharding(spark):
+def test_sharding(spark, monkeypatch):
     got = sharding.interleave(odd(spark), rows_per_cell=2).toPandas()
     assert len(got) == 9 and got.groupby("shard").size().max() - 9 // 8 <= 1
     got = sharding.interleave(real(spark), shards=4, rows_per_cell=16).toPandas()
@@ -86,7 +86,26 @@ def test_sharding(spark):
     again = sharding.interleave(real(spark), shards=4, rows_per_cell=4096).toPandas()
     key = ["doc_id", "shard", "slot"]
     assert sorted(map(tuple, got[key].values)) == sorted(map(tuple, again[key].values))
+    monkeypatch.setattr(sharding, "RUN", 3)
+    again = sharding.interleave(real(spark), shards=4, rows_per_cell=4).toPandas()
+    assert sorted(map(tuple, got[key].values)) == sorted(map(tuple, again[key].values))
     assert sharding.interleave(none(spark)).count() == 0
+    with pytest.raises(ValueError):
+        sharding.interleave(real(spark), shards=1 << 60)
+
+
+def test_scratch_tables_go(spark):
+    from barloom.llm._shared import materialize, scratch
+
+    with scratch(spark):
+        with scratch(spark):
+            gone, kept = materialize(spark.range(3), "gone"), materialize(spark.range(4), "kept", keep=True)
+            assert gone.count() == 3
+        assert kept.count() == 4
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+            gone.count()
+        path = kept.inputFiles()[0]
+    assert not __import__("os").path.exists(path.removeprefix("file:").replace("///", "/"))
 
 
 def shingle_sets(docs):
@@ -353,6 +372,8 @@ def test_warc(spark, tmp_path):
     got = sorted(((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.read_warc(spark, f"file://{tmp_path}/1").collect()), key=repr)
     n = len(page)
     assert got == sorted([(5, "revisit", 2, n), (2, "response", None, n), (2, "revisit", 2, n), (9, "response", None, 0), (1, "response", None, 4), (3, "response", None, 4), (None, "revisit", 2, n), (7, "response", None, 198)], key=repr)
+    urls = sorted((r["page_id"] or 0, r["url"]) for r in warc.archive(pages).collect())
+    assert urls == sorted((i or 0, u or "") for i, u, _ in rows)
     assert warc.archive(pages.limit(0)).count() == 0
 
 
