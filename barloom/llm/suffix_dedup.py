@@ -15,18 +15,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm._anchors import anchors, pieces
-from barloom.llm._shared import materialize, partitions, text_or_empty
+from barloom.llm._shared import materialize, partitions, scratch, text_or_empty
 from barloom.llm._words import U, buffers, mix, prefix_hash, span_hash
 
 LENGTH = 200
 #: Bytes that multikey quicksort orders before blind tries take over.
 SHALLOW = 16
-#: Different spans of one anchor from which its windows are spread over tasks one by one.
-HOT = 128
+#: Different spans of one anchor above which they are split into blocks, and how far apart the windows of a block start.
+HOT, BLOCKS = 128, (16, 4, 1)
 #: Windows that are sorted at a time.
 BLOCK = 40_000
-#: Windows of hot anchors that are hashed at a time, and bytes of a text that are.
-PART, PLACES = 1 << 20, 1 << 24
 #: Bytes of cut spans that are handed on at a time.
 CUT_BYTES = 1 << 25
 
@@ -111,18 +109,30 @@ def _anchored(length: int):
     return run
 
 
-def _parts(at: np.ndarray, row: np.ndarray, first: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
-    """The spans `at` by place, in parts of about PART windows that in a row lie less than PLACES bytes apart."""
-    if not len(at):
-        return []
-    at = at[np.lexsort((first[at], row[at]))]
-    by = np.cumsum((stop - first + 1)[at].astype(np.int64)) // PART, first[at] // PLACES
-    return np.split(at, np.flatnonzero((by[0][1:] != by[0][:-1]) | (by[1][1:] > by[1][:-1])) + 1)
+#: Columns of spans with their bytes; in rows without, the whole range is known to repeat.
+_CUT = "g bigint, node binary, first int, stop int, anchor int, repeated boolean, hot boolean, cut binary"
+_CUT_NAMES = ["g", "node", "first", "stop", "anchor", "repeated", "hot", "cut"]
+
+
+def _pieces(at: np.ndarray, to: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose byte ranges at:to have about limit bytes together."""
+    ends = np.cumsum(to - at)
+    x = 0
+    while x < len(at):
+        y = max(x + 1, int(np.searchsorted(ends, (ends[x - 1] if x else 0) + limit, side="right")))
+        yield x, y
+        x = y
+
+
+def _copied(data: np.ndarray, at: np.ndarray, to: np.ndarray) -> pa.Array:
+    """The bytes of each range at:to as one Arrow column."""
+    o = np.concatenate([[0], np.cumsum(to - at)]).astype(np.int32)
+    take = np.repeat(at - o[:-1], to - at) + np.arange(o[-1])
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(o), pa.py_buffer(np.ascontiguousarray(data[take]))])
 
 
 def _cut(length: int):
-    """Bytes of the spans that are to be sorted; the windows of hot anchors one by one, equal ones of a part only once."""
-    names = ["g", "node", "first", "stop", "anchor", "repeated", "cut"]
+    """Bytes of the spans that are to be sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -131,47 +141,51 @@ def _cut(length: int):
             row = np.repeat(np.arange(len(spans)), np.diff(spans.offsets.to_numpy()))
             flat = spans.flatten()
             key, first, stop, a, known, hot = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("key", "first", "stop", "anchor", "repeated", "hot"))
-            out = {"g": [], "row": [], "first": [], "stop": [], "anchor": [], "known": [], "at": [], "to": []}
-
-            def put(g, rows, f, s, an, k, base, out=out):
-                for n, v in zip(out, (g, rows, f, s, an, k, f + base, s + length + base), strict=True):
-                    out[n].append(v)
-
-            c = ~hot
-            put(mix(key[c].view(U)).view(np.int64), row[c], first[c], stop[c], a[c], known[c], offsets[row[c]])
-            done_row, done_at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for part in _parts(np.flatnonzero(hot), row, first, stop):
-                count = (stop - first + 1)[part].astype(np.int64)
-                of = np.repeat(part, count)
-                w = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-                digest = np.zeros(len(of), dtype=U)
-                for r in np.unique(row[of]):
-                    mine = np.flatnonzero(row[of] == r)
-                    low = w[mine].min()
-                    text = data[offsets[r] + low : offsets[r] + w[mine].max() + length]
-                    digest[mine] = span_hash(prefix_hash(text), w[mine] - low, w[mine] - low + length)
-                g = mix(mix(key[of].view(U)) + (a[of] - w).astype(U)) ^ digest
-                _, lead, back, times = np.unique(g, return_index=True, return_inverse=True, return_counts=True)
-                twice = times > 1
-                m = twice[back] & ~known[of]
-                done_row.append(row[of][m])
-                done_at.append(w[m])
-                put(g[lead].view(np.int64), row[of][lead], w[lead], w[lead], a[of][lead], known[of][lead] | twice, offsets[row[of][lead]])
-            g, rows, f, s, an, k, at, to = (np.concatenate(v) for v in out.values())
-            node = b.column(0)
-            ends = np.cumsum(to - at)
-            x = 0
-            while x < len(at):
-                y = max(x + 1, int(np.searchsorted(ends, (ends[x - 1] if x else 0) + CUT_BYTES, side="right")))
-                o = np.concatenate([[0], np.cumsum((to - at)[x:y])]).astype(np.int32)
-                take = np.repeat(at[x:y] - o[:-1], (to - at)[x:y]) + np.arange(o[-1])
-                cut = pa.Array.from_buffers(pa.binary(), y - x, [None, pa.py_buffer(o), pa.py_buffer(np.ascontiguousarray(data[take]))])
-                cols = [pa.array(g[x:y], pa.int64()), node.take(pa.array(rows[x:y])), *(pa.array(v[x:y].astype(np.int32)) for v in (f, s, an)), pa.array(k[x:y]), cut]
-                yield pa.RecordBatch.from_arrays(cols, names)
-                x = y
-            dr, da = np.concatenate(done_row), np.concatenate(done_at)
-            places = pa.array(da.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(dr), np.int64)), node.take(pa.array(dr)), places, places, places, pa.array(np.ones(len(dr), bool)), pa.nulls(len(dr), pa.binary())], names)
+            g = mix(key.view(U)).view(np.int64)
+            at, to = offsets[row] + first, offsets[row] + stop + length
+            for x, y in _pieces(at, to, CUT_BYTES):
+                cols = [pa.array(g[x:y], pa.int64()), b.column(0).take(pa.array(row[x:y])), *(pa.array(v[x:y].astype(np.int32)) for v in (first, stop, a)), pa.array(known[x:y]), pa.array(hot[x:y]), _copied(data, at[x:y], to[x:y])]
+                yield pa.RecordBatch.from_arrays(cols, _CUT_NAMES)
+
+    return run
+
+
+def _split(length: int, width: int):
+    """Spans of hot groups cut into blocks of windows that start `width` places or fewer apart, grouped anew by the bytes that all windows of a block have in common.
+
+    Blocks lie at fixed offsets of the anchor, so two equal windows are in the same block of either span and their blocks share
+    those bytes. Of equal blocks of a batch one goes on; all of them repeat, and those not known to are returned without bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            g, first, stop, a, known = (b.column(_CUT_NAMES.index(n)).to_numpy(zero_copy_only=False) for n in ("g", "first", "stop", "anchor", "repeated"))
+            data, offsets = buffers(b.column(_CUT_NAMES.index("cut")))
+            for x, y in _pieces(offsets[:-1], offsets[1:], CUT_BYTES):
+                prefix = prefix_hash(data[offsets[x] : offsets[y]])
+                near, far = (a - stop)[x:y] // width, (a - first)[x:y] // width
+                of = np.repeat(np.arange(x, y), far - near + 1)
+                block = near[of - x] + np.arange(len(of)) - np.repeat(np.cumsum(far - near + 1) - (far - near + 1), far - near + 1)
+                base = offsets[of] - offsets[x] - first[of]  # of the text's first byte in data
+                f, s = np.maximum(first[of], a[of] - block * width - width + 1), np.minimum(stop[of], a[of] - block * width)
+                core = base + a[of] - block * width
+                new = mix(mix(g[of].view(U)) + block.astype(U)) ^ span_hash(prefix, core, core - width + 1 + length)
+                whole = span_hash(prefix, base + f, base + s + length) + (a[of] - f).astype(U) * U(0xD6E8FEB86659FD93)
+                order = np.lexsort((whole, new))
+                lead = np.concatenate([[True], (new[order][1:] != new[order][:-1]) | (whole[order][1:] != whole[order][:-1])])
+                times = np.diff(np.append(np.flatnonzero(lead), len(order)))
+                twice = np.zeros(len(of), bool)
+                twice[order] = np.repeat(times > 1, times)
+                go = order[lead]
+                go.sort()
+                node = b.column(1)
+                at, to = (base + f)[go], (base + s)[go] + length
+                for u, v in _pieces(at, to, CUT_BYTES):
+                    k = go[u:v]
+                    cols = [pa.array(new[k].view(np.int64)), node.take(pa.array(of[k])), *(pa.array(c[k].astype(np.int32)) for c in (f, s)), pa.array(a[of[k]].astype(np.int32)), pa.array(known[of[k]] | twice[k]), pa.array(np.zeros(len(k), bool)), _copied(data[offsets[x] :], at[u:v], to[u:v])]
+                    yield pa.RecordBatch.from_arrays(cols, _CUT_NAMES)
+                k = np.flatnonzero(twice & ~known[of])
+                cols = [pa.array(np.zeros(len(k), np.int64)), node.take(pa.array(of[k])), *(pa.array(c[k].astype(np.int32)) for c in (f, s)), pa.array(a[of[k]].astype(np.int32)), pa.array(np.ones(len(k), bool)), pa.array(np.zeros(len(k), bool)), pa.nulls(len(k), pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, _CUT_NAMES)
 
     return run
 
@@ -260,11 +274,19 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> D
     one = texts.groupBy("node").agg(F.min("id").alias("one_id"))
     open_ = open_.join(one, "node").withColumnRenamed("node", "n")
     cut = texts.join(open_, (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("one_id"))).select("node", "text", "of")
-    cut = materialize(cut.mapInArrow(_cut(length), "g bigint, node binary, first int, stop int, anchor int, repeated boolean, cut binary"), "cut")
-    done = cut.where("cut is null").select("node", F.col("first").alias("start"), (F.col("stop") + length).alias("stop"))
-    dealt = cut.where("cut is not null").repartition(partitions(spark), "g").sortWithinPartitions("g")
+    cut = materialize(cut.mapInArrow(_cut(length), _CUT), "cut")
+    ready, crowded = cut.where("not hot"), cut.where("hot")
+    for width in BLOCKS:
+        if crowded.isEmpty():
+            break
+        split = materialize(crowded.mapInArrow(_split(length, width), _CUT), "split")
+        whole = whole.union(split.where("cut is null").select("node", F.col("first").alias("start"), (F.col("stop") + length).alias("stop")))
+        met_again = split.where("cut is not null").groupBy("g").agg(F.count(F.lit(1)).alias("met")).where("met > 1")  # a block of its own repeats nowhere
+        live = materialize(split.where("cut is not null").drop("hot").join(met_again, "g").withColumn("hot", F.expr(f"met > {hot} and {width} > 1")).select(*_CUT_NAMES), "live")
+        ready, crowded = ready.union(live.where("not hot")), live.where("hot")
+    dealt = ready.drop("hot").repartition(partitions(spark), "g").sortWithinPartitions("g")
     ends = dealt.mapInArrow(_sorter(length), "node binary, start int, stop int")
-    return whole.union(done).union(ends)
+    return whole.union(ends)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -276,9 +298,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     documents of their own, so long ones go entirely, whatever their ids. Empty in, empty out; other columns are not read."""
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("node"), text.alias("text"))
-    ranges = repeated_ranges(rows, length)
-    per = ranges.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("ranges"))
-    per = materialize(per, "ranges")
+    with scratch(docs.sparkSession):
+        ranges = repeated_ranges(rows, length)
+        per = ranges.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("ranges"))
+        per = materialize(per, "ranges", keep=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
