@@ -16,32 +16,18 @@ def fingerprint(title: str, url: str) -> Column:
 
 
 def canonical_articles(articles: DataFrame, trust: dict[str, float]) -> DataFrame:
-    """One row per fingerprint: longest title, URL of the most trusted source, earliest time, sources and variants.
+    """One row per fingerprint: longest title, URL of the most trusted source, earliest time, sources, all tickers, and its variants (their number, and source and URL of each).
 
-    articles: fingerprint, title, url, source, published_at. Ties go to the least title and URL."""
+    articles: fingerprint, title, url, source, published_at, tickers. Ties go to the title and URL that sort last."""
     w = F.coalesce(*[F.when(F.col("source") == s, F.lit(float(v))) for s, v in trust.items()], F.lit(0.5))
     a = articles.withColumn("w", w)
     return a.groupBy("fingerprint").agg(
         F.max_by("title", F.struct(F.length("title"), "title")).alias("title"), F.max_by("url", F.struct("w", "url")).alias("url"), F.min("published_at").alias("published_at"),
         F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"), F.count(F.lit(1)).alias("variants"), F.max("w").alias("trust"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("tickers")))).alias("tickers"), F.array_sort(F.collect_list(F.struct("source", "url"))).alias("records"),
     )
 
 
-def dictionary_sentiment(docs: DataFrame, id_col: str, text_col: str, positive: list[str], negative: list[str]) -> DataFrame:
-    """Words, positive and negative ones, and (positive - negative) / (positive + negative), 0 without either. The texts are folded in place; no row per word."""
-    toks = F.regexp_extract_all(F.lower(F.coalesce(text_col, F.lit(""))), F.lit("([a-z]+)"), 1)
-    count = lambda words: F.size(F.filter("_t", lambda t: t.isin(words)))
-    df = docs.select(id_col, toks.alias("_t")).select(id_col, F.size("_t").alias("words"), count(positive).alias("positive"), count(negative).alias("negative"))
-    p, n = F.col("positive"), F.col("negative")
-    return df.withColumn("score", F.when(p + n == 0, F.lit(0.0)).otherwise((p - n) / (p + n)))
-
-
-def event_flags(docs: DataFrame, id_col: str, text_col: str, rules: list[tuple[str, str]]) -> DataFrame:
-    """(id, category) for each rule (category, pattern) that a text matches."""
-    hit = F.array_compact(F.array(*[F.when(F.lower(F.coalesce(text_col, F.lit(""))).rlike(p), F.lit(c)) for c, p in rules]))
-    return docs.select(id_col, F.explode(hit).alias("category"))
-
-
 def word_chunks(docs: DataFrame, id_col: str, text_col: str, size: int = 307, overlap: int = 38) -> DataFrame:
     """Chunks of `size` words, each beginning size - overlap words after the last; a trailing chunk may lie wholly in the overlap."""
     step = size - overlap
@@ -51,12 +37,6 @@ def word_chunks(docs: DataFrame, id_col: str, text_col: str, size: int = 307, ov
     return df.select(id_col, F.floor(F.col("_s") / step).cast("int").alias("chunk"), F.array_join(F.slice("_w", F.col("_s") + 1, size), " ").alias("body"))
 
 
-def plain_text(html: str) -> Column:
-    """Text of a page: scripts, styles and tags removed, white space joined."""
-    t = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"<[^>]*>", " "), r"\s+", " "))
-
-
 def transcript_sections(turns: DataFrame, asker: str = "user") -> DataFrame:
     """Per conversation, its text before and from the second turn of the asking role on, with their turns."""
     by = Window.partitionBy("conv_id").orderBy("turn")

@@ -7,28 +7,33 @@ from pyspark.sql import functions as F
 
 
 def daily_aggregate(articles: DataFrame, scores: DataFrame, events: DataFrame, trust: Column) -> DataFrame:
-    """Per (ticker, date): articles, their trust, sentiment plain and weighted, words, events and their severity, sources as sorted JSON.
+    """Per (ticker, date): articles, their trust, sentiment plain and weighted, words, events, their severity and the three gravest ones' descriptions, sources as sorted JSON.
 
-    articles: id, tickers (array), date, source; scores: id, words, positive, negative, score; events: id, category, severity, at most one row per
-    (id, category). A hot ticker is aggregated map-side; events are folded per article first, so articles are not multiplied."""
+    articles: id, tickers (array), date, source; scores: id, words, positive, negative, uncertainty, score; events: id, category, description, severity, at most one row per
+    (id, category). A hot ticker is aggregated map-side; events are folded per article first, so articles are not multiplied, and an article brings its three gravest at most."""
     ev = events.groupBy("id").agg(F.count(F.lit(1)).alias("e_n"), F.max("severity").alias("e_max"), F.sum("severity").alias("e_sum"), F.collect_set("category").alias("e_cat"))
+    grave = lambda key: Window.partitionBy(*key).orderBy(F.desc("severity"), "id", "category")
+    gravest = events.withColumn("_n", F.row_number().over(grave(["id"]))).where("_n <= 3").join(articles.select("id", F.explode(F.array_distinct("tickers")).alias("ticker"), "date"), "id")
+    gravest = gravest.withColumn("_n", F.row_number().over(grave(["ticker", "date"]))).where("_n <= 3").groupBy("ticker", "date").agg(F.array_sort(F.collect_list(F.struct("_n", "description"))).alias("_d"))
+    gravest = gravest.select("ticker", "date", F.array_join(F.transform("_d", lambda x: x["description"]), "; ").alias("top_events"))
     a = articles.select("id", F.explode(F.array_distinct("tickers")).alias("ticker"), "date", "source", trust.alias("w"))
     a = a.join(scores, "id", "left").join(ev, "id", "left")
     per = a.groupBy("ticker", "date", "source").agg(
         F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"), F.sum("score").alias("s"), F.count("score").alias("sn"), F.max("score").alias("hi"), F.min("score").alias("lo"),
-        F.sum(F.col("w") * F.col("score")).alias("ws"), F.sum(F.when(F.col("score").isNotNull(), F.col("w"))).alias("sw"), F.sum("positive").alias("p"), F.sum("negative").alias("g"), F.sum("words").alias("t"),
+        F.sum(F.col("w") * F.col("score")).alias("ws"), F.sum(F.when(F.col("score").isNotNull(), F.col("w"))).alias("sw"), F.sum("positive").alias("p"), F.sum("negative").alias("g"), F.sum("uncertainty").alias("u"), F.sum("words").alias("t"),
         F.sum("e_n").alias("e"), F.max("e_max").alias("em"), F.sum("e_sum").alias("es"), F.array_distinct(F.flatten(F.collect_set("e_cat"))).alias("c"),
     )
-    return per.groupBy("ticker", "date").agg(
+    out = per.groupBy("ticker", "date").agg(
         F.sum("n").alias("articles"), F.sum("w").alias("trusted_weight"), F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "n"))))).alias("by_source"),
         (F.sum("s") / F.nullif(F.sum("sn"), F.lit(0))).alias("sentiment_mean"), F.max("hi").alias("sentiment_max"), F.min("lo").alias("sentiment_min"), (F.sum("ws") / F.nullif(F.sum("sw"), F.lit(0.0))).alias("sentiment_trusted"),
-        F.sum("p").alias("positive"), F.sum("g").alias("negative"), F.sum("t").alias("words"), F.coalesce(F.sum("e"), F.lit(0)).alias("events"), F.coalesce(F.max("em"), F.lit(0.0)).alias("severity_max"),
+        F.sum("p").alias("positive"), F.sum("g").alias("negative"), F.sum("u").alias("uncertainty"), F.sum("t").alias("words"), F.coalesce(F.sum("e"), F.lit(0)).alias("events"), F.coalesce(F.max("em"), F.lit(0.0)).alias("severity_max"),
         F.coalesce(F.sum("es") / F.nullif(F.sum("e"), F.lit(0)), F.lit(0.0)).alias("severity_mean"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("c")))), ",").alias("categories"),
     )
+    return out.join(gravest, ["ticker", "date"], "left").withColumn("top_events", F.coalesce("top_events", F.lit("")))
 
 
 def article_records(variants: DataFrame, trust: Column) -> DataFrame:
-    """One record per fingerprint: the most trusted source, the body of the most trusted variant that has one, all tags, mean score (fingerprint, source, body, tags, score).
+    """One record per fingerprint: the most trusted source, the body of the most trusted variant that has one, all tags, mean score, gravest event (fingerprint, source, body, tags, score, event, severity).
 
     Ties go to the source that sorts last."""
     v = variants.withColumn("_w", trust)
@@ -36,6 +41,7 @@ def article_records(variants: DataFrame, trust: Column) -> DataFrame:
     return v.groupBy("fingerprint").agg(
         F.max_by("source", F.struct("_w", "source")).alias("primary_source"), F.max_by(F.when(has, F.col("body")), F.when(has, F.struct("_w", "source", "body"))).alias("body"),
         F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("tags")))), ",").alias("tags"), F.avg("score").alias("score_mean"), F.count(F.lit(1)).alias("variants"),
+        F.max_by("event", F.when(F.col("event").isNotNull(), F.struct("severity", "event"))).alias("top_event"),
     )
 
 
@@ -57,17 +63,6 @@ def topic_feed(entries: DataFrame, cutoff: str, keep: int) -> DataFrame:
     return e.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= keep)
 
 
-def section(text: str, heading: str, following: str, limit: int = 50_000, least: int = 200) -> Column:
-    """What stands between a heading and the next one (patterns), trimmed and cut to the limit; null where it is shorter than the least length."""
-    body = F.trim(F.regexp_extract(F.col(text), f"(?is){heading}(.*?)(?:{following}|\\z)", 1))
-    return F.when(F.length(body) >= least, F.substring(body, 1, limit))
-
-
-def items(text: str, patterns: dict[str, str]) -> Column:
-    """The names whose pattern occurs, comma-joined in their order."""
-    return F.concat_ws(",", *[F.when(F.col(text).rlike(p), F.lit(n)) for n, p in patterns.items()])
-
-
 def ownership_text(rows: DataFrame) -> DataFrame:
     """A sentence on each (ticker, quarter): holders, shares, value and the change (ticker, quarter, holders, shares, prior_shares)."""
     pct = F.when(F.col("prior_shares") > 0, (F.col("shares") - F.col("prior_shares")) * 100 / F.col("prior_shares"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.operators import actions, articles, cross_section, gates, membership, merge, returns, technicals
-from barloom.plans import catalog_inputs, records, series, shapes, sql, states, upkeep
+from barloom.plans import catalog_inputs, filings, records, series, shapes, sql, states, upkeep
 from barloom.plans.registry import DIGITS, merged, rounded
 from barloom.sources import tables
 
@@ -282,24 +282,15 @@ def ownership_deltas(spark, d):  # noqa: ANN001, ANN201
 
 def _articles(spark, d):  # noqa: ANN001, ANN202
     docs = tables.read(spark, d, "documents")
-    return docs.select("doc_id", F.substring_index("text", "\n", 1).alias("title"), F.concat(F.lit("http://x/"), F.col("doc_id") % 40, F.lit("?r="), "doc_id").alias("url"), "source", F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(doc_id % 30 as int))").alias("published_at"), "text")
+    return docs.select("doc_id", F.substring_index("text", "\n", 1).alias("title"), F.concat(F.lit("http://x/"), F.col("doc_id") % 40, F.lit("?r="), "doc_id").alias("url"), "source", F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(doc_id % 30 as int))").alias("published_at"), F.array(F.col("doc_id") % 50, F.col("doc_id") % 7).alias("tickers"), "text")
 
 
 @query
 def article_dedupe(spark, d):  # noqa: ANN001, ANN201
     a = _articles(spark, d).withColumn("fingerprint", articles.fingerprint("title", "url"))
-    return articles.canonical_articles(a, {"src0": 0.9, "src1": 0.8, "src2": 0.7})
-
-
-@query
-def article_sentiment(spark, d):  # noqa: ANN001, ANN201
-    return articles.dictionary_sentiment(tables.read(spark, d, "documents"), "doc_id", "text", ["the", "and", "of"], ["is", "was", "that"])
-
-
-@query
-def article_events(spark, d):  # noqa: ANN001, ANN201
-    rules = [("license", r"licen[sc]ed? under"), ("table", r"\|"), ("number", r"[0-9]{3}")]
-    return articles.event_flags(tables.read(spark, d, "documents"), "doc_id", "text", rules)
+    c = articles.canonical_articles(a, {"src0": 0.9, "src1": 0.8, "src2": 0.7})
+    text = lambda x: F.array_join(F.transform("records", lambda r: F.concat(F.coalesce(r["source"], F.lit("")), F.lit(" "), r["url"])), "; ") if x else F.array_join(F.col("tickers").cast("array<string>"), ",")
+    return c.withColumns({"tickers": text(False), "records": F.md5(text(True))})
 
 
 @query
@@ -340,4 +331,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 #: Modules with queries beside their SQL.
-MODULES = [series, records, states, upkeep, shapes]
+MODULES = [series, records, states, upkeep, shapes, filings]

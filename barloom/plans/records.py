@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.operators import articles, membership, news
+from barloom.operators import membership, news
+from barloom.plans import filings
 from barloom.plans.registry import Registry
 from barloom.sources import tables
 
 R = Registry()
 _TRUST = {"src0": 0.9, "src1": 0.8, "src2": 0.7}
 _W = "CASE source WHEN 'src0' THEN 0.9 WHEN 'src1' THEN 0.8 WHEN 'src2' THEN 0.7 ELSE 0.5 END::DOUBLE"
-_POS, _NEG = ["the", "and", "of"], ["is", "was", "that"]
-_SCORES = """tok AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '([a-z]+)', 1) AS t FROM documents),
-cnt AS (SELECT id, len(t) AS words, len(list_filter(t, lambda x: x IN ('the', 'and', 'of'))) AS positive, len(list_filter(t, lambda x: x IN ('is', 'was', 'that'))) AS negative FROM tok),
-scores AS (SELECT *, CASE WHEN positive + negative = 0 THEN 0.0 ELSE (positive - negative) / (positive + negative) END AS score FROM cnt)"""
+_SCORES = filings.SCORES
 _ART = f"arts AS (SELECT doc_id AS id, list_distinct([doc_id % 50, doc_id % 7]) AS tickers, DATE '2024-01-01' + (doc_id % 30)::INT AS date, source, {_W} AS w FROM documents)"
 
 
@@ -27,32 +25,32 @@ def _news(spark, d):  # noqa: ANN001, ANN202
 
 
 def _scores(spark, d):  # noqa: ANN001, ANN202
-    return articles.dictionary_sentiment(tables.read(spark, d, "documents"), "doc_id", "text", _POS, _NEG).withColumnRenamed("doc_id", "id")
+    return filings.scores(spark, d)
 
 
 @R.query(f"""WITH {_SCORES}, {_ART},
-ev AS (SELECT doc_id AS id, unnest(list_filter([CASE WHEN regexp_matches(text, '\\|') THEN 'table' END, CASE WHEN regexp_matches(text, '[0-9]{{3}}') THEN 'number' END], lambda x: x IS NOT NULL)) AS category FROM documents),
-e2 AS (SELECT id, category, 0.25 + 0.5 * (id % 2) AS severity FROM ev),
+{filings.EVENTS},
+e2 AS (SELECT id, category, description, 0.25 + 0.5 * (id % 2) AS severity FROM flags),
 ef AS (SELECT id, count(*) AS n, max(severity) AS m, sum(severity) AS s, list(category) AS c FROM e2 GROUP BY id),
-x AS (SELECT a.id, unnest(tickers) AS ticker, date, source, w FROM arts a), j AS (SELECT x.*, words, positive, negative, score, n, m, s, c FROM x LEFT JOIN scores USING (id) LEFT JOIN ef USING (id)),
+x AS (SELECT a.id, unnest(tickers) AS ticker, date, source, w FROM arts a), j AS (SELECT x.*, words, positive, negative, uncertainty, score, n, m, s, c FROM x LEFT JOIN scores USING (id) LEFT JOIN ef USING (id)),
 src AS (SELECT ticker, date, source, count(*) AS k FROM j GROUP BY ALL), js AS (SELECT ticker, date, '{{' || string_agg('"' || source || '":' || k, ',' ORDER BY source) || '}}' AS by_source FROM src GROUP BY ALL),
 cats AS (SELECT ticker, date, string_agg(DISTINCT cat, ',' ORDER BY cat) AS categories FROM (SELECT ticker, date, unnest(c) AS cat FROM j) GROUP BY ALL),
+tops AS (SELECT ticker, date, string_agg(description, '; ' ORDER BY k) AS top_events FROM (SELECT ticker, date, description, row_number() OVER (PARTITION BY ticker, date ORDER BY severity DESC, e2.id, category) AS k FROM x JOIN e2 ON e2.id = x.id) WHERE k <= 3 GROUP BY ALL),
 g AS (SELECT ticker, date, count(*) AS articles, sum(w) AS trusted_weight, avg(score) AS sentiment_mean, max(score) AS sentiment_max, min(score) AS sentiment_min, sum(w * score) / nullif(sum(w), 0) AS sentiment_trusted,
- sum(positive)::BIGINT AS positive, sum(negative)::BIGINT AS negative, sum(words)::BIGINT AS words, coalesce(sum(n), 0)::BIGINT AS events, coalesce(max(m), 0)::DOUBLE AS severity_max, coalesce(sum(s) / sum(n), 0)::DOUBLE AS severity_mean FROM j GROUP BY ALL)
-SELECT g.*, by_source, coalesce(categories, '') AS categories FROM g JOIN js USING (ticker, date) LEFT JOIN cats USING (ticker, date)""", "trusted_weight sentiment_mean sentiment_max sentiment_min sentiment_trusted severity_max severity_mean")
+ sum(positive)::BIGINT AS positive, sum(negative)::BIGINT AS negative, sum(uncertainty)::BIGINT AS uncertainty, sum(words)::BIGINT AS words, coalesce(sum(n), 0)::BIGINT AS events, coalesce(max(m), 0)::DOUBLE AS severity_max, coalesce(sum(s) / sum(n), 0)::DOUBLE AS severity_mean FROM j GROUP BY ALL)
+SELECT g.*, by_source, coalesce(categories, '') AS categories, coalesce(top_events, '') AS top_events FROM g JOIN js USING (ticker, date) LEFT JOIN cats USING (ticker, date) LEFT JOIN tops USING (ticker, date)""", "trusted_weight sentiment_mean sentiment_max sentiment_min sentiment_trusted severity_max severity_mean")
 def news_daily(spark, d):  # noqa: ANN001, ANN201
-    e = articles.event_flags(tables.read(spark, d, "documents"), "doc_id", "text", [("table", r"\|"), ("number", r"[0-9]{3}")])
-    e = e.select(F.col("doc_id").alias("id"), "category", (0.25 + 0.5 * (F.col("doc_id") % 2)).alias("severity"))
+    e = filings.events(spark, d).withColumn("severity", 0.25 + 0.5 * (F.col("id") % 2))
     return news.daily_aggregate(_news(spark, d), _scores(spark, d), e, _trust())
 
 
-@R.query(f"""WITH {_SCORES}, v AS (SELECT doc_id % 300 AS fingerprint, doc_id AS id, source, {_W} AS w, CASE WHEN doc_id % 4 = 0 THEN ' ' ELSE md5(coalesce(text, '')) END AS body, [coalesce(lang, ''), 't' || doc_id % 3] AS tags FROM documents),
+@R.query(f"""WITH {_SCORES}, v AS (SELECT doc_id % 300 AS fingerprint, doc_id AS id, source, {_W} AS w, CASE WHEN doc_id % 4 = 0 THEN ' ' ELSE md5(coalesce(text, '')) END AS body, [coalesce(lang, ''), 't' || doc_id % 3] AS tags, CASE WHEN doc_id % 5 > 1 THEN 'kind' || doc_id % 5 END AS event, (doc_id % 7) / 10.0 AS severity FROM documents),
 j AS (SELECT v.*, score FROM v JOIN scores USING (id)),
 tg AS (SELECT fingerprint, string_agg(DISTINCT t, ',' ORDER BY t) AS tags FROM (SELECT fingerprint, unnest(tags) AS t FROM v) GROUP BY ALL),
-g AS (SELECT fingerprint, arg_max(source, row(w, source)) AS primary_source, arg_max(body, row(w, source, body)) FILTER (trim(body) <> '') AS body, avg(score) AS score_mean, count(*) AS variants FROM j GROUP BY ALL)
+g AS (SELECT fingerprint, arg_max(source, row(w, source)) AS primary_source, arg_max(body, row(w, source, body)) FILTER (trim(body) <> '') AS body, avg(score) AS score_mean, count(*) AS variants, arg_max(event, row(severity, event)) FILTER (event IS NOT NULL) AS top_event FROM j GROUP BY ALL)
 SELECT * FROM g JOIN tg USING (fingerprint)""", "score_mean")
 def article_records(spark, d):  # noqa: ANN001, ANN201
-    v = tables.read(spark, d, "documents").select((F.col("doc_id") % 300).alias("fingerprint"), F.col("doc_id").alias("id"), "source", F.when(F.col("doc_id") % 4 == 0, " ").otherwise(F.md5(F.coalesce("text", F.lit("")))).alias("body"), F.array(F.coalesce("lang", F.lit("")), F.concat(F.lit("t"), F.col("doc_id") % 3)).alias("tags"))
+    v = tables.read(spark, d, "documents").select((F.col("doc_id") % 300).alias("fingerprint"), F.col("doc_id").alias("id"), "source", F.when(F.col("doc_id") % 4 == 0, " ").otherwise(F.md5(F.coalesce("text", F.lit("")))).alias("body"), F.array(F.coalesce("lang", F.lit("")), F.concat(F.lit("t"), F.col("doc_id") % 3)).alias("tags"), F.when(F.col("doc_id") % 5 > 1, F.concat(F.lit("kind"), F.col("doc_id") % 5)).alias("event"), (F.col("doc_id") % 7 / 10).alias("severity"))
     return news.article_records(v.join(_scores(spark, d), "id"), _trust())
 
 
@@ -74,17 +72,6 @@ def topic_feed(spark, d):  # noqa: ANN001, ANN201
     return news.topic_feed(e, "2024-01-05", 50).drop("published_at")
 
 
-@R.query("""WITH s AS (SELECT doc_id, trim(regexp_extract(text, '(?is)\\. [A-Z][a-z]+(.*?)(?:\\n|\\z)', 1), ' ') AS b FROM documents) SELECT doc_id, md5(b) AS section_md5, length(b) AS chars FROM (SELECT doc_id, CASE WHEN length(b) >= 200 THEN substring(b, 1, 50000) END AS b FROM s)""")
-def filing_sections(spark, d):  # noqa: ANN001, ANN201
-    s = tables.read(spark, d, "documents").select("doc_id", news.section("text", r"\. [A-Z][a-z]+", r"\n").alias("b"))
-    return s.select("doc_id", F.md5("b").alias("section_md5"), F.length("b").cast("long").alias("chars"))
-
-
-@R.query("""SELECT doc_id, concat_ws(',', CASE WHEN regexp_matches(text, '[0-9]{3}') THEN 'figures' END, CASE WHEN regexp_matches(text, '(?i)licen[sc]e') THEN 'license' END, CASE WHEN regexp_matches(text, '@') THEN 'contact' END) AS items FROM documents""")
-def filing_items(spark, d):  # noqa: ANN001, ANN201
-    return tables.read(spark, d, "documents").select("doc_id", news.items("text", {"figures": "[0-9]{3}", "license": "(?i)licen[sc]e", "contact": "@"}).alias("items"))
-
-
 @R.query("""WITH h AS (SELECT year(l_shipdate) AS y, l_partkey % 100 AS ticker, count(DISTINCT l_suppkey) AS holders, sum(l_quantity) AS shares FROM lineitem GROUP BY ALL),
 p AS (SELECT *, lag(shares) OVER (PARTITION BY ticker ORDER BY y) AS prior FROM h)
 SELECT ticker, y::VARCHAR AS quarter, ticker || ': ' || holders || ' holders with ' || shares::BIGINT || ' shares in ' || y || ', ' || CASE WHEN prior IS NULL THEN 'new' WHEN shares > prior THEN 'up' WHEN shares < prior THEN 'down' ELSE 'unchanged' END AS body FROM p""")

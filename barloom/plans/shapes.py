@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import windows
 from barloom.operators import articles, documents, gates, payloads, tracking
-from barloom.plans import records, sql
+from barloom.plans import filings, records, sql
 from barloom.plans.registry import Registry
 from barloom.plans.upkeep import _MACRO
 from barloom.sources import tables
@@ -136,7 +136,6 @@ def price_source(spark, d):  # noqa: ANN001, ANN201
     return documents.price_source(b, m).select("ticker", "date", "close", "volume", "vwap", "source")
 
 
-@R.query(f"""WITH {records._SCORES} SELECT id, 'score' AS kind, 'sentiment' AS name, score AS value FROM scores UNION ALL SELECT doc_id, 'event', 'table', 1 FROM documents WHERE regexp_matches(text, '\\|') UNION ALL SELECT doc_id, 'event', 'number', 1 FROM documents WHERE regexp_matches(text, '[0-9]{{3}}')""", "value")
+@R.query(f"""WITH {records._SCORES}, {filings.EVENTS} SELECT id, 'score' AS kind, 'sentiment' AS name, score AS value FROM scores UNION ALL SELECT id, 'event', category, 1 FROM flags""", "value")
 def article_annotations(spark, d):  # noqa: ANN001, ANN201
-    flags = articles.event_flags(tables.read(spark, d, "documents"), "doc_id", "text", [("table", r"\|"), ("number", r"[0-9]{3}")])
-    return documents.annotations(records._scores(spark, d), flags.withColumnRenamed("doc_id", "id"))
+    return documents.annotations(records._scores(spark, d), filings.events(spark, d).select("id", "category"))

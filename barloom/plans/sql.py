@@ -175,11 +175,9 @@ _SQL = {
     "ownership_deltas": f"""WITH {_HOLD}, n AS (SELECT ticker, filer, shares AS now FROM h WHERE quarter = '1996'), b AS (SELECT ticker, filer, shares AS before FROM h WHERE quarter = '1995')
  SELECT ticker, filer, now, before, CASE WHEN before IS NULL THEN 'new' WHEN now IS NULL THEN 'exited' WHEN now > before THEN 'increased' WHEN now < before THEN 'decreased' ELSE 'unchanged' END AS status, coalesce(now, 0) - coalesce(before, 0) AS delta FROM n FULL JOIN b USING (ticker, filer)""",
     "article_dedupe": f"""WITH a AS (SELECT *, split_part(text, chr(10), 1) AS title, 'http://x/' || (doc_id % 40) || '?r=' || doc_id AS url, timestamp '2024-01-01' + to_days((doc_id % 30)::INT) AS ts, CASE source WHEN 'src0' THEN 0.9 WHEN 'src1' THEN 0.8 WHEN 'src2' THEN 0.7 ELSE 0.5 END::DOUBLE AS w FROM documents),
- f AS (SELECT *, sha1({_TITLE} || '|' || sha1(regexp_replace(lower(url), '[?#].*$', ''))) AS fingerprint FROM a)
- SELECT fingerprint, arg_max(title, row(length(title), title)) AS title, arg_max(url, row(w, url)) AS url, min(ts) AS published_at, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS variants, max(w) AS trust FROM f GROUP BY ALL""",
-    "article_sentiment": """WITH t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z]+') AS t FROM documents), c AS (SELECT doc_id, len(t)::INT AS words, len(list_filter(t, lambda x: x IN ('the', 'and', 'of')))::INT AS positive, len(list_filter(t, lambda x: x IN ('is', 'was', 'that')))::INT AS negative FROM t)
- SELECT *, CASE WHEN positive + negative = 0 THEN 0.0 ELSE (positive - negative) / (positive + negative) END::DOUBLE AS score FROM c""",
-    "article_events": r"SELECT doc_id, category FROM (SELECT doc_id, unnest(['license', 'table', 'number']) AS category, unnest(['licen[sc]ed? under', '\|', '[0-9]{3}']) AS p, lower(coalesce(text, '')) AS s FROM documents) WHERE regexp_matches(s, p)",
+ f AS (SELECT *, sha1({_TITLE} || '|' || sha1(regexp_replace(lower(url), '[?#].*$', ''))) AS fingerprint FROM a),
+ tk AS (SELECT fingerprint, string_agg(t::VARCHAR, ',' ORDER BY t) AS tickers FROM (SELECT DISTINCT fingerprint, unnest([doc_id % 50, doc_id % 7]) AS t FROM f) GROUP BY ALL)
+ SELECT fingerprint, any_value(tickers) AS tickers, md5(string_agg(coalesce(source, '') || ' ' || url, '; ' ORDER BY source NULLS FIRST, url)) AS records, arg_max(title, row(length(title), title)) AS title, arg_max(url, row(w, url)) AS url, min(ts) AS published_at, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS variants, max(w) AS trust FROM f JOIN tk USING (fingerprint) GROUP BY fingerprint""",
     "article_chunks": r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '') AS w FROM documents)
  SELECT doc_id, (s // 269)::INT AS chunk, md5(array_to_string(w[s + 1 : s + 307], ' ')) AS body_md5 FROM w, unnest(range(0, len(w), 269)) u(s) WHERE len(w) > 0""",
     "transcript_sections": "WITH s AS (SELECT *, CASE WHEN sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn) >= 2 THEN 'q_and_a' ELSE 'remarks' END AS section FROM conversations) SELECT conv_id, section, count(*) AS turns, sum(length(text))::BIGINT AS chars, min(turn) AS first_turn FROM s GROUP BY ALL",
@@ -230,7 +228,6 @@ DOUBLES = {
     "ownership": ["shares", "value", "top_share"],
     "ownership_deltas": ["now", "before", "delta"],
     "article_dedupe": ["trust"],
-    "article_sentiment": ["score"],
     "vector_centroids": ['"first"', "total"],
     "centroid_drift": ["similarity", "change"],
 }
