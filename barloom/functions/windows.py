@@ -56,6 +56,41 @@ def ewm(df: DataFrame, x: str, alpha: float, out: str, keys: tuple[str, ...] = (
     return df.withColumn(out, F.when(F.col("_i") >= 0, F.col("_s") + F.coalesce(F.pow(F.lit(d), F.col("_j") + 1) * F.col("_c"), F.lit(0.0)))).drop("_i", "_b", "_j", "_s", "_c")
 
 
+def ewms(df: DataFrame, series: list[tuple[str, float, str]], keys: tuple[str, ...] = ("ticker",), order: str = "date") -> DataFrame:
+    """`ewm` of several (x, alpha, out) at once, for series whose nulls only lead: all of them share two sorts."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
+    df = df.withColumn("_r", place).withColumns({"_b": F.floor(F.col("_r") / BLOCK), "_j": F.col("_r") % BLOCK})
+    by = Window.partitionBy(*keys).orderBy("_b", order)  # the order of `inside`, so one sort serves both
+    inside = Window.partitionBy(*keys, "_b").orderBy(order)
+    df = df.withColumns({f"_n_{x}": F.count(x).over(by) for x, _, _ in series})
+    z = lambda x, a: F.when(F.col(f"_n_{x}") == 1, F.col(x)).otherwise(a * F.col(x)) * F.pow(F.lit(1 - a), -F.col("_j"))
+    df = df.withColumns({f"_s_{out}": F.pow(F.lit(1 - a), F.col("_j")) * F.sum(z(x, a)).over(inside) for x, a, out in series})
+    df = df.withColumns({f"_l_{out}": F.when(F.col("_j") == 0, F.lag(f"_s_{out}", 1).over(by)) for _, _, out in series})
+    df = df.withColumns({f"_c_{out}": F.max(f"_l_{out}").over(inside) for _, _, out in series})
+    value = lambda x, a, out: F.when(F.col(f"_n_{x}") > 0, F.coalesce(f"_s_{out}", F.lit(0.0)) + F.coalesce(F.pow(F.lit(1 - a), F.col("_j") + 1) * F.col(f"_c_{out}"), F.lit(0.0)))
+    gone = [f"_{k}_{out}" for _, _, out in series for k in "slc"] + [f"_n_{x}" for x, _, _ in series]
+    return df.withColumns({out: value(x, a, out) for x, a, out in series}).drop("_r", "_b", "_j", *gone)
+
+
+def known(n: int, x: str) -> Column:
+    """Whether the last n rows all have x, from the place of the last null instead of a sliding count; needs the column `_rn` (row numbers from 1)."""
+    return F.col("_rn") - F.coalesce(F.max(F.when(F.col(x).isNull(), F.col("_rn"))).over(by_ticker()), F.lit(0)) >= n
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    return df.withColumn("_rn", F.row_number().over(by_ticker()))
+
+
+def sliding(n: int, agg: Column, x: str) -> Column:
+    """As `full`, for a numbered table."""
+    return F.when(known(n, x), agg.over(rows(n)))
+
+
+def spread(combine, x: str, step: int, times: int) -> Column:  # noqa: ANN001
+    """An extreme (greatest or least) over step * times rows from the column x of extremes over step rows."""
+    return combine(*[F.col(x) if k == 0 else lag(x, k * step) for k in range(times)])
+
+
 def as_of(calendar: DataFrame, series: DataFrame, value: str, out: str, order: str = "date") -> DataFrame:
     """For each date of the calendar the newest value on or before it, with its date (out_date). One row per date on both sides."""
     both = calendar.select(order).withColumn("_v", F.lit(None).cast(dict(series.dtypes)[value])).withColumn("_q", F.lit(1))

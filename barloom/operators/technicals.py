@@ -5,47 +5,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.windows import by_ticker, change, ewm, full, lag, rows, safe
+from barloom.functions.windows import by_ticker, change, ewms, full, known, lag, numbered, rows, safe, sliding, spread
 
 YEAR = 252
 
 
 def price_features(bars: DataFrame) -> DataFrame:
-    """Moves, distances, volumes and oscillators of each ticker's own bars: (ticker, date, open, high, low, close, volume, vwap) in, the features added."""
+    """Moves, distances, volumes and oscillators of each ticker's own bars: (ticker, date, open, high, low, close, volume, vwap) in, the features added.
+
+    One sort by (ticker, date). A sliding frame costs its width at each row, so long means come from running sums, long extremes from
+    shorter frames' ones, and whether a frame is full from the place of the last null."""
     c, v = F.col("close"), F.col("volume")
     prior = lag("close", 1)
-    df = bars.withColumns({
-        "momentum_5d": change("close", 5), "momentum_20d": change("close", 20), "return_60d": change("close", 60), "return_120d": change("close", 120),
-        "mom_12_1_pct": safe(lag("close", 21), lag("close", 252)) - 1,
-        "price_vs_ma50": c / full(50, F.avg("close"), "close") - 1, "price_vs_ma200": c / full(200, F.avg("close"), "close") - 1,
-        "avg_volume_20d_raw": full(20, F.avg("volume"), "volume"),
+    df = numbered(bars).withColumns({
+        "_run": F.sum("close").over(by_ticker()), "_top63": F.max("close").over(rows(63)), "_low63": F.min("close").over(rows(63)), "_top20": F.max("close").over(rows(20)),
+        "_50": known(50, "close"), "_200": known(200, "close"), "_252": known(252, "close"), "_60": known(60, "close"),
+        "_log": F.log(c / prior), "_ret": safe(c, prior) - 1, "_delta": c - prior, "_overnight": safe(F.col("open"), prior) - 1, "_intraday": safe(c, F.col("open")) - 1,
         "_expanding": F.when(F.count("volume").over(by_ticker()) >= 20, F.avg("volume").over(by_ticker())),
-        "dist_from_52w_high": c / full(252, F.max("close"), "close") - 1, "dist_from_52w_low": c / full(252, F.min("close"), "close") - 1,
-        "dist_from_5d_high": c / full(5, F.max("high"), "high") - 1, "dist_from_20d_high": c / full(20, F.max("high"), "high") - 1,
-        "_overnight": safe(F.col("open"), prior) - 1, "_intraday": safe(c, F.col("open")) - 1,
-        "_log": F.log(c / prior), "_ret": safe(c, prior) - 1, "_delta": c - prior,
-        "_tr": F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - prior), F.abs(F.col("low") - prior)),
-        "vwap_divergence_pct": safe(c - F.col("vwap"), F.col("vwap")), "volume_trend": F.coalesce(safe(full(5, F.avg("volume"), "volume"), full(20, F.avg("volume"), "volume")), F.lit(1.0)),
         "_mf": F.coalesce(safe((c - F.col("low")) - (F.col("high") - c), F.col("high") - F.col("low")), F.lit(0.0)) * v,
-        "_peak": full(60, F.max("close"), "close"),
-        "_mid": full(20, F.avg("close"), "close"), "_sd": full(20, F.stddev_samp("close"), "close"),
+        "_mid": sliding(20, F.avg("close"), "close"), "_sd": sliding(20, F.stddev_samp("close"), "close"),
+    })
+    mean = lambda n: (F.col("_run") - F.coalesce(lag("_run", n), F.lit(0.0))) / n
+    df = df.withColumns({
+        "momentum_5d": change("close", 5), "momentum_20d": change("close", 20), "return_60d": change("close", 60), "return_120d": change("close", 120),
+        "mom_12_1_pct": safe(lag("close", 21), lag("close", 252)) - 1,
+        "price_vs_ma50": c / F.when(F.col("_50"), mean(50)) - 1, "price_vs_ma200": c / F.when(F.col("_200"), mean(200)) - 1,
+        "avg_volume_20d_raw": sliding(20, F.avg("volume"), "volume"),
+        "dist_from_52w_high": c / F.when(F.col("_252"), spread(F.greatest, "_top63", 63, 4)) - 1, "dist_from_52w_low": c / F.when(F.col("_252"), spread(F.least, "_low63", 63, 4)) - 1,
+        "dist_from_5d_high": c / sliding(5, F.max("high"), "high") - 1, "dist_from_20d_high": c / sliding(20, F.max("high"), "high") - 1,
+        "vwap_divergence_pct": safe(c - F.col("vwap"), F.col("vwap")), "volume_trend": F.coalesce(safe(sliding(5, F.avg("volume"), "volume"), sliding(20, F.avg("volume"), "volume")), F.lit(1.0)),
+        "_peak": F.when(F.col("_60"), spread(F.greatest, "_top20", 20, 3)),
     })
     df = df.withColumns({
         "avg_volume_20d": F.coalesce(safe(F.col("avg_volume_20d_raw"), F.col("_expanding")), F.when(F.col("_expanding") == 0, F.lit(1.0))),
         "rel_volume_ratio": F.coalesce(safe(v, F.col("avg_volume_20d_raw")), F.lit(1.0)),
-        "overnight_return_5d": full(5, F.sum("_overnight"), "_overnight"), "intraday_return_5d": full(5, F.sum("_intraday"), "_intraday"),
-        "vol_ratio_10_60": F.coalesce(safe(full(10, F.stddev_samp("_log"), "_log"), full(60, F.stddev_samp("_log"), "_log")), F.lit(1.0)),
-        "realized_vol_20d": full(20, F.stddev_samp("_ret"), "_ret") * F.sqrt(F.lit(YEAR)), "realized_vol_63d": full(63, F.stddev_samp("_ret"), "_ret") * F.sqrt(F.lit(YEAR)),
+        "overnight_return_5d": sliding(5, F.sum("_overnight"), "_overnight"), "intraday_return_5d": sliding(5, F.sum("_intraday"), "_intraday"),
+        "vol_ratio_10_60": F.coalesce(safe(sliding(10, F.stddev_samp("_log"), "_log"), sliding(60, F.stddev_samp("_log"), "_log")), F.lit(1.0)),
+        "realized_vol_20d": sliding(20, F.stddev_samp("_ret"), "_ret") * F.sqrt(F.lit(YEAR)), "realized_vol_63d": sliding(63, F.stddev_samp("_ret"), "_ret") * F.sqrt(F.lit(YEAR)),
         "bollinger_pct": F.coalesce(safe(c - (F.col("_mid") - 2 * F.col("_sd")), 4 * F.col("_sd")), F.lit(0.5)),
         "price_accel": F.col("momentum_5d") - F.col("momentum_20d"),
         "volume_price_div": F.signum(F.col("volume_trend") - 1) * F.signum("momentum_5d"),
-        "cmf_20_ratio": safe(full(20, F.sum("_mf"), "_mf"), full(20, F.sum("volume"), "volume")),
+        "cmf_20_ratio": safe(sliding(20, F.sum("_mf"), "_mf"), sliding(20, F.sum("volume"), "volume")),
         "_obv": F.sum(F.coalesce(F.signum("_delta"), F.lit(0.0)) * v).over(by_ticker()), "_dd": c / F.col("_peak") - 1,
     })
+    df = df.withColumns({"_dd20": F.min("_dd").over(rows(20)), "_ddfull": known(60, "_dd"), "_obv5": sliding(5, F.avg("_obv"), "_obv"), "_obv20": sliding(20, F.avg("_obv"), "_obv")})
     return df.withColumns({
-        "vol_of_vol_30d": full(30, F.stddev_samp("realized_vol_20d"), "realized_vol_20d"),
-        "max_drawdown_60d": full(60, F.min("_dd"), "_dd"),
-        "obv_slope_10d": safe(full(5, F.avg("_obv"), "_obv") - full(20, F.avg("_obv"), "_obv"), F.col("avg_volume_20d_raw")),
+        "vol_of_vol_30d": sliding(30, F.stddev_samp("realized_vol_20d"), "realized_vol_20d"),
+        "max_drawdown_60d": F.when(F.col("_ddfull"), spread(F.least, "_dd20", 20, 3)),
+        "obv_slope_10d": safe(F.col("_obv5") - F.col("_obv20"), F.col("avg_volume_20d_raw")),
     })
 
 
@@ -55,10 +62,9 @@ def oscillators(df: DataFrame) -> DataFrame:
     df = df.withColumns({"_d": F.col("close") - prior})
     df = df.withColumns({"_up": F.greatest("_d", F.lit(0.0)), "_down": F.greatest(-F.col("_d"), F.lit(0.0)), "_tr": F.greatest(F.col("high") - F.col("low"), F.coalesce(F.abs(F.col("high") - prior), F.lit(0.0)), F.coalesce(F.abs(F.col("low") - prior), F.lit(0.0)))})
     df = df.withColumns({n: F.when(F.col("_d").isNotNull(), F.col(n)) for n in ("_up", "_down")})
-    for x, alpha, out in (("_up", 1 / 14, "_gain"), ("_down", 1 / 14, "_loss"), ("close", 2 / 13, "_e12"), ("close", 2 / 27, "_e26"), ("close", 2 / 9, "_e8"), ("close", 2 / 22, "_e21"), ("_tr", 2 / 15, "_atr")):
-        df = ewm(df, x, alpha, out)
+    df = ewms(df, [("_up", 1 / 14, "_gain"), ("_down", 1 / 14, "_loss"), ("close", 2 / 13, "_e12"), ("close", 2 / 27, "_e26"), ("close", 2 / 9, "_e8"), ("close", 2 / 22, "_e21"), ("_tr", 2 / 15, "_atr")])
     df = df.withColumns({"rsi_14": 100 - 100 / (1 + safe(F.col("_gain"), F.col("_loss"))), "macd_line_last": F.col("_e12") - F.col("_e26"), "ema_cross_8_21": safe(F.col("_e8"), F.col("_e21")) - 1, "atr_14_pct": safe(F.col("_atr"), F.col("close"))})
-    df = ewm(df, "macd_line_last", 2 / 10, "_signal").withColumn("_hist", F.col("macd_line_last") - F.col("_signal"))
+    df = ewms(df, [("macd_line_last", 2 / 10, "_signal")]).withColumn("_hist", F.col("macd_line_last") - F.col("_signal"))
     before = lag("_hist", 1)
     df = df.withColumn("_cross", F.when((F.col("_hist") > 0) & (before <= 0), 1.0).when((F.col("_hist") < 0) & (before >= 0), -1.0))
     # the newest of the last three rows' crosses
@@ -97,8 +103,3 @@ def admitted(df: DataFrame, least: int = 265, tail: int = 585) -> DataFrame:
     by = Window.partitionBy("ticker")
     df = df.withColumn("_c", F.count(F.lit(1)).over(by)).where(F.col("_c") >= least).drop("_c")
     return latest(df, tail)
-
-
-def regime_interactions(df: DataFrame, vix: Column, trend: Column) -> DataFrame:
-    """Products of a ticker's features with the market's volatility level and trend."""
-    return df.withColumns({"mom5d_x_vix": F.col("momentum_5d") * (vix - 1), "vol_trend_x_vix": F.col("volume_trend") * (vix - 1), "accel_x_trend": F.col("price_accel") * trend})
