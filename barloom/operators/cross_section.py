@@ -15,12 +15,12 @@ def unpivot(df: DataFrame, ids: list[str], cols: list[str], name: str = "factor"
 def robust_zscores(long: DataFrame, keys: tuple[str, ...] = ("factor", "date"), x: str = "x", clip: float = 3.0) -> DataFrame:
     """Winsorised z-scores: clip at median +- 3 scaled MADs, then centre and scale by the population deviation.
 
-    Null where a cross-section has fewer than two values, no spread around its median, or no deviation. Works on the long
+    Missing values stay so and count for nothing. Null where a cross-section has fewer than two values, no spread around its median, or no deviation. Works on the long
     form: one shuffle by factor and date, whatever the number of columns; medians and deviations are windows over it."""
     w = Window.partitionBy(*keys)
     df = long.withColumns({"_med": F.median(x).over(w), "_n": F.count(x).over(w)})
     df = df.withColumn("_mad", F.median(F.abs(F.col(x) - F.col("_med"))).over(w) * MAD)
-    df = df.withColumn("_w", F.least(F.greatest(F.col(x), F.col("_med") - clip * F.col("_mad")), F.col("_med") + clip * F.col("_mad")))
+    df = df.withColumn("_w", F.when(F.col(x).isNotNull(), F.least(F.greatest(F.col(x), F.col("_med") - clip * F.col("_mad")), F.col("_med") + clip * F.col("_mad"))))
     df = df.withColumns({"_mu": F.avg("_w").over(w), "_sd": F.stddev_pop("_w").over(w)})
     z = F.when((F.col("_n") >= 2) & (F.col("_mad") > 0) & (F.col("_sd") > 0), (F.col("_w") - F.col("_mu")) / F.col("_sd"))
     return df.withColumn("z", z).drop("_med", "_n", "_mad", "_w", "_mu", "_sd")

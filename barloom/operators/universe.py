@@ -44,16 +44,6 @@ def set_divergence(a: DataFrame, b: DataFrame) -> DataFrame:
     return one(a, b, "first").union(one(b, a, "second"))
 
 
-def content_hash(df: DataFrame, columns: list[str], parts: int = 64) -> DataFrame:
-    """SHA-256 over a set of rows whatever their order: rows are hashed, folded within 64 parts of the key space in order, and the parts in order.
-
-    A part holds digests only; rows are never gathered."""
-    row = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
-    rows = df.select(row.alias("h")).withColumn("p", F.conv(F.substring("h", 1, 2), 16, 10).cast("int") % parts)
-    folded = rows.groupBy("p").agg(F.sum(F.conv(F.substring("h", 3, 12), 16, 10).cast("decimal(38,0)")).alias("s"), F.count(F.lit(1)).alias("n"))
-    return folded.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "s", "n"))), lambda x: F.concat_ws(":", x.p, x.s.cast("string"), x.n)), ";"), 256).alias("content_hash"), F.sum("n").alias("rows"))
-
-
 def allowlist_state(allowed: DataFrame, covered: DataFrame, members: DataFrame) -> DataFrame:
     """For each allowlisted ticker whether it is covered again today (healed), still absent, or no longer a member."""
     m = lambda df, c: df.select("ticker").distinct().withColumn(c, F.lit(True))

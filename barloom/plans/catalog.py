@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.operators import actions, articles, cross_section, gates, membership, merge, returns, technicals
-from barloom.plans import catalog_inputs, filings, records, series, shapes, sql, states, upkeep
+from barloom.plans import catalog_inputs, filings, panels, records, series, shapes, sql, states, stores, upkeep
 from barloom.plans.registry import DIGITS, merged, rounded
 from barloom.sources import tables
 
@@ -331,4 +331,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 #: Modules with queries beside their SQL.
-MODULES = [series, records, states, upkeep, shapes, filings]
+MODULES = [series, records, states, upkeep, shapes, filings, panels, stores]

@@ -106,7 +106,7 @@ _SQL = {
     "dispersion": f"WITH {_BARS}, r AS (SELECT date, {_change('close', 1)} AS r FROM bars) SELECT date, stddev_samp(r) AS xsect_dispersion, count(r) AS names FROM r GROUP BY ALL",
     "admitted_universe": f"WITH {_BARS}, k AS (SELECT ticker, date FROM bars QUALIFY count(*) OVER (PARTITION BY ticker) >= 480 AND row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= 400) SELECT ticker, count(*) AS rows, min(date) AS first_date FROM k GROUP BY ALL",
     "robust_zscores": f"""{_LONG}, md AS (SELECT factor, date, median(loading) AS med, count(loading) AS n FROM long GROUP BY ALL), lm AS (SELECT long.*, med, n FROM long JOIN md USING (factor, date)),
- ms AS (SELECT factor, date, median(abs(loading - med)) * 1.4826 AS mad FROM lm GROUP BY ALL), w AS (SELECT lm.*, mad, CASE WHEN loading IS NOT NULL THEN least(greatest(loading, med - 3 * mad), med + 3 * mad) ELSE least(med - 3 * mad, med + 3 * mad) END AS w FROM lm JOIN ms USING (factor, date)),
+ ms AS (SELECT factor, date, median(abs(loading - med)) * 1.4826 AS mad FROM lm GROUP BY ALL), w AS (SELECT lm.*, mad, CASE WHEN loading IS NOT NULL THEN least(greatest(loading, med - 3 * mad), med + 3 * mad) END AS w FROM lm JOIN ms USING (factor, date)),
  z AS (SELECT *, avg(w) OVER (PARTITION BY factor, date) AS mu, stddev_pop(w) OVER (PARTITION BY factor, date) AS sd FROM w) SELECT ticker, date, factor, CASE WHEN n >= 2 AND mad > 0 AND sd > 0 THEN (w - mu) / sd END AS z FROM z""",
     "plain_zscores": f"WITH {_PRICE} SELECT ticker, date, CASE WHEN stddev_samp(momentum_20d) OVER (PARTITION BY date) > 1e-9 THEN (momentum_20d - avg(momentum_20d) OVER (PARTITION BY date)) / stddev_samp(momentum_20d) OVER (PARTITION BY date) END AS z FROM price",
     "factor_returns": f"{_FACTOR} SELECT factor, date, factor_return, names FROM f",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.operators import actions, reconcile, universe
+from barloom.operators import actions, reconcile, stores, universe
 from barloom.plans import catalog_inputs, sql
 from barloom.plans.registry import Registry
 from barloom.sources import tables
@@ -137,10 +137,10 @@ def change_divergence(spark, d):  # noqa: ANN001, ANN201
     return universe.set_divergence(c.where("year(date) <= 1996"), c.where("year(date) >= 1999"))
 
 
-@R.query(f"""WITH {_CHG}, h AS (SELECT sha256(concat_ws('|', date::VARCHAR, ticker, action)) AS h FROM chg), p AS (SELECT ('0x' || h[1:2])::INT % 64 AS p, sum(('0x' || h[3:14])::BIGINT)::HUGEINT AS s, count(*) AS n FROM h GROUP BY ALL)
-SELECT sha256(string_agg(concat_ws(':', p, s, n), ';' ORDER BY p)) AS content_hash, sum(n)::BIGINT AS rows FROM p""")
+@R.query(f"""WITH {_CHG}, h AS (SELECT sha256(to_json([date::VARCHAR, ticker::VARCHAR, action])) AS h FROM chg), p AS (SELECT floor(('0x' || h[1:4])::INT * 64 / 65536.0) AS p, sha256(string_agg(h, ',' ORDER BY h)) AS s, count(*) AS n FROM h GROUP BY ALL)
+SELECT sha256(string_agg(s, ',' ORDER BY p)) AS content_hash, sum(n)::BIGINT AS rows FROM p""")
 def change_hash(spark, d):  # noqa: ANN001, ANN201
-    return universe.content_hash(_changes(spark, d), ["date", "ticker", "action"])
+    return stores.content_hash(_changes(spark, d), ["date", "ticker", "action"])
 
 
 @R.query("""SELECT s_suppkey AS ticker, CASE WHEN s_suppkey % 5 = 0 THEN 'not_member' WHEN s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-06-01') THEN 'healed' ELSE 'still_absent' END AS state FROM supplier WHERE s_suppkey % 2 = 0""")
