@@ -75,11 +75,3 @@ def splice_guard(bars: DataFrame, limit: float = 1.5) -> DataFrame:
     big = F.greatest(r, 1 / r)
     whole = (F.abs(big / F.bround(big) - 1) <= 0.005) & F.bround(big).between(2, 50)
     return bars.select("ticker", "date", r.alias("ratio"), F.when(r.isNull() | (big <= limit), "ok").when(whole, "split_like").otherwise("refused").alias("verdict"))
-
-
-def rename_history(bars: DataFrame, renames: DataFrame) -> DataFrame:
-    """History under the new ticker; where that has rows of its own the old ones go and are never merged."""
-    n = renames.select(F.col("old_ticker").alias("ticker"), "new_ticker")
-    taken = bars.select(F.col("ticker").alias("new_ticker")).distinct()
-    moved = bars.join(n, "ticker").join(taken, "new_ticker", "left_anti").withColumn("ticker", F.col("new_ticker")).select(*bars.columns)
-    return bars.join(n.select("ticker"), "ticker", "left_anti").select(*bars.columns).union(moved)

@@ -62,7 +62,8 @@ def first_tickers(df: DataFrame, n: int) -> DataFrame:
 def contract_gates(bars: DataFrame, anchor: Column, max_age: int, floors: dict[str, tuple[Column, float]]) -> DataFrame:
     """Gates (gate, value, passed) of a table: its anchor series and its tickers are fresh against the newest date, and each named share of rows reaches its floor."""
     last = bars.groupBy("ticker").agg(F.max("date").alias("last"), F.max(anchor).alias("anchor"), F.count(F.lit(1)).alias("n"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(f"_{k}") for k, (c, _) in floors.items()])
-    aged = last.withColumn("age", F.datediff(F.max("last").over(Window.partitionBy()), "last"))  # one narrow row per ticker
+    newest = bars.agg(F.max("date")).first()[0]
+    aged = last.withColumn("age", F.datediff(F.lit(newest).cast("date"), "last"))
     one = aged.agg(F.max(F.when(F.col("anchor"), F.col("age"))).cast("double").alias("anchor_age"), F.avg((F.col("age") <= max_age).cast("double")).alias("fresh"), *[(F.sum(f"_{k}") / F.sum("n")).alias(k) for k in floors])
     long = one.unpivot([], ["anchor_age", "fresh", *floors], "gate", "value")
     least = F.coalesce(*[F.when(F.col("gate") == k, F.lit(float(x))) for k, (_, x) in floors.items()], F.lit(1.0))

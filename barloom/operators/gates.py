@@ -28,11 +28,12 @@ def row_gate(bars: DataFrame, move: float = 0.5, spike: float = 10.0, window: in
 def series_gate(bars: DataFrame, move: float = 0.5, gap_days: int = 5) -> DataFrame:
     """Per ticker: bars, anomalies of each kind, and the first five dates of large moves."""
     df = bars.withColumns({"_c": lag("close", 1), "_d": lag("date", 1)})
-    big = F.abs(F.col("close") / F.col("_c") - 1) > move
+    big = F.coalesce(F.abs(F.col("close") / F.col("_c") - 1) > move, F.lit(False))
+    df = df.withColumn("_nth", F.when(big, F.sum(big.cast("int")).over(by_ticker())))
     count = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("int"))
     return df.groupBy("ticker").agg(
         F.count(F.lit(1)).alias("bars"), count(F.col("high") < F.col("low")).alias("bad_range"), count(F.col("close") <= 0).alias("nonpositive"), count(big).alias("large_moves"),
-        F.array_join(F.slice(F.sort_array(F.collect_list(F.when(big, F.date_format("date", "yyyy-MM-dd")))), 1, 5), ",").alias("first_moves"),
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("_nth") <= 5, F.date_format("date", "yyyy-MM-dd")))), ",").alias("first_moves"),
         count(F.col("volume") == 0).alias("zero_volume"), count(F.datediff("date", "_d") > gap_days).alias("gaps"),
     )
 

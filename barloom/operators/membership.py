@@ -22,18 +22,21 @@ def roster_changes(rosters: DataFrame) -> DataFrame:
 def point_in_time(dates: DataFrame, current: DataFrame, changes: DataFrame) -> DataFrame:
     """Membership on each date, replayed backwards from the current roster: a ticker's next change on or after a date tells what it was before.
 
-    Before ADDED it was out, before REMOVED in; with no later change it is what it is now. Membership before a date excludes that date's own change."""
+    Before ADDED it was out, before REMOVED in; with no later change it is what it is now. Membership before a date excludes that date's own change.
+    A ticker's changes cut time into stretches; only those in which it was a member meet the dates that they hold, so the rows made are the members."""
+    cal = dates.select("date").distinct().withColumn("n", F.row_number().over(Window.orderBy("date")))  # one row per asked date
+    total = cal.agg(F.max("n")).first()[0] or 0
     c = changes.groupBy("ticker", "date").agg(F.max("action").alias("action"))
-    names = c.select("ticker").union(current.select("ticker")).distinct()
-    grid = F.broadcast(dates.select("date").distinct())  # the asked dates
-    asked = names.join(grid)
-    both = asked.select("ticker", "date", F.lit(None).cast("string").alias("action"), F.lit(0).alias("q")).union(c.select("ticker", "date", "action", F.lit(1)))
-    w = Window.partitionBy("ticker").orderBy("date", "q").rowsBetween(1, Window.unboundedFollowing)
-    nxt = both.withColumn("next", F.first("action", ignorenulls=True).over(w)).where("q = 0")
     now = current.select("ticker").distinct().withColumn("now", F.lit(True))
-    df = nxt.join(now, "ticker", "left")
-    member = F.when(F.col("next") == "REMOVED", True).when(F.col("next") == "ADDED", False).otherwise(F.coalesce("now", F.lit(False)))
-    return df.withColumn("member", member).where("member").select("date", "ticker")
+    ends = c.union(now.select("ticker", F.lit(None).cast("date"), F.lit("REMOVED")))  # whoever is a member now leaves at the end of time
+    w = Window.partitionBy("ticker").orderBy(F.col("date").asc_nulls_last())
+    stretch = ends.withColumn("after", F.lag("date").over(w)).where("action = 'REMOVED'")
+    # the first asked date after the last change, and the last one up to this change, by their places in the calendar
+    marks = cal.select("date", "n", F.lit(1).alias("q")).unionByName(c.select("date").distinct().select("date", F.lit(None).cast("int").alias("n"), F.lit(2).alias("q")))
+    place = marks.withColumn("p", F.coalesce(F.max("n").over(Window.orderBy("date", "q").rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))).where("q = 2").select("date", "p")
+    s = stretch.join(place.select(F.col("date").alias("after"), F.col("p").alias("lo")), "after", "left").join(place.select("date", F.col("p").alias("hi")), "date", "left")
+    s = s.select("ticker", F.coalesce("lo", F.lit(0)).alias("lo"), F.coalesce("hi", F.lit(total)).alias("hi")).where("hi > lo")
+    return s.select("ticker", F.explode(F.sequence(F.col("lo") + 1, F.col("hi"))).alias("n")).join(cal, "n").select("date", "ticker")
 
 
 def membership_windows(membership: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import actions, articles, cross_section, gates, membership, merge, returns, technicals
@@ -22,9 +22,9 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Momentum, trend and drawdown of each ticker's newest bar, ranked."""
+    """Momentum, trend and drawdown of each ticker's newest bar, the strongest first."""
     f = technicals.latest(technicals.price_features(tables.bars(spark, sf_dir)))
-    return f.select("ticker", "date", "close", "momentum_20d", "price_vs_ma50", "max_drawdown_60d", F.rank().over(Window.orderBy(F.desc_nulls_last("momentum_20d"))).alias("strength"))
+    return f.select("ticker", "date", "close", "momentum_20d", "price_vs_ma50", "max_drawdown_60d").orderBy(F.desc_nulls_last("momentum_20d"), "ticker")
 
 
 @query
@@ -174,8 +174,8 @@ def field_gate(spark, d):  # noqa: ANN001, ANN201
 @query
 def universe_drift(spark, d):  # noqa: ANN001, ANN201
     li = tables.read(spark, d, "lineitem")
-    a = li.where("year(l_shipdate) = 1994 and l_quantity > 40").select(F.col("l_partkey").alias("ticker"))
-    b = li.where("year(l_shipdate) = 1995 and l_quantity > 40").select(F.col("l_partkey").alias("ticker"))
+    a = li.where("year(l_shipdate) <= 1994").select(F.col("l_partkey").alias("ticker"))
+    b = li.where("year(l_shipdate) >= 1995").select(F.col("l_partkey").alias("ticker"))
     return gates.drift(a, b)
 
 
@@ -244,7 +244,7 @@ def period_returns(spark, d):  # noqa: ANN001, ANN201
 
 
 def _rosters(spark, d):  # noqa: ANN001, ANN202
-    return tables.read(spark, d, "lineitem").where("l_quantity >= 45").select(F.expr("cast(trunc(l_shipdate, 'quarter') as date)").alias("date"), F.col("l_suppkey").alias("ticker")).distinct()
+    return tables.read(spark, d, "lineitem").select(F.expr("cast(trunc(l_shipdate, 'quarter') as date)").alias("date"), F.col("l_partkey").alias("ticker")).distinct()
 
 
 @query

@@ -90,7 +90,7 @@ _FWD = f"""WITH {_BARS}, {_MARKET}, {_CAL},
 p AS (SELECT ticker, date, close, session FROM bars JOIN cal USING (date)), mk AS (SELECT session, spy FROM market JOIN cal USING (date)),
 fwd AS (SELECT a.ticker, a.date, h AS horizon, b.close / a.close - 1 AS ret, ln(b.close / a.close) AS log_ret, m1.spy / m0.spy - 1 AS spy_ret, ln(m1.spy / m0.spy) AS log_spy, a.close AS c0
  FROM p a CROSS JOIN unnest([1, 3, 5, 10, 21]) u(h) JOIN p b ON b.ticker = a.ticker AND b.session = a.session + h LEFT JOIN mk m0 ON m0.session = a.session LEFT JOIN mk m1 ON m1.session = a.session + h)"""
-_ROST = "rosters AS (SELECT DISTINCT date_trunc('quarter', l_shipdate)::DATE AS date, l_suppkey AS ticker FROM lineitem WHERE l_quantity >= 45)"
+_ROST = "rosters AS (SELECT DISTINCT date_trunc('quarter', l_shipdate)::DATE AS date, l_partkey AS ticker FROM lineitem)"
 _CHG = f"""{_ROST}, rc AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM (SELECT DISTINCT date FROM rosters)),
 changes AS (SELECT c.date, x.ticker, CASE WHEN r.ticker IS NULL THEN 'REMOVED' ELSE 'ADDED' END AS action FROM (SELECT DISTINCT ticker FROM rosters) x CROSS JOIN rc c LEFT JOIN rosters r ON r.ticker = x.ticker AND r.date = c.date
  LEFT JOIN (SELECT n + 1 AS n, rosters.ticker FROM rosters JOIN rc USING (date)) b ON b.ticker = x.ticker AND b.n = c.n WHERE c.n > 1 AND (r.ticker IS NULL) <> (b.ticker IS NULL))"""
@@ -139,7 +139,7 @@ _SQL = {
  s AS (SELECT *, (hi - lo) / lo * 1e4 AS spread_bps FROM g) SELECT ticker, date, sources, spread_bps, CASE WHEN sources = 0 THEN 'no_data' WHEN sources = 1 THEN 'provisional' WHEN spread_bps <= 2000 THEN 'agreed' ELSE 'quarantine' END AS status, CASE WHEN sources = 1 OR spread_bps <= 2000 THEN mean END AS value FROM s""",
     "field_gate": """WITH l AS (SELECT l_orderkey, l_linenumber, unnest(['l_quantity', 'l_discount']) AS field, unnest([l_quantity, l_discount]) AS x, unnest([2, 0.01]) AS lo, unnest([48, 0.09]) AS hi FROM lineitem)
  SELECT l_orderkey, l_linenumber, field, x, CASE WHEN x < lo THEN 'below' ELSE 'above' END AS violation FROM l WHERE x < lo OR x > hi""",
-    "universe_drift": """WITH a AS (SELECT DISTINCT l_partkey AS ticker FROM lineitem WHERE year(l_shipdate) = 1994 AND l_quantity > 40), b AS (SELECT DISTINCT l_partkey AS ticker FROM lineitem WHERE year(l_shipdate) = 1995 AND l_quantity > 40)
+    "universe_drift": """WITH a AS (SELECT DISTINCT l_partkey AS ticker FROM lineitem WHERE year(l_shipdate) <= 1994), b AS (SELECT DISTINCT l_partkey AS ticker FROM lineitem WHERE year(l_shipdate) >= 1995)
  SELECT ticker, 'missing' AS side FROM (FROM a EXCEPT FROM b) UNION ALL SELECT ticker, 'extra' FROM (FROM b EXCEPT FROM a)""",
     "quote_sanity": f"WITH {_BARS}, p AS (SELECT *, lag(close) OVER ({_BY}) AS p FROM bars) SELECT ticker, date, abs(open / p - 1) > 0.4 AS jumped, close / p < 0.5 OR close / p > 2.0 AS off_scale FROM p",
     "split_restatement": f"""WITH {_BARS}, {_SPLITS}, f AS (SELECT b.ticker, b.date, coalesce(product(split_from / split_to), 1.0) AS f FROM bars b LEFT JOIN splits s ON s.ticker = b.ticker AND s.ex_date > b.date GROUP BY ALL)

@@ -111,12 +111,12 @@ def priced_universe(spark, d):  # noqa: ANN001, ANN201
     return universe.priced(t("supplier", "s_suppkey", "s_nationkey"), t("customer", "c_custkey", "c_nationkey").where("ticker % 3 = 0"))
 
 
-_CHG = """raw AS (SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date, 'T' || o_custkey % 400 AS added, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'R' || o_custkey % 300 END AS removed FROM orders WHERE o_totalprice > 200000),
+_CHG = """raw AS (SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date, 'T' || o_custkey % 400 AS added, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'R' || o_custkey % 300 END AS removed FROM orders),
 lg AS (SELECT try_cast(date AS DATE) AS date, added AS ticker, 'ADDED' AS action FROM raw UNION ALL SELECT try_cast(date AS DATE), removed, 'REMOVED' FROM raw), chg AS (SELECT * FROM lg WHERE date IS NOT NULL AND regexp_full_match(ticker, '[A-Z0-9.-]+'))"""
 
 
 def _changes(spark, d):  # noqa: ANN001, ANN202
-    o = tables.read(spark, d, "orders").where("o_totalprice > 200000")
+    o = tables.read(spark, d, "orders")
     return universe.change_events(o.select(F.when(F.col("o_orderkey") % 13 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"), F.concat(F.lit("T"), F.col("o_custkey") % 400).alias("added"), F.when(F.col("o_orderkey") % 7 == 0, "").otherwise(F.concat(F.lit("R"), F.col("o_custkey") % 300)).alias("removed")))
 
 
@@ -143,10 +143,10 @@ def change_hash(spark, d):  # noqa: ANN001, ANN201
     return stores.content_hash(_changes(spark, d), ["date", "ticker", "action"])
 
 
-@R.query("""SELECT s_suppkey AS ticker, CASE WHEN s_suppkey % 5 = 0 THEN 'not_member' WHEN s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-06-01') THEN 'healed' ELSE 'still_absent' END AS state FROM supplier WHERE s_suppkey % 2 = 0""")
+@R.query("""SELECT s_suppkey AS ticker, CASE WHEN s_suppkey % 5 = 0 THEN 'not_member' WHEN s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-06-01') THEN 'healed' ELSE 'still_absent' END AS state FROM supplier""")
 def allowlist_state(spark, d):  # noqa: ANN001, ANN201
     today = tables.bars(spark, d).where("date >= date'2001-06-01'")
-    return universe.allowlist_state(_tickers(spark, d, "s_suppkey % 2 = 0"), today, _tickers(spark, d, "s_suppkey % 5 <> 0"))
+    return universe.allowlist_state(_tickers(spark, d, "true"), today, _tickers(spark, d, "s_suppkey % 5 <> 0"))
 
 
 @R.query(f"WITH {_BARS}, c AS (SELECT min(date) AS f FROM (SELECT DISTINCT date FROM bars ORDER BY date DESC LIMIT 5)), l AS (SELECT ticker, max(date) AS last_date FROM bars GROUP BY ALL) SELECT ticker, last_date, CASE WHEN last_date >= f THEN 'cached' ELSE 'gap' END AS route FROM l, c")

@@ -44,12 +44,12 @@ def grading_lag(spark, d):  # noqa: ANN001, ANN201
 
 
 @R.query(f"""WITH {_CAL}, p AS (SELECT ticker, date, close, session FROM bars JOIN cal USING (date)), h AS (SELECT unnest([5, 10, 21])::INT AS horizon),
-r AS (SELECT a.ticker, a.date, horizon, a.close AS entry, b.close / a.close - 1 AS ret FROM p a, h, p b WHERE a.ticker = b.ticker AND b.session = a.session + horizon AND a.ticker % 3 = 0)
+r AS (SELECT a.ticker, a.date, horizon, a.close AS entry, b.close / a.close - 1 AS ret FROM p a, h, p b WHERE a.ticker = b.ticker AND b.session = a.session + horizon)
 SELECT ticker, date, horizon, entry, floor(entry * (1 + ret) * 100.0::DOUBLE + 0.5) / 100.0::DOUBLE AS exit FROM r""", "entry exit")
 def exit_prices(spark, d):  # noqa: ANN001, ANN201
     b = tables.bars(spark, d)
     forward = returns.forward_returns(b, tables.benchmark(spark, d), (5, 10, 21))
-    return tracking.exit_prices(b.where("ticker % 3 = 0").select("ticker", "date", F.col("close").alias("entry")), forward)
+    return tracking.exit_prices(b.select("ticker", "date", F.col("close").alias("entry")), forward)
 
 
 @R.query("""WITH o AS (SELECT o_custkey AS ticker, o_orderdate::DATE AS date, o_orderkey % 2 AS shape, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'BUY' ELSE 'HOLD' END AS signal, o_totalprice AS score FROM orders),

@@ -122,8 +122,34 @@ def test_stream_merge_equals_batch(spark, tmp_path):
     c.repartition(3).write.parquet(str(tmp_path / "in"))
     ranks = {"click": 3, "view": 2, "signup": 1}
     jobs.merge_into(str(tmp_path / "out"), ranks, str(tmp_path / "cp"))(jobs.stream(spark, str(tmp_path / "in"), c.schema)).awaitTermination()
-    last = max(int(x.split("=")[1]) for x in os.listdir(tmp_path / "out"))
-    got = spark.read.parquet(str(tmp_path / f"out/version={last}"))
+    got = jobs.merged(spark, str(tmp_path / "out"))
     best = merge.keep_last(c.withColumn("p", merge.priority("source", ranks)), ["ticker", "date"], [F.desc("p")]).select("ticker", "date", "p")
     both = got.withColumn("p", merge.priority("source", ranks)).select("ticker", "date", "p")
     assert both.exceptAll(best).isEmpty() and best.exceptAll(both).isEmpty()
+
+
+def test_stream_state_of_last_bars(spark, tmp_path):
+    b = tables.bars(spark, SF).select("ticker", "date", "close")
+    b.repartition(3).write.parquet(str(tmp_path / "in"))
+    jobs.last_bars(jobs.stream(spark, str(tmp_path / "in"), b.schema)).writeStream.format("memory").queryName("last").outputMode("complete").start().processAllAvailable()
+    want = technicals.latest(b)
+    assert spark.table("last").exceptAll(want).isEmpty() and want.exceptAll(spark.table("last")).isEmpty()
+    for q in spark.streams.active:
+        q.stop()
+
+
+def test_stream_sessions_and_deduplication(spark, tmp_path):
+    t = lambda m: dt.datetime(2024, 1, 1, 10, 0) + dt.timedelta(minutes=m)
+    rows = [("a", t(0)), ("a", t(10)), ("a", t(100)), ("b", t(5)), ("b", t(5)), ("z", t(5000))]
+    e = spark.createDataFrame(rows, "user_id string, ts timestamp").coalesce(1)
+    e.write.parquet(str(tmp_path / "in"))
+    got = {(r["user_id"], r["n"]) for r in jobs.sessions(e).collect()}
+    assert got == {("a", 2), ("a", 1), ("b", 2), ("z", 1)}
+    s = jobs.stream(spark, str(tmp_path / "in"), e.schema)
+    jobs.sessions(s).writeStream.format("memory").queryName("sessions").outputMode("append").start().processAllAvailable()
+    once = jobs.deduplicated(s, "user_id", "ts", "30 days")
+    once.writeStream.format("memory").queryName("once").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start().processAllAvailable()
+    assert sorted(r["user_id"] for r in spark.table("once").collect()) == ["a", "b", "z"]
+    assert {(r["user_id"], r["n"]) for r in spark.table("sessions").collect()} <= got
+    for q in spark.streams.active:
+        q.stop()
