@@ -204,7 +204,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
     vocabulary is the content of a tokenizers JSON file with byte-level BPE; its size bounds the broadcast.
     Strings of the file's added tokens become those tokens. Null counts as empty, empty texts have no ids, repeated rows and null ids
-    each keep their row. Empty in, empty out; other columns are not read."""
+    each keep their row; very long texts are encoded whole. Empty in, empty out; other columns, whatever their names, are not read."""
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

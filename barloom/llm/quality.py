@@ -104,7 +104,8 @@ def slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     h, start, end, first = words(data, offsets)
     n = len(offsets) - 1
     row = np.repeat(np.arange(n), np.diff(first))
-    after = np.where(end < len(data), data[np.minimum(end, max(len(data) - 1, 0))] if len(data) else 0, 32).astype(U) if len(end) else np.zeros(0, U)
+    # the byte after a word; a text's last word has a blank there, whatever text comes next
+    after = np.where(end < offsets[row + 1], data[np.minimum(end, len(data) - 1)], 32).astype(U) if len(end) else np.zeros(0, U)
     sign = np.concatenate([h % U(SLOTS - 4096), U(SLOTS - 4096) + after % U(256) * U(4) + np.minimum((end - start) // 6, 3).astype(U)]).astype(np.int64)
     both = np.concatenate([row, row])
     key = both * SLOTS + sign
@@ -173,7 +174,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
 
     chosen = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     names = chosen.select("id").where("id is not null").distinct().orderBy(F.md5(F.col("id").cast("string")), "id").limit(sample)
-    chosen = chosen.join(F.broadcast(names), "id").select("text")  # at most `sample` ids
+    chosen = chosen.join(F.broadcast(names), "id").groupBy("id").agg(F.min("text").alias("text")).select("text")  # at most `sample` rows, however often an id occurs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -195,8 +196,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, weak (the posterior of its votes), score (the linear scorer's, 0 to 1), keep (score of 0.5 or more).
 
-    Null counts as empty; an empty text has bad or no votes throughout. Repeated rows and null ids each
-    keep their row; empty in, empty out; other columns are not read. Labels are never read."""
+    Null counts as empty; an empty text has bad or no votes throughout; very long texts are taken whole. Repeated rows and null ids each
+    keep their row, and a text's scores do not depend on its neighbours; empty in, empty out; other columns, whatever their names, are not read. Labels are never read."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -127,7 +127,8 @@ def features(lexicon: Lexicon, text: pa.Array, context: int = CONTEXT) -> np.nda
     marks = sorted({q.encode()[0] for q in QUOTES})
     for i, j in chunks(offsets):
         part = data[offsets[i] : offsets[j]]
-        _, start, end, first = words(part, offsets[i : j + 1] - offsets[i])
+        edge = offsets[i : j + 1] - offsets[i]
+        _, start, end, first = words(part, edge)
         edits = lexicon.match(part, start, end)
         row = np.repeat(np.arange(j - i), np.diff(first))
         hit = np.flatnonzero(edits < 3)
@@ -138,9 +139,10 @@ def features(lexicon: Lexicon, text: pa.Array, context: int = CONTEXT) -> np.nda
             for n, h in enumerate(hit.tolist()):
                 r = row[h]
                 a, z = start[max(first[r], h - context)], end[min(first[r + 1] - 1, h + context)]
-                if is_mark[a:z].any() or (a > 0 and is_mark[a - 1]):
-                    before = part[max(0, a - 3) : start[h]].tobytes().decode("utf-8", "ignore")
-                    after = part[end[h] : z + 3].tobytes().decode("utf-8", "ignore")
+                low, high = max(edge[r], a - 3), min(edge[r + 1], z + 3)  # a mark beside the outermost words counts, one of another text does not
+                if is_mark[low:high].any():
+                    before = part[low : start[h]].tobytes().decode("utf-8", "ignore")
+                    after = part[end[h] : high].tobytes().decode("utf-8", "ignore")
                     quoted[n] = any(q in before for q in QUOTES) and any(q in after for q in QUOTES)
             np.add.at(counts, (row[hit], edits[hit] * 2 + quoted), 1)
         n_words = np.diff(first)
@@ -185,7 +187,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int, id_col: str,
     own = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).where(F.col("y").isin(0.0, 1.0) & F.col("id").isNotNull())
     own = own.where(~held_out("id")).groupBy("id").agg(F.max("y").alias("y")).orderBy(F.md5(F.col("id").cast("string")), "id").limit(sample)
     rows = docs.select(F.col(id_col).alias("id"), F.lower(text_or_empty(text_col)).alias("text"))
-    found = rows.join(F.broadcast(own), "id")  # at most `sample` rows
+    found = rows.join(F.broadcast(own), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("y").alias("y"))  # at most `sample` rows, however often an id occurs
     # copies would lend weight to whatever else stands in them: of equal texts one is taken
     return found.groupBy("text").agg(F.max("y").alias("y"))
 
@@ -237,7 +239,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """One row per document: id, held_out, score (0 to 1), predicted.
 
     The score reads the text alone. Null counts as empty; empty texts get the score of no hits and no words.
-    A null id is not held out. Repeated rows each keep theirs; empty in, empty out; other columns are not read."""
+    Very long texts are taken whole, and a text's score does not depend on its neighbours. A null id is not held out. Repeated rows each keep theirs, ties get equal scores; empty in, empty out;
+    other columns, whatever their names, are not read."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +253,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def gentle(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose text is not predicted toxic, with all their columns."""
+    """The rows of docs whose text is not predicted toxic, with all their columns; each by its own text, whatever its id. Null and empty texts score as in `score`."""
     held, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
