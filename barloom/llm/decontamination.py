@@ -190,7 +190,8 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = np.diff(words(*buffers(b.column(b.num_columns - 1)))[3])
+            data, offsets = buffers(b.column(b.num_columns - 1))
+            n = np.concatenate([np.diff(words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])[3]) for i, j in chunks(offsets)] or [np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], [*b.schema.names[:-1], "n"])
 
     counts = items.select("text").mapInArrow(lengths, "n bigint").where(f"n > 0 and n < {window}").distinct()
