@@ -45,8 +45,8 @@ def lexicon_scores(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFra
     long = docs.select(F.col(id_col).alias("id"), F.explode_outer(words).alias("word")).join(lexicon, "word", "left")
     n = lambda c: F.count(F.when(F.col(c), 1)).alias(c)
     g = long.groupBy("id").agg(F.count("word").alias("words"), n("positive"), n("negative"), n("uncertainty"))
-    raw = (F.col("positive") - F.col("negative")) / F.nullif("words", F.lit(0))
-    return g.withColumn("score", F.coalesce(F.greatest(F.lit(-clip), F.least(F.lit(clip), raw)), F.lit(0.0)))
+    raw = (F.col("positive") - F.col("negative")) / F.col("words")
+    return g.withColumn("score", F.when(F.col("words") > 0, F.greatest(F.lit(-clip), F.least(F.lit(clip), raw))).otherwise(0.0))
 
 
 def event_rules(docs: DataFrame, id_col: str, text_col: str, tags_col: str, rules: list[tuple[str, list[str], str | None]] | None = None) -> DataFrame:

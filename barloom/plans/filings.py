@@ -27,7 +27,7 @@ _WORDS = "list_transform(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+'), la
 LEX = f"""lex AS (SELECT word, k = 0 OR k = 3 AS positive, k = 1 AS negative, k >= 2 AS uncertainty FROM (SELECT DISTINCT word, ('0x' || substr(md5(word), 1, 2))::INT % 4 AS k FROM (SELECT unnest({_WORDS}) AS word FROM benchmark)))"""
 SCORES = f"""{LEX}, w AS (SELECT doc_id AS id, unnest({_WORDS}) AS word FROM documents),
 n AS (SELECT id, count(*) AS words, count(*) FILTER (positive) AS positive, count(*) FILTER (negative) AS negative, count(*) FILTER (uncertainty) AS uncertainty FROM w LEFT JOIN lex USING (word) GROUP BY id),
-scores AS (SELECT doc_id AS id, coalesce(words, 0) AS words, coalesce(positive, 0) AS positive, coalesce(negative, 0) AS negative, coalesce(uncertainty, 0) AS uncertainty, coalesce(greatest(-1, least(1, (positive - negative) / words::DOUBLE)), 0.0) AS score FROM documents LEFT JOIN n ON id = doc_id)"""
+scores AS (SELECT doc_id AS id, coalesce(words, 0) AS words, coalesce(positive, 0) AS positive, coalesce(negative, 0) AS negative, coalesce(uncertainty, 0) AS uncertainty, CASE WHEN coalesce(words, 0) > 0 THEN greatest(-1, least(1, (positive - negative) / words::DOUBLE)) ELSE 0.0 END AS score FROM documents LEFT JOIN n ON id = doc_id)"""
 
 
 def lexicon(spark, d):  # noqa: ANN001, ANN201
