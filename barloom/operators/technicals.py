@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.windows import by_ticker, change, ewms, full, known, lag, numbered, rows, safe, sliding, spread
+from barloom.functions.windows import by_ticker, change, ewms, known, lag, numbered, rows, safe, sliding, spread
 
 YEAR = 252
 
@@ -75,14 +75,13 @@ def oscillators(df: DataFrame) -> DataFrame:
 def market_features(bars: DataFrame, market: DataFrame) -> DataFrame:
     """Beta, idiosyncratic volatility and residual momentum against a market series of (date, spy); the market side is joined by exact date."""
     m = market.select("date", "spy")
-    df = bars.join(m, "date", "left")
+    df = numbered(bars.join(m, "date", "left"))
     df = df.withColumns({"_r": F.log(F.col("close") / lag("close", 1)), "_m": F.log(F.col("spy") / lag("spy", 1)), "return_vs_spy_5d": change("close", 5) - change("spy", 5)})
-    pair = F.when(F.col("_r").isNotNull() & F.col("_m").isNotNull(), F.lit(1))
-    both = df.withColumn("_p", pair)
-    n = F.count("_p").over(rows(60)) == 60
-    df = both.withColumn("beta_60d", F.when(n, safe(F.covar_samp("_r", "_m").over(rows(60)), F.var_samp("_m").over(rows(60)))))
+    df = df.withColumn("_p", F.when(F.col("_r").isNotNull() & F.col("_m").isNotNull(), F.lit(1)))
+    df = df.withColumn("beta_60d", F.when(known(60, "_p"), safe(F.covar_samp("_r", "_m").over(rows(60)), F.var_samp("_m").over(rows(60)))))
     df = df.withColumn("_e", F.col("_r") - F.col("beta_60d") * F.col("_m"))
-    df = df.withColumns({"idio_vol_60d": full(60, F.stddev_samp("_e"), "_e") * F.sqrt(F.lit(YEAR)), "_s": full(231, F.sum("_e"), "_e"), "_v": full(20, F.stddev_samp("_e"), "_e")})
+    df = df.withColumns({"idio_vol_60d": sliding(60, F.stddev_samp("_e"), "_e") * F.sqrt(F.lit(YEAR)), "_run": F.sum(F.coalesce("_e", F.lit(0.0))).over(by_ticker()), "_231": known(231, "_e"), "_v": sliding(20, F.stddev_samp("_e"), "_e")})
+    df = df.withColumn("_s", F.when(F.col("_231"), F.col("_run") - F.coalesce(lag("_run", 231), F.lit(0.0))))
     return df.withColumn("residual_momentum_ratio", safe(lag("_s", 21), F.col("_v") * F.sqrt(F.lit(231.0))))
 
 
