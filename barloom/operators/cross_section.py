@@ -74,8 +74,9 @@ def positive_medians(df: DataFrame, by: list[str], cols: list[str]) -> DataFrame
     return df.groupBy(*by).agg(*aggs)
 
 
-def dead_columns(df: DataFrame, cols: list[str], least: int = 20) -> DataFrame:
-    """Per column: values, deviation, and whether it is all null or does not vary."""
+def dead_columns(df: DataFrame, cols: list[str], least: int = 20, exempt: tuple[str, ...] = ()) -> DataFrame:
+    """Per column that is not exempt: values, deviation, and whether it is all null or does not vary."""
+    cols = [c for c in cols if c not in exempt]
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "x")
     g = long.groupBy("column").agg(F.count("x").alias("n"), F.stddev_pop("x").alias("sd"))
     return g.select("column", "n", (F.col("n") == 0).alias("all_null"), F.coalesce((F.col("n") >= least) & (F.col("sd") == 0), F.lit(False)).alias("zero_variance"))

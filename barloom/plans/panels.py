@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.operators import gates, macro, panels, payloads, technicals
+from barloom.operators import cross_section, documents, gates, macro, panels, payloads, reconcile, technicals, tracking
 from barloom.plans import series, sql
 from barloom.plans.registry import Registry
 from barloom.sources import tables
@@ -184,3 +184,44 @@ def priced_dates(spark, d):  # noqa: ANN001, ANN201
 def updated_panel(spark, d):  # noqa: ANN001, ANN201
     fresh = tables.bars(spark, d).select("ticker", "date", panels.change("close", 5).alias("m"))
     return panels.updated(fresh.withColumn("m", F.lit(0.0)), fresh, "1997-01-01")
+
+
+@R.query(f"""WITH {_BARS}, h AS (SELECT * FROM bars WHERE ticker IN (SELECT c_custkey FROM customer) AND ticker NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0)) SELECT ticker, date, close / nullif(lag(close, 20) OVER ({_BY}), 0) - 1 AS momentum_20d, CASE WHEN count(volume) OVER ({_BY} ROWS 19 PRECEDING) = 20 THEN avg(volume) OVER ({_BY} ROWS 19 PRECEDING) END AS avg_volume_20d_raw FROM h""", "momentum_20d avg_volume_20d_raw")
+def supplemental_features(spark, d):  # noqa: ANN001, ANN201
+    held = tables.read(spark, d, "customer").select(F.col("c_custkey").alias("ticker"))
+    covered = tables.read(spark, d, "supplier").where("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("ticker"))
+    return technicals.price_features(tracking.supplemental(tables.bars(spark, d), held, covered)).select("ticker", "date", "momentum_20d", "avg_volume_20d_raw")
+
+
+@R.query("""WITH l AS (SELECT unnest(['l_quantity', 'l_tax', 'same']) AS "column", unnest([l_quantity, l_tax, 1.0]) AS x FROM lineitem) SELECT "column", count(x) AS n, count(x) = 0 AS all_null, coalesce(count(x) >= 20 AND stddev_pop(x) = 0, false) AS zero_variance FROM l GROUP BY ALL""")
+def dead_columns_but_exempt(spark, d):  # noqa: ANN001, ANN201
+    t = tables.read(spark, d, "lineitem").withColumn("nothing", F.lit(None).cast("double")).withColumn("same", F.lit(1.0))
+    return cross_section.dead_columns(t, ["l_quantity", "l_tax", "nothing", "same"], exempt=("nothing",))
+
+
+_TAIL = "60 + 5 + 40"
+_SLICE = f"""{sql._PRICE}, tailed AS (SELECT * FROM price WHERE date IN (SELECT DISTINCT date FROM bars ORDER BY date DESC LIMIT {_TAIL})),
+sl AS (SELECT ticker, date, ret, factor, loading FROM (SELECT ticker, date, ret, unnest(['momentum_20d', 'price_vs_ma50', 'realized_vol_20d']) AS factor, unnest([momentum_20d, price_vs_ma50, realized_vol_20d]) AS loading FROM tailed)),
+ll AS (SELECT *, lag(loading) OVER (PARTITION BY factor, ticker ORDER BY date) AS l FROM sl), kk AS (SELECT *, count(*) OVER (PARTITION BY factor, date) AS n, row_number() OVER (PARTITION BY factor, date ORDER BY l, ticker) AS rn FROM ll WHERE l IS NOT NULL AND ret IS NOT NULL),
+ff AS (SELECT factor, date, avg(ret) FILTER (rn > n - greatest(round_even(n * 0.3, 0), 1)) - avg(ret) FILTER (rn <= greatest(round_even(n * 0.3, 0), 1)) AS r FROM kk WHERE n >= 5 GROUP BY ALL),
+sm AS (SELECT *, CASE WHEN count(r) OVER w = 60 THEN sum(r) OVER w END AS s FROM ff WINDOW w AS (PARTITION BY factor ORDER BY date ROWS 59 PRECEDING)), mo AS (SELECT factor, date, lag(s, 5) OVER (PARTITION BY factor ORDER BY date) AS mom FROM sm),
+zl AS (SELECT *, CASE WHEN stddev_samp(loading) OVER w > 1e-9 THEN (loading - avg(loading) OVER w) / stddev_samp(loading) OVER w END AS z FROM sl WINDOW w AS (PARTITION BY factor, date))"""
+
+
+@R.query(f"WITH {_SLICE} SELECT ticker, date, avg(z * mom) AS factor_momentum_ratio FROM zl JOIN mo USING (factor, date) GROUP BY ALL", "factor_momentum_ratio")
+def factor_momentum_slice(spark, d):  # noqa: ANN001, ANN201
+    """Factor momentum of the newest dates from the last window, skip and 40 sessions of loadings alone."""
+    f = technicals.price_features(tables.bars(spark, d)).select("ticker", "date", F.col("_ret").alias("ret"), "momentum_20d", "price_vs_ma50", "realized_vol_20d")
+    tail = documents.trailing(f, 60 + 5 + 40)
+    long = tail.unpivot(["ticker", "date", "ret"], ["momentum_20d", "price_vs_ma50", "realized_vol_20d"], "factor", "loading")
+    return cross_section.factor_momentum_ratio(long, 60, 5, 0.3, 5)
+
+
+@R.query(f"""WITH {_BARS}, o AS (SELECT ticker, date, close * CASE WHEN ticker % 4 = 0 THEN 1.2 WHEN ticker % 4 = 1 THEN 1.03 ELSE 1.0 END AS close FROM bars)
+SELECT bars.ticker, bars.date, CASE WHEN ticker % 4 = 1 THEN 'warning' WHEN ticker % 8 = 0 THEN 'restated' ELSE 'error' END AS level FROM bars WHERE ticker % 4 <= 1""")
+def restated_discrepancies(spark, d):  # noqa: ANN001, ANN201
+    b = tables.bars(spark, d).select("ticker", "date", "close")
+    k = F.col("ticker") % 4
+    none = b.limit(0).select("ticker", F.col("date").alias("ex_date"), F.col("close").alias("factor"))
+    names = [r[0] for r in tables.read(spark, d, "supplier").where("s_suppkey % 8 = 0").select("s_suppkey").collect()]  # the indexes, some few names
+    return reconcile.discrepancies(b, b.withColumn("close", F.col("close") * F.when(k == 0, 1.2).when(k == 1, 1.03).otherwise(1.0)), none, restated=names).select("ticker", "date", "level")
