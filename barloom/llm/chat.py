@@ -36,7 +36,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     A conversation whose turns (role and text) are the first turns of a longer one is a snapshot of it and goes; of equal
     conversations the one with the smallest id stays. Turns are ordered by turn, then role and text, so
     ties and repeated turns have one order; null turns come first; null roles and texts count as empty; rows with a null conversation id are
-    one conversation. Empty in, empty out; other columns are not read. A conversation is one output row, so its turns are gathered; hashes of shared
+    one conversation. Very long turns are taken whole. Empty in, empty out; other columns, whatever their names, are not read. A conversation is one output row, so its turns are gathered; hashes of shared
     beginnings are made distinct before they meet."""
     rows = turns.select(F.col(conv_col).alias("conv"), F.struct(F.col(turn_col).alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text")).alias("t"))
     chats = materialize(rows.groupBy("conv").agg(F.sort_array(F.collect_list("t")).alias("turns")), "chats")

@@ -295,7 +295,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A byte goes if it lies in a string of `length` UTF-8 bytes that also starts at another place of the same or
     another document; all occurrences go, overlapping ones too, judged on the input. n_spans counts
     maximal removed runs. Null counts as empty; texts of fewer than `length` bytes stay whole; rows that repeat are
-    documents of their own, so long ones go entirely, whatever their ids. Empty in, empty out; other columns are not read."""
+    documents of their own, so long ones go entirely, whatever their ids. Very long texts are taken whole. Empty in, empty out; other columns, whatever their names, are not read."""
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("node"), text.alias("text"))
     with scratch(docs.sparkSession):
