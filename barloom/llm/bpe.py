@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from barloom.llm._words import buffers, chunks
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPLIT_ASCII = r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 #: Pre-split words in each of the two generations that a Python worker remembers.
-REMEMBERED = 120_000
+REMEMBERED = 400_000
 #: Bytes of text that a task encodes before it hands on the result.
 SLICE = 2 << 20
 
@@ -31,6 +32,19 @@ def byte_names() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+def latin_split() -> tuple[re.Pattern, re.Pattern]:
+    """The same split for texts of Latin letters and general punctuation, with the classes written out, and what finds a character beyond."""
+    known = [chr(c) for c in (*range(0x250), *range(0x2000, 0x2070))]
+
+    def of(category: str) -> str:
+        match = regex.compile(category).match
+        return "".join(re.escape(c) for c in known if match(c))
+
+    letter, number, space = of(r"\p{L}"), of(r"\p{N}"), of(r"\s")
+    split = rf"'(?:[sdmt]|ll|ve|re)| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+    return re.compile(split), re.compile("[^\0-\u024f\u2000-\u206f]")
+
+
 class Automaton:
     """Accepts exactly the token sequences that BPE's merges produce; its arcs are labelled with tokens.
 
@@ -59,21 +73,19 @@ class Automaton:
             if self.live[x] and self.live[y] and self.born[c] < 0 and self.arc(x, y):
                 self.left[c], self.right[c], self.born[c], self.live[c] = x, y, t, True
                 self.lacks[x][y] = t
-        self.steps: dict[int, int] = {}  # a trie of the live tokens
-        self.tokens = [-1]
+        self.trie: dict[int, list] = {}  # of the live tokens: byte -> [the bytes that may follow, token or -1]
         for label, i in self.ids.items():
-            node = 0
+            node, below = None, self.trie
             for byte in label if self.live[i] else b"":
-                if node << 8 | byte not in self.steps:
-                    self.steps[node << 8 | byte] = len(self.tokens)
-                    self.tokens.append(-1)
-                node = self.steps[node << 8 | byte]
+                node = below.setdefault(byte, [{}, -1])
+                below = node[0]
             if node:
-                self.tokens[node] = i
+                node[1] = i
         self.table: dict[int, bool] = {}
-        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
-        self.older: dict[str, bytes] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.split = regex.compile(SPLIT)
+        self.split_latin, self.beyond = latin_split()
         self.split_ascii = re.compile(SPLIT_ASCII)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if special else None
 
@@ -92,62 +104,47 @@ class Automaton:
 
     def matches(self, word: bytes, at: int) -> list[tuple[int, int]]:
         """Live tokens that the word has at this place, with their ends, shortest first."""
-        node, out, tokens = 0, [], self.tokens
-        for end in range(at, len(word)):
-            node = self.steps.get(node << 8 | word[end])
+        below, end, out = self.trie, at, []
+        for byte in word[at:] if at else word:
+            node = below.get(byte)
             if node is None:
                 break
-            if tokens[node] >= 0:
-                out.append((tokens[node], end + 1))
+            below, token = node
+            end += 1
+            if token >= 0:
+                out.append((token, end))
         return out
 
-    def word(self, word: bytes) -> list[int]:
+    def word(self, word: bytes) -> tuple[int, ...]:
         """The labels of the only path that spells the word, the longest arc first.
 
         A place in the word is reached by one token only, whatever comes later, so a place from which the path cannot go on is left for good."""
         whole = self.ids.get(word)
         if whole is not None and self.live[whole]:
-            return [whole]
-        n, table, tokens, step = len(word), self.table, self.tokens, self.steps.get
-        path, at, last = [], 0, -1
-        while at < n:  # the longest arcs alone lead through most words
-            node, token = 0, -1
-            for end in range(at, n):
-                node = step(node << 8 | word[end])
-                if node is None:
-                    break
-                if tokens[node] >= 0:
-                    token, to = tokens[node], end
-            if last >= 0:
-                ok = table.get(last << 32 | token)
-                if ok is None:
-                    ok = table[last << 32 | token] = self.arc(last, token)
-                if not ok:
-                    break
-            path.append(token)
-            at, last = to + 1, token
-        else:
-            return path
-        path, places, open_, dead = [-1], [0], [self.matches(word, 0)], set()
-        while places[-1] < n:
-            here, last = open_[-1], path[-1]
+            return (whole,)
+        n, table, matches = len(word), self.table, self.matches
+        path, behind, dead, at, last, here = [], [], set(), 0, -1, matches(word, 0)
+        while at < n:
             while here:
                 token, end = here.pop()
                 if end in dead:
                     continue
-                ok = table.get(last << 32 | token) if last >= 0 else True
-                if ok is None:
-                    ok = table[last << 32 | token] = self.arc(last, token)
-                if ok:
-                    path.append(token)
-                    places.append(end)
-                    open_.append(self.matches(word, end))
-                    break
+                if last >= 0:
+                    ok = table.get(last << 32 | token)
+                    if ok is None:
+                        ok = table[last << 32 | token] = self.arc(last, token)
+                    if not ok:
+                        continue
+                path.append(token)
+                behind.append((here, at, last))
+                at, last = end, token
+                here = matches(word, at) if at < n else []
+                break
             else:
-                dead.add(places.pop())
+                dead.add(at)
                 path.pop()
-                open_.pop()
-        return path[1:]
+                here, at, last = behind.pop()
+        return tuple(path)
 
     def encode(self, text: str) -> np.ndarray:
         if self.cut and any(s in text for s in self.special):
@@ -156,25 +153,25 @@ class Automaton:
         return self.ordinary(text)
 
     def ordinary(self, text: str) -> np.ndarray:
-        known = self.known
-        words = (self.split_ascii if text.isascii() else self.split).findall(text)
-        try:
-            return np.frombuffer(b"".join([known[w] for w in words]), np.int32)
-        except KeyError:
-            out = []
-            for w in words:
-                got = known.get(w) or self.older.get(w)
-                if got is None:
-                    if len(known) >= REMEMBERED:
-                        self.older, self.known = known, {}
-                        known = self.known
-                    if len(self.table) >= REMEMBERED:
-                        self.table.clear()
-                    got = np.array(self.word(w.encode()), np.int32).tobytes()
-                if len(w) <= 64:
-                    known[w] = got
-                out.append(got)
-            return np.frombuffer(b"".join(out), np.int32)
+        if text.isascii():
+            words = self.split_ascii.findall(text)
+        else:
+            words = (self.split if self.beyond.search(text) else self.split_latin).findall(text)
+        if len(self.known) >= REMEMBERED:
+            self.older, self.known = self.known, {}
+        if len(self.table) >= REMEMBERED:
+            self.table.clear()
+        known, older, long = self.known, self.older, {}
+        for w in set(words).difference(known):
+            got = older.get(w)
+            if got is None:
+                got = self.word(w.encode())
+            if len(w) <= 64:
+                known[w] = got
+            else:
+                long[w] = got
+        of = known.__getitem__ if not long else lambda w: long[w] if w in long else known[w]
+        return np.fromiter(chain.from_iterable(map(of, words)), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
