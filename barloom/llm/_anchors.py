@@ -1,7 +1,8 @@
-"""Content-chosen anchors of all windows of a fixed number of bytes."""
+"""Content-chosen anchors of all windows of a fixed number of bytes, and digests of byte ranges."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,18 +25,31 @@ def pieces(offsets: np.ndarray, length: int, limit: int = CHUNK) -> Iterator[tup
             yield i, j, at, min(at + limit + length - 1, int(offsets[j]))
 
 
+def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray, place: np.ndarray, secret: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A keyed 128-bit digest of each byte range and its place, as two numbers: it stands for the bytes, and without the secret nobody can write texts whose digests agree."""
+    held, keyed = memoryview(np.ascontiguousarray(data)), hashlib.blake2b(key=secret, digest_size=16)
+    got = bytearray()
+    for a, b, at in zip(start.tolist(), end.tolist(), place.tolist(), strict=True):
+        one = keyed.copy()
+        one.update(at.to_bytes(8, "little", signed=True))
+        one.update(held[a:b])
+        got += one.digest()
+    both = np.frombuffer(bytes(got), U).reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """For every window of `length` bytes within a row, the anchor is the leftmost of its k-grams with the least hash.
 
     Equal windows have their anchors at equal offsets. Returned for each run of windows of one row with one
-    anchor: key (hash of the k-gram), span (hash of all bytes of the run and its place around the anchor), row, anchor,
-    first and last window start, as positions in data. A longer text comes in pieces (see `pieces`)."""
+    anchor: key (hash of the k-gram, which only brings runs together), row, anchor, first and last window start, as
+    positions in data. A longer text comes in pieces (see `pieces`)."""
     if len(data) >> PLACE:
         raise ValueError(f"{len(data)} bytes at once; positions have {PLACE} bits")
     empty = np.zeros(0, np.int64)
     n = len(data)
     if n < length:
-        return np.zeros(0, U), np.zeros(0, U), empty, empty, empty, empty
+        return np.zeros(0, U), empty, empty, empty, empty
     prefix = prefix_hash(data)
     at = np.arange(n - gram + 1)
     h = span_hash(prefix, at, at + gram)
@@ -57,6 +71,4 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM
     # a run ends where the anchor or the row changes or the row has no further window
     stop = np.flatnonzero(np.concatenate([(anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1]) | ~inside[1:], [True]]) & inside)
     a = anchor[first]
-    key = h[a]
-    span = span_hash(prefix, first, stop + length) + (a - first).astype(U) * U(0xD6E8FEB86659FD93)
-    return key, span, row[first], a, first, stop
+    return h[a], row[first], a, first, stop

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm._shared import materialize, text_or_empty
-from barloom.llm._words import U, buffers, chunks, grams, words
+from barloom.llm._words import LOWER, U, buffers, chunks, grams, words
 
 #: Words of a window that counts as shared, and words of a fingerprint's k-gram.
 WINDOW, GRAM = 10, 5
@@ -36,12 +36,33 @@ def winnow(g: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(picked)
 
 
+class Words:
+    """The words of some texts: hashes, which find places where words may agree, and bytes, which decide."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data = data
+        self.h, self.start, self.end, self.first = words(data, offsets)
+
+    def same(self, at: np.ndarray, other: Words, there: np.ndarray) -> np.ndarray:
+        """Whether the words at places `at` have the bytes of those of `other` at the places `there`, A-Z as a-z."""
+        a, b = self.start[at], other.start[there]
+        size = self.end[at] - a
+        equal = size == other.end[there] - b
+        a, b, size = a[equal], b[equal], size[equal]
+        if len(size):  # a word is never empty
+            begin = np.cumsum(size) - size
+            step = np.arange(size.sum()) - np.repeat(begin, size)
+            bytes_ = LOWER[self.data[np.repeat(a, size) + step]] == LOWER[other.data[np.repeat(b, size) + step]]
+            equal[equal] = np.logical_and.reduceat(bytes_, begin)
+        return equal
+
+
 class Items:
-    """The windows of a set of items, ready to be looked for in documents: word hashes, and per fingerprint its places."""
+    """The windows of a set of items, ready to be looked for in documents: their words, and per fingerprint its places."""
 
     def __init__(self, ids: list, texts: list, window: int = WINDOW, gram: int = GRAM):
-        data, offsets = buffers(pa.array([t or "" for t in texts], pa.large_string()))
-        self.h, _, _, first = words(data, offsets)
+        self.words = Words(*buffers(pa.array([t or "" for t in texts], pa.large_string())))
+        self.h, first = self.words.h, self.words.first
         self.ids, self.first, self.window, self.gram = ["" if i is None else str(i) for i in ids], first, window, gram
         keys, place, owner = [], [], []
         self.short: dict[int, tuple[list, list]] = {}
@@ -65,8 +86,9 @@ class Items:
         self.owner = (np.concatenate(owner) if owner else empty)[order]
         self.short_keys = {n: (np.array(k, dtype=U), v) for n, (k, v) in self.short.items()}
 
-    def marks(self, h: np.ndarray) -> tuple[np.ndarray, set[int]]:
-        """Which words of a document (as hashes) lie in an occurrence of a window, and the items with occurrences."""
+    def marks(self, text: Words, low: int, high: int) -> tuple[np.ndarray, set[int]]:
+        """Which of the words low:high of `text`, a document, lie in an occurrence of a window, and the items with occurrences."""
+        h = text.h[low:high]
         marks, found = np.zeros(len(h) + 1, np.int64), set()
         if len(self.keys) and len(h) >= self.window:
             g = grams(h, self.gram)
@@ -79,8 +101,8 @@ class Items:
                     i, q = int(self.owner[x]), int(self.place[x])
                     if done.get((i, q - p), -1) > p:
                         continue
-                    start, end = self.extend(h, p, q, i)
-                    done[i, q - p] = end
+                    start, end = self.extend(text, low, high, p, q, i)
+                    done[i, q - p] = max(end, p + 1)
                     if end - start >= self.window:
                         marks[start] += 1
                         marks[end] -= 1
@@ -89,26 +111,34 @@ class Items:
             if len(h) >= n:
                 g = grams(h, n)
                 for x in np.flatnonzero(np.isin(keys, g)):
-                    found.add(owners[x])
-                for s in np.flatnonzero(np.isin(g, keys)):
-                    marks[s] += 1
-                    marks[s + n] -= 1
+                    at = np.flatnonzero(g == keys[x])
+                    mine = int(self.first[owners[x]]) + np.tile(np.arange(n), len(at))
+                    at = at[text.same(low + np.repeat(at, n) + np.tile(np.arange(n), len(at)), self.words, mine).reshape(-1, n).all(axis=1)]
+                    if len(at):
+                        found.add(owners[x])
+                        np.add.at(marks, at, 1)
+                        np.add.at(marks, at + n, -1)
         return np.cumsum(marks[:-1]) > 0, found
 
-    def runs(self, h: np.ndarray) -> list[list[int]]:
+    def runs(self, text: Words) -> list[list[int]]:
         """Word ranges of a document that occurrences cover, one for each maximal run."""
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], self.marks(h)[0].astype(np.int8), [0]])))
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], self.marks(text, 0, len(text.h))[0].astype(np.int8), [0]])))
         return edge.reshape(-1, 2).tolist()
 
-    def extend(self, h: np.ndarray, p: int, q: int, i: int) -> tuple[int, int]:
-        """The longest run of equal words around document word p and item word q."""
+    def extend(self, text: Words, low: int, high: int, p: int, q: int, i: int) -> tuple[int, int]:
+        """The longest run of equal words around document word p and item word q: hashes bound it, bytes settle it."""
+        h = text.h[low:high]
         back = min(p, q - int(self.first[i]))
         a, b = h[p - back : p][::-1], self.h[q - back : q][::-1]
         d = np.flatnonzero(a != b)
         left = int(d[0]) if len(d) else back
         ahead = min(len(h) - p, int(self.first[i + 1]) - q)
         d = np.flatnonzero(h[p : p + ahead] != self.h[q : q + ahead])
-        return p - left, p + (int(d[0]) if len(d) else ahead)
+        right = int(d[0]) if len(d) else ahead
+        steps = np.arange(-left, right)
+        other = np.flatnonzero(~text.same(low + p + steps, self.words, q + steps)) - left
+        before, after = other[other < 0], other[other >= 0]
+        return p + (int(before[-1]) + 1 if len(before) else -left), p + (int(after[0]) if len(after) else right)
 
 
 def _digest(names: list[str]) -> str:
@@ -122,9 +152,10 @@ def _scan(items: Items, text: pa.Array) -> list[pa.Array]:
     none = _digest([])
     data, offsets = buffers(text)
     for i, j in chunks(offsets):
-        h, _, _, first = words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        text = Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        first = text.first
         for d in range(j - i):
-            hit, found = items.marks(h[first[d] : first[d + 1]])
+            hit, found = items.marks(text, int(first[d]), int(first[d + 1]))
             n_words.append(int(first[d + 1] - first[d]))
             n_hit.append(int(hit.sum()))
             names = {items.ids[x] for x in found}
@@ -186,7 +217,7 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
 
     A text is known by its digest, so copies are looked at once; an item by its row, since ids may be null or repeat."""
     items = materialize(items.where("text is not null").withColumnRenamed("item", "name").withColumn("item", F.monotonically_increasing_id()), "items")
-    docs = docs.withColumn("node", F.unhex(F.md5("text")))
+    docs = docs.withColumn("node", F.unhex(F.sha2("text", 256)))
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -208,8 +239,7 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
             rows, names, spans = [], [], []
             for n, (item, mine, text) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
                 known = Items([item], [mine], window, gram)
-                h = words(*buffers(pa.array([text], pa.large_string())))[0]
-                at = known.runs(h)
+                at = known.runs(Words(*buffers(pa.array([text], pa.large_string()))))
                 if at:
                     rows.append(n)
                     names.append("" if item is None else str(item))
@@ -236,7 +266,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     A window is `window` consecutive words of an item, or the whole of a shorter one. Documents and
     items are winnowed with k-grams of `gram` words in runs of window - gram + 1, so every shared window has a
-    fingerprint in common; each hit is extended to the longest run of equal words, and runs shorter than a window fall away.
+    fingerprint in common; each hit is extended to the longest run of equal words, whose bytes are compared, and runs shorter than a window fall away.
     Items of fewer words than a window have one fingerprint of their whole length. If the items' texts
     have at most broadcast_bytes, they are sent to the tasks and no document is shuffled; beyond that fingerprints meet in a join.
 
@@ -260,7 +290,7 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     the digests of texts with hits are joined against them."""
     own = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
     if not _fits(own, broadcast_bytes):
-        node = F.unhex(F.md5(text_or_empty(text_col)))
+        node = F.unhex(F.sha2(text_or_empty(text_col), 256))
         hits = decontaminate(docs.select(node.alias("_node"), F.col(text_col).alias("_text")), items, "_node", "_text", item_col, item_text_col, window, gram, broadcast_bytes)
         bad = hits.where("contaminated").select("_node").distinct()
         named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), node.alias("_node"))

@@ -2,11 +2,13 @@
 
 Sorting all suffixes of a corpus moves every position. Here each window of `length` bytes belongs to one
 content-chosen anchor, so equal windows lie at equal offsets of equal anchors, and only anchors that occur
-more than once can hold repeats. Spans (all windows of an anchor) with equal bytes are pre-aggregated; where spans
-of one anchor differ, at the ends of a repeated passage, their suffixes are sorted to depth `length`."""
+more than once can hold repeats. Spans (all windows of an anchor) with equal bytes are pre-aggregated by a keyed digest
+of those bytes, whose secret is new in each run; where spans of one anchor differ, at the ends of a repeated passage, their
+suffixes are sorted to depth `length`. Rolling hashes choose anchors and bring spans together; they never decide equality."""
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm._anchors import anchors, pieces
+from barloom.llm._anchors import anchors, digests, pieces
 from barloom.llm._shared import materialize, partitions, scratch, text_or_empty
 from barloom.llm._words import U, buffers, mix, prefix_hash, span_hash
 
@@ -34,6 +36,15 @@ def _ranges(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(group)))
 
 
+def _grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows by several keys, and where in that order another group begins."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(max(len(order) - 1, 0), bool)
+    for k in keys:
+        new |= k[order][1:] != k[order][:-1]
+    return order, np.concatenate([[True], new]) if len(order) else new
+
+
 def deep_shallow(strings: np.ndarray, group: np.ndarray, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Order of fixed-length byte strings (rows) within their groups, and for that order the class of equal strings.
 
@@ -84,26 +95,26 @@ def deep_shallow(strings: np.ndarray, group: np.ndarray, shallow: int = SHALLOW)
     return order, tie
 
 
-def _anchored(length: int):
-    names = ["key", "span", "node", "first", "stop", "anchor", "repeated", "counts"]
+def _anchored(length: int, secret: bytes):
+    names = ["key", "span", "more", "node", "first", "stop", "anchor", "repeated", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = buffers(b.column(1))
             got = []
             for i, j, base, end in pieces(offsets, length):
-                key, span, row, a, first, stop = anchors(data[base:end], np.clip(offsets[i : j + 1], base, end) - base, length)
+                key, row, a, first, stop = anchors(data[base:end], np.clip(offsets[i : j + 1], base, end) - base, length)
+                span, more = digests(data[base:end], first, stop + length, a - first, secret)
                 start = (offsets[i : j + 1] - base)[row]
-                got.append((key, span, row + i, first - start, stop - start, a - start))
-            key, span, row, first, stop, a = (np.concatenate([x[c] for x in got]) for c in range(6)) if got else [np.zeros(0, np.int64)] * 6
+                got.append((key, span, more, row + i, first - start, stop - start, a - start))
+            key, span, more, row, first, stop, a = (np.concatenate([x[c] for x in got]) for c in range(7)) if got else [np.zeros(0, np.int64)] * 7
             # equal spans of this batch: the first stands for them in the count, and all are known to repeat
-            order = np.lexsort((span, key))
-            new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (span[order][1:] != span[order][:-1])]) if len(key) else np.zeros(0, bool)
+            order, new = _grouped(key, span, more)
             times = np.diff(np.append(np.flatnonzero(new), len(key)))
             repeated, leads = np.zeros(len(key), bool), np.zeros(len(key), bool)
             repeated[order] = np.repeat(times > 1, times)
             leads[order] = new
-            cols = [pa.array(key.view(np.int64)), pa.array(span.view(np.int64)), b.column(0).take(pa.array(row)), pa.array(first.astype(np.int32)), pa.array(stop.astype(np.int32)), pa.array(a.astype(np.int32)), pa.array(repeated), pa.array(leads)]
+            cols = [*(pa.array(x.view(np.int64)) for x in (key, span, more)), b.column(0).take(pa.array(row)), pa.array(first.astype(np.int32)), pa.array(stop.astype(np.int32)), pa.array(a.astype(np.int32)), pa.array(repeated), pa.array(leads)]
             yield pa.RecordBatch.from_arrays(cols, names)
 
     return run
@@ -150,7 +161,7 @@ def _cut(length: int):
     return run
 
 
-def _split(length: int, width: int):
+def _split(length: int, width: int, secret: bytes):
     """Spans of hot groups cut into blocks of windows that start `width` places or fewer apart, grouped anew by the bytes that all windows of a block have in common.
 
     Blocks lie at fixed offsets of the anchor, so two equal windows are in the same block of either span and their blocks share
@@ -169,9 +180,7 @@ def _split(length: int, width: int):
                 f, s = np.maximum(first[of], a[of] - block * width - width + 1), np.minimum(stop[of], a[of] - block * width)
                 core = base + a[of] - block * width
                 new = mix(mix(g[of].view(U)) + block.astype(U)) ^ span_hash(prefix, core, core - width + 1 + length)
-                whole = span_hash(prefix, base + f, base + s + length) + (a[of] - f).astype(U) * U(0xD6E8FEB86659FD93)
-                order = np.lexsort((whole, new))
-                lead = np.concatenate([[True], (new[order][1:] != new[order][:-1]) | (whole[order][1:] != whole[order][:-1])])
+                order, lead = _grouped(new, *digests(data[offsets[x] : offsets[y]], base + f, base + s + length, a[of] - f, secret))
                 times = np.diff(np.append(np.flatnonzero(lead), len(order)))
                 twice = np.zeros(len(of), bool)
                 twice[order] = np.repeat(times > 1, times)
@@ -213,6 +222,15 @@ def _runs(row: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray,
     return row[cut], start[cut], start[last] + length
 
 
+def _union(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges in order of their starts, those that meet or overlap joined."""
+    if not len(start):
+        return start, stop
+    far = np.maximum.accumulate(stop)
+    cut = np.flatnonzero(start[1:] > far[:-1])
+    return start[np.concatenate([[0], cut + 1])], far[np.concatenate([cut, [len(far) - 1]])]
+
+
 def _sorter(length: int):
     """Takes rows in the order of g; a group is sorted once its last row is there, groups of up to BLOCK windows together."""
 
@@ -260,10 +278,10 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> D
     """(node, start, stop) byte ranges of repeats for texts of (id, node, text), node being a digest of the text.
 
     A text that occurs in several rows is one node; all its windows repeat. Ranges of a node may overlap."""
-    spark = texts.sparkSession
-    found = texts.select("node", "text").mapInArrow(_anchored(length), "key bigint, span bigint, node binary, first int, stop int, anchor int, repeated boolean, counts boolean")
+    spark, secret = texts.sparkSession, secrets.token_bytes(32)
+    found = texts.select("node", "text").mapInArrow(_anchored(length, secret), "key bigint, span bigint, more bigint, node binary, first int, stop int, anchor int, repeated boolean, counts boolean")
     found = materialize(found, "anchors")
-    of_key, of_span = Window.partitionBy("key"), Window.partitionBy("key", "span")
+    of_key, of_span = Window.partitionBy("key"), Window.partitionBy("key", "span", "more")
     met = found.where("counts").withColumn("n", F.row_number().over(of_span.orderBy("node", "first")))
     met = met.withColumn("last", F.max("n").over(of_span)).withColumn("rows", F.count(F.lit(1)).over(of_key)).withColumn("spans", F.sum(F.expr("int(n = 1)")).over(of_key))
     met = met.where("rows > 1 or repeated").withColumn("repeated", F.expr("repeated or last > 1"))
@@ -279,7 +297,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> D
     for width in BLOCKS:
         if crowded.isEmpty():
             break
-        split = materialize(crowded.mapInArrow(_split(length, width), _CUT), "split")
+        split = materialize(crowded.mapInArrow(_split(length, width, secret), _CUT), "split")
         whole = whole.union(split.where("cut is null").select("node", F.col("first").alias("start"), (F.col("stop") + length).alias("stop")))
         met_again = split.where("cut is not null").groupBy("g").agg(F.count(F.lit(1)).alias("met")).where("met > 1")  # a block of its own repeats nowhere
         live = materialize(split.where("cut is not null").drop("hot").join(met_again, "g").withColumn("hot", F.expr(f"met > {hot} and {width} > 1")).select(*_CUT_NAMES), "live")
@@ -297,7 +315,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     maximal removed runs. Null counts as empty; texts of fewer than `length` bytes stay whole; rows that repeat are
     documents of their own, so long ones go entirely, whatever their ids. Very long texts are taken whole. Empty in, empty out; other columns, whatever their names, are not read."""
     text = text_or_empty(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("node"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.sha2(text, 256)).alias("node"), text.alias("text"))
     with scratch(docs.sparkSession):
         ranges = repeated_ranges(rows, length)
         per = ranges.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("ranges"))
@@ -314,18 +332,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             kept, size, gone, runs = [], [], [], []
             for i in range(len(ranges)):
                 t = data[offsets[i] : offsets[i + 1]]
-                if valid[i] and lists is not None and lists[i + 1] > lists[i]:
-                    mark = np.zeros(len(t) + 1, np.int64)
-                    np.add.at(mark, s[lists[i] : lists[i + 1]], 1)
-                    np.add.at(mark, e[lists[i] : lists[i + 1]], -1)
-                    off = np.cumsum(mark[:-1]) > 0
-                    gone.append(int(off.sum()))
-                    runs.append(int(off[0]) + int((off[1:] & ~off[:-1]).sum()))
-                    kept.append(t[~off].tobytes())
-                else:
-                    kept.append(t.tobytes())
-                    gone.append(0)
-                    runs.append(0)
+                begin, end = (s[lists[i] : lists[i + 1]], e[lists[i] : lists[i + 1]]) if valid[i] and lists is not None else (s[:0], e[:0])
+                begin, end = _union(begin, end)
+                edges = np.concatenate([[0], np.stack([begin, end], axis=1).reshape(-1), [len(t)]])
+                kept.append(b"".join(t[x:y].tobytes() for x, y in edges.reshape(-1, 2).tolist()))
+                gone.append(int((end - begin).sum()))
+                runs.append(len(begin))
                 size.append(len(t))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (size, gone, runs))], ["id", "kept", "n_bytes", "n_removed", "n_spans"])
 
