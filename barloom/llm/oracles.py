@@ -56,5 +56,26 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+# every kept term of a language against every group of it, without leaving out those of count 0
+OP11 = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+w AS (SELECT lang, source, r, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(total) AS in_lang FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(sum(n), 0) AS in_source FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (in_source + v)::HUGEINT AS p,
+             1 + (1000000000::HUGEINT * (total + 1)) // (in_lang + v)::HUGEINT AS q
+      FROM g JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS f FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT g.lang, g.source, o.source AS item, coalesce(f, 0)::BIGINT AS value FROM g JOIN g o ON g.lang = o.lang AND g.source <> o.source
+         LEFT JOIN f ON f.lang = g.lang AND f.source = g.source AND f.item = o.source),
+term AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM pair
+      UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT FROM term)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 200"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2, "op3_exact_dedup": OP3, "op4_chat_format": OP4, "op5_sharding": OP5, "op10_decontamination": OP10}
+    return {"op2_warc": OP2, "op3_exact_dedup": OP3, "op4_chat_format": OP4, "op5_sharding": OP5, "op10_decontamination": OP10, "op11_source_divergence": OP11}

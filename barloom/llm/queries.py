@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, decontamination, exact_dedup, near_dedup, quality, sharding, suffix_dedup, toxicity, warc
+from barloom.llm import bpe, chat, decontamination, divergence, exact_dedup, near_dedup, quality, sharding, suffix_dedup, toxicity, warc
 from barloom.llm._ship import ship
 
 
@@ -68,5 +68,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_warc, op3_exact_dedup, op4_chat_format, op5_sharding, op6_quality, op7_toxicity, op8_bpe, op9_suffix_dedup, op10_decontamination)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_warc, op3_exact_dedup, op4_chat_format, op5_sharding, op6_quality, op7_toxicity, op8_bpe, op9_suffix_dedup, op10_decontamination, op11_source_divergence)}
