@@ -77,5 +77,15 @@ r AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTI
 SELECT * FROM r WHERE part = 'pair' OR rank <= 200"""
 
 
+OP12 = """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor, a.label = b.label AS same, b.id AS id, list_dot_product(a.e, b.e)::BIGINT AS score FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id),
+p AS (SELECT anchor, id AS positive, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5),
+r AS (SELECT p.anchor, p.positive, p.score AS positive_score, s.id, s.score, row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor AS anchor_id, positive AS positive_id, rank::INT AS rank, id AS negative_id, positive_score, score AS negative_score FROM r WHERE rank <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2, "op3_exact_dedup": OP3, "op4_chat_format": OP4, "op5_sharding": OP5, "op10_decontamination": OP10, "op11_source_divergence": OP11}
+    return {"op2_warc": OP2, "op3_exact_dedup": OP3, "op4_chat_format": OP4, "op5_sharding": OP5, "op10_decontamination": OP10, "op11_source_divergence": OP11, "op12_hard_negatives": OP12}

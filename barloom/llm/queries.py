@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, decontamination, divergence, exact_dedup, near_dedup, quality, sharding, suffix_dedup, toxicity, warc
+from barloom.llm import bpe, chat, decontamination, divergence, exact_dedup, near_dedup, negatives, quality, sharding, suffix_dedup, toxicity, warc
 from barloom.llm._ship import ship
 
 
@@ -72,5 +72,12 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(_read(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings").where("label is not null and embedding is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))")
+    label = F.expr("case when vec_id % 7 = 0 then (bigint(label) + 1) % 10 else label end")
+    rows = rows.select("vec_id", label.alias("label"), F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vector"))
+    return negatives.hard_negatives(rows, "vec_id % 100 = 0")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_warc, op3_exact_dedup, op4_chat_format, op5_sharding, op6_quality, op7_toxicity, op8_bpe, op9_suffix_dedup, op10_decontamination, op11_source_divergence)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_warc, op3_exact_dedup, op4_chat_format, op5_sharding, op6_quality, op7_toxicity, op8_bpe, op9_suffix_dedup, op10_decontamination, op11_source_divergence, op12_hard_negatives)}
