@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, decontamination, divergence, exact_dedup, near_dedup, negatives, quality, sharding, suffix_dedup, toxicity, warc
+from barloom.llm import bpe, chat, decontamination, divergence, exact_dedup, extraction, near_dedup, negatives, quality, sharding, suffix_dedup, toxicity, warc
 from barloom.llm._ship import ship
 
 
@@ -79,5 +79,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(rows, "vec_id % 100 = 0")
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extract(pages, extraction.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_warc, op3_exact_dedup, op4_chat_format, op5_sharding, op6_quality, op7_toxicity, op8_bpe, op9_suffix_dedup, op10_decontamination, op11_source_divergence, op12_hard_negatives)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_warc, op3_exact_dedup, op4_chat_format, op5_sharding, op6_quality, op7_toxicity, op8_bpe, op9_suffix_dedup, op10_decontamination, op11_source_divergence, op12_hard_negatives, op13_html_extraction)}
