@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.bitemporal import known_on
 from barloom.functions.windows import change, lag, rows, safe
 from barloom.operators import cross_section, gates
 from barloom.operators.payloads import clipped, picked
@@ -77,6 +78,42 @@ def with_alternative(panel: DataFrame, payloads: DataFrame) -> DataFrame:
     return panel.select("ticker", "date").join(p, "ticker")
 
 
+def with_fundamentals_known(panel: DataFrame, values: DataFrame, broadcast: bool = False) -> DataFrame:
+    """A panel (ticker, date) with all fundamental columns as they were known on each row's date, 0 where nothing was.
+
+    values: ticker, period (the quarter's end), known_at (the filing's day), FUNDAMENTALS. With `broadcast` each ticker's newest values of all hold for all of its rows, as
+    `with_fundamentals` has it: a look ahead, for comparisons only."""
+    if broadcast:
+        newest = Window.partitionBy("ticker").orderBy(F.desc("period"), F.desc("known_at"), *[F.desc(c) for c in FUNDAMENTALS])
+        return with_fundamentals(panel, values.withColumn("_n", F.row_number().over(newest)).where("_n = 1"))
+    return known_on(panel, values, list(FUNDAMENTALS)).drop("period", "known_at").fillna(0.0, list(FUNDAMENTALS))
+
+
+#: Parts of the alternative data, with the fields of each; each part is known from days of its own.
+PARTS = {"earnings": ["surprise_pct", "days_since_earnings"], "revision": ["eps_revision_4w", "revision_streak"], "options": ["put_call_ratio", "iv_rank", "atm_iv"]}
+
+
+def with_alternative_known(panel: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
+    """A panel (ticker, date, realized_vol_20d) with the seven alternative features as they were known on each row's date.
+
+    parts: of `earnings`, `revision` and `options` those that there are, each ticker, period, known_at and the fields of PARTS. Days since the earnings go on from the day they were known;
+    implied volatility is set against the realised one of the row's own date, not of the newest. What was not known yet is neutral."""
+    df = panel.select("ticker", "date", "realized_vol_20d")
+    for name, fields in PARTS.items():
+        if name in parts:
+            df = known_on(df, parts[name], fields).withColumnRenamed("known_at", f"_{name}").drop("period")
+        else:
+            df = df.withColumns({f"_{name}": F.lit(None).cast("date"), **{f: F.lit(None).cast("double") for f in fields}})
+    c = F.col
+    neutral = lambda x, value: F.coalesce(x, F.lit(value))
+    days = F.when(c("_earnings").isNotNull(), F.coalesce(c("days_since_earnings") + F.datediff("date", "_earnings"), F.lit(90.0)) / 90)
+    ratio = F.when((c("realized_vol_20d") > 0) & (c("atm_iv") > 0), c("atm_iv") / c("realized_vol_20d"))
+    return df.select(
+        "ticker", "date", neutral(c("surprise_pct"), 0.0).alias("earnings_surprise_pct"), neutral(days, 1.0).alias("days_since_earnings"), neutral(c("eps_revision_4w"), 0.0).alias("eps_revision_4w"),
+        neutral(c("revision_streak").cast("double"), 0.0).alias("revision_streak"), neutral(c("put_call_ratio"), 0.0).alias("put_call_ratio"), neutral(c("iv_rank"), 0.5).alias("iv_rank"), neutral(ratio, 1.0).alias("iv_vs_rv"),
+    )
+
+
 def regime_products(features: DataFrame, vix_level: DataFrame, market: DataFrame) -> DataFrame:
     """The five products of a ticker's features with the market's regime: volatility less its base, and the market's 20-row trend on the ticker's own dates.
 
