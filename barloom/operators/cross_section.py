@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.selection import medians
+
 MAD = 1.4826
 
 
@@ -26,6 +28,23 @@ def robust_zscores(long: DataFrame, keys: tuple[str, ...] = ("factor", "date"),
     return df.withColumn("z", z).drop("_med", "_n", "_mad", "_w", "_mu", "_sd")
 
 
+def robust_zscores_counted(long: DataFrame, keys: tuple[str, ...] = ("factor", "date"), x: str = "x", clip: float = 3.0) -> DataFrame:
+    """`robust_zscores` for groups of any size: medians by counting, mean and deviation by map-side sums; rows are joined with their group's numbers, and a hot group can be split.
+
+    x as double; keys must not be null. Rows keep all their columns."""
+    on = list(keys)
+    rows = long.withColumn(x, F.col(x).cast("double"))
+    middle = medians(rows, on, x, "_med", "_n")
+    far = rows.select(*on, x).join(middle, on).withColumn("_far", F.abs(F.col(x) - F.col("_med")))
+    mad = medians(far, on, "_far", "_mad", "_m").drop("_m")
+    known = middle.join(mad, on, "left").withColumn("_mad", F.col("_mad") * MAD)
+    held = F.least(F.greatest(F.col(x), F.col("_med") - clip * F.col("_mad")), F.col("_med") + clip * F.col("_mad"))
+    spread = rows.where(F.col(x).isNotNull()).select(*on, x).join(known, on).withColumn("_w", held).groupBy(*on).agg(F.avg("_w").alias("_mu"), F.stddev_pop("_w").alias("_sd"))
+    df = rows.join(known.join(spread, on), on, "left").withColumn("_w", F.when(F.col(x).isNotNull(), held))
+    z = F.when((F.col("_n") >= 2) & (F.col("_mad") > 0) & (F.col("_sd") > 0), (F.col("_w") - F.col("_mu")) / F.col("_sd"))
+    return df.select(*long.columns, z.alias("z"))
+
+
 def zscores(df: DataFrame, x: str, out: str) -> DataFrame:
     """Plain z-scores with the sample deviation; null where that is not above 1e-9."""
     day = Window.partitionBy("date")
@@ -69,9 +88,16 @@ def breadth(features: DataFrame) -> DataFrame:
 
 
 def positive_medians(df: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
-    """Exact medians of positive values per group, with their number."""
-    aggs = [a for c in cols for a in (F.median(F.when(F.col(c) > 0, F.col(c))).alias(f"median_{c}"), F.count(F.when(F.col(c) > 0, 1)).alias(f"n_{c}"))]
-    return df.groupBy(*by).agg(*aggs)
+    """Exact medians of positive values per group, with their number; found by counting, so that no group meets in one task. Groups without positive values have nulls."""
+    long = df.select(*by, *[F.when((F.col(c) > 0) & (F.col(c) < float("inf")), F.col(c).cast("double")).alias(c) for c in cols]).unpivot(by, cols, "_column", "_x")
+    found = medians(long, [*by, "_column"], "_x", "_median", "_n")
+    groups = df.select(*by).distinct()
+    aggs = [a for c in cols for a in (F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(f"median_{c}"), F.coalesce(F.max(F.when(F.col("_column") == c, F.col("_n"))), F.lit(0)).alias(f"n_{c}"))]
+    wide = found.groupBy(*by).agg(*aggs)
+    on = F.lit(True)
+    for k in by:
+        on = on & groups[k].eqNullSafe(wide[k])
+    return groups.join(wide, on, "left").select(*[groups[k] for k in by], *[x for c in cols for x in (wide[f"median_{c}"], F.coalesce(wide[f"n_{c}"], F.lit(0).cast("bigint")).alias(f"n_{c}"))])
 
 
 def dead_columns(df: DataFrame, cols: list[str], least: int = 20, exempt: tuple[str, ...] = ()) -> DataFrame:

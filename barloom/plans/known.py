@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.operators import panels, technicals
+from barloom.functions.selection import medians
+from barloom.operators import cross_section, panels, technicals
 from barloom.plans import sql
 from barloom.plans.panels import _FIELDS, _FUND, _metrics
 from barloom.plans.registry import Registry
@@ -75,3 +76,22 @@ j AS (SELECT p.ticker, p.date, realized_vol_20d, e, r, o FROM price p LEFT JOIN
 def alternative_panel_known(spark, d):  # noqa: ANN001, ANN201
     p = technicals.price_features(tables.bars(spark, d)).select("ticker", "date", "realized_vol_20d")
     return panels.with_alternative_known(p, {n: _part(spark, d, n) for n in _VALUES})
+
+
+_HOT = "CASE WHEN l_orderkey % 10 > 0 THEN 'hot' ELSE l_linestatus END"
+
+
+@R.query(f"SELECT {_HOT} AS grp, l_returnflag, median(l_extendedprice / l_quantity) AS price, count(l_extendedprice / l_quantity) AS n FROM lineitem GROUP BY ALL UNION ALL SELECT 'all', NULL, median(l_discount - 0.05), count(*) FROM lineitem", "price")
+def medians_of_hot_groups(spark, d):  # noqa: ANN001, ANN201
+    """Nine tenths of the rows in one group, and all of them in another."""
+    t = tables.read(spark, d, "lineitem").select(F.expr(_HOT).alias("grp"), "l_returnflag", (F.col("l_extendedprice") / F.col("l_quantity")).alias("x"), "l_discount")
+    every = t.select(F.lit("all").alias("grp"), F.lit(None).cast("string").alias("l_returnflag"), (F.col("l_discount") - 0.05).alias("x"))
+    return medians(t.drop("l_discount").union(every), ["grp", "l_returnflag"], "x", "price", "n")
+
+
+@R.query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, {_HOT} AS grp, l_extendedprice / l_quantity AS x FROM lineitem), m AS (SELECT grp, median(x) AS med FROM t GROUP BY grp),
+a AS (SELECT grp, med, 1.4826 * median(abs(x - med)) AS mad FROM t JOIN m USING (grp) GROUP BY ALL), w AS (SELECT t.*, least(greatest(x, med - 3 * mad), med + 3 * mad) AS w FROM t JOIN a USING (grp)), s AS (SELECT grp, avg(w) AS mu, stddev_pop(w) AS sd FROM w GROUP BY grp)
+SELECT l_orderkey, l_linenumber, grp, (w - mu) / sd AS z FROM w JOIN s USING (grp)""", "z")
+def robust_zscores_of_hot_groups(spark, d):  # noqa: ANN001, ANN201
+    t = tables.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_HOT).alias("grp"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("x"))
+    return cross_section.robust_zscores_counted(t, ("grp",)).drop("x")
