@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from barloom.sources import ownership_forms
+
 
 def price_history(spark: SparkSession, path: str | list[str], schema: StructType | str, ticker: str | None = None) -> DataFrame:
     """Bars of one file, or of many in one read, with not-a-numbers as nulls; rows without a date go.
@@ -41,30 +43,12 @@ def holdings_table(spark: SparkSession, path: str) -> DataFrame:
     return df.where(F.col("cusip").rlike(r"^\d{9}$")).select("cusip", number("shares"), number("market_value"))
 
 
-# The tables of an ownership form, and the paths of a transaction's fields.
-FORM_TABLES = {"non_derivative": "nonDerivativeTable/nonDerivativeTransaction", "derivative": "derivativeTable/derivativeTransaction"}
-FORM_FIELDS = {
-    "security": "securityTitle/value", "date": "transactionDate/value", "code": "transactionCoding/transactionCode", "shares": "transactionAmounts/transactionShares/value",
-    "price": "transactionAmounts/transactionPricePerShare/value", "acquired": "transactionAmounts/transactionAcquiredDisposedCode/value", "after": "postTransactionAmounts/sharesOwnedFollowingTransaction/value",
-}
-
-
 def ownership_transactions(forms: DataFrame, id_col: str, xml_col: str) -> DataFrame:
-    """One row per transaction of ownership forms in XML: id, issuer, owner, table, nth, and the FORM_FIELDS, with shares, price and holding as numbers.
-
-    Each table's transactions are cut out of the text and their fields read by XPath in the same projection, so a corpus of forms is one narrow job."""
-    one = lambda path: F.nullif(F.trim(F.xpath_string(F.col(xml_col), F.lit(f"//{path}"))), F.lit(""))
-
-    def cut(table: str, tag: str) -> Column:
-        found = F.regexp_extract_all(F.col(xml_col), F.lit(rf"(?s)(<{tag}>.*?</{tag}>)"), 1)
-        return F.transform(found, lambda x, i: F.struct(F.lit(table).alias("table"), i.alias("nth"), x.alias("xml")))
-
-    cuts = [cut(table, path.rpartition("/")[2]) for table, path in FORM_TABLES.items()]
-    rows = forms.select(F.col(id_col).alias("id"), one("issuerTradingSymbol").alias("issuer"), one("rptOwnerName").alias("owner"), F.explode(F.concat(*cuts)).alias("t"))
-    field = lambda path: F.nullif(F.trim(F.xpath_string(F.col("t.xml"), F.lit(f"//{path}"))), F.lit(""))
-    number = lambda c: F.expr(f"try_cast({c} AS double)").alias(c)
-    out = rows.select("id", "issuer", "owner", "t.table", "t.nth", *[field(p).alias(n) for n, p in FORM_FIELDS.items()])
-    return out.select("id", "issuer", "owner", "table", "nth", "security", F.expr("try_cast(date AS date)").alias("date"), "code", "acquired", number("shares"), number("price"), number("after"))
+    """`ownership_forms.insider_transactions` in short: id, issuer, owner, table, nth, security, date, code, acquired, shares, price, after, with missing texts as null."""
+    t = ownership_forms.insider_transactions(forms, id_col, xml_col)
+    none = lambda c, out: F.nullif(F.col(c), F.lit("")).alias(out)
+    table = F.when(F.col("is_derivative"), "derivative").otherwise("non_derivative").alias("table")
+    return t.select("id", none("ticker", "issuer"), none("owner", "owner"), table, "nth", none("security", "security"), "date", none("code", "code"), none("acquired", "acquired"), "shares", "price", "after")
 
 
 def rosters(spark: SparkSession, path: str, first: str, last: str) -> DataFrame:
