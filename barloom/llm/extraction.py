@@ -244,8 +244,9 @@ def _labelled(pages: DataFrame, html_col: str, rows: int) -> DataFrame:
     """Pages that say themselves where their main text is: one article element, or else one main element."""
     h = F.lower(html_col)
     one = lambda name: F.size(F.split(h, rf"<{name}[\s>]")) == 2
-    found = pages.select(F.col(html_col).alias("page")).where((F.octet_length(html_col) <= LONGEST) & (one("article") | (~h.rlike(r"<article[\s>]") & one("main"))))
-    return found.orderBy(F.xxhash64("page"), "page").limit(rows)
+    found = pages.select(F.col(html_col).alias("page"), F.xxhash64(html_col).alias("hash")).where((F.octet_length(html_col) <= LONGEST) & (one("article") | (~h.rlike(r"<article[\s>]") & one("main"))))
+    last = found.select("hash").distinct().orderBy("hash").limit(rows).agg(F.max("hash")).first()[0]  # hashes are sorted, not pages
+    return found.where(F.col("hash") <= F.lit(last)).groupBy("hash").agg(F.min("page").alias("page")).select("page")
 
 
 def _hidden(found: list[Token]) -> list[tuple[Token, bool]]:
