@@ -91,6 +91,14 @@ def spread(combine, x: str, step: int, times: int) -> Column:  # noqa: ANN001
     return combine(*[F.col(x) if k == 0 else lag(x, k * step) for k in range(times)])
 
 
+def summed(x: str, step: int, times: int) -> Column:
+    """A sum over step * times rows from the column x of sums over step rows."""
+    out = F.col(x)
+    for k in range(1, times):
+        out = out + lag(x, k * step)
+    return out
+
+
 def as_of(calendar: DataFrame, series: DataFrame, value: str, out: str, order: str = "date") -> DataFrame:
     """For each date of the calendar the newest value on or before it, with its date (out_date). One row per date on both sides."""
     both = calendar.select(order).withColumn("_v", F.lit(None).cast(dict(series.dtypes)[value])).withColumn("_q", F.lit(1))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.sliding import block_windows
-from barloom.functions.windows import by_ticker, change, ewms, full, known, lag, numbered, rows, safe
+from barloom.functions.windows import by_ticker, change, ewms, known, lag, numbered, rows, safe, sliding, spread, summed
 
 YEAR = 252
 
@@ -14,36 +14,47 @@ YEAR = 252
 def price_features(bars: DataFrame) -> DataFrame:
     """Moves, distances, volumes and oscillators of each ticker's own bars: (ticker, date, open, high, low, close, volume, vwap) in, the features added.
 
-    One shuffle by ticker. Frames of up to 10 rows slide; longer ones are joined from blocks (`block_windows`), so their cost does not grow with their width, and an infinite or
-    missing price leaves each feature with the window that held it."""
+    One sort by (ticker, date). A sliding frame costs its width at each row, so long sums and extremes are put together from those of shorter frames at fixed distances: 200 rows are
+    four times 50, and 50 five times 10. Each is summed anew, so an infinite or missing price leaves a feature with the window that held it."""
     c, v = F.col("close"), F.col("volume")
     prior = lag("close", 1)
-    df = bars.withColumns({
+    df = numbered(bars).withColumns({
+        "_ten": F.sum("close").over(rows(10)), "_top63": F.max("close").over(rows(63)), "_low63": F.min("close").over(rows(63)), "_top20": F.max("close").over(rows(20)),
+        "_50": known(50, "close"), "_200": known(200, "close"), "_252": known(252, "close"), "_60": known(60, "close"),
         "_log": F.log(c / prior), "_ret": safe(c, prior) - 1, "_delta": c - prior, "_overnight": safe(F.col("open"), prior) - 1, "_intraday": safe(c, F.col("open")) - 1,
         "_expanding": F.when(F.count("volume").over(by_ticker()) >= 20, F.avg("volume").over(by_ticker())),
         "_mf": F.coalesce(safe((c - F.col("low")) - (F.col("high") - c), F.col("high") - F.col("low")), F.lit(0.0)) * v,
-        "momentum_5d": change("close", 5), "momentum_20d": change("close", 20), "return_60d": change("close", 60), "return_120d": change("close", 120), "mom_12_1_pct": safe(lag("close", 21), lag("close", 252)) - 1,
-        "dist_from_5d_high": c / full(5, F.max("high"), "high") - 1, "_v5": full(5, F.avg("volume"), "volume"),
+        "_mid": sliding(20, F.avg("close"), "close"), "_sd": sliding(20, F.stddev_samp("close"), "close"),
     })
+    df = df.withColumn("_fifty", summed("_ten", 10, 5))
     df = df.withColumns({
-        "overnight_return_5d": full(5, F.sum("_overnight"), "_overnight"), "intraday_return_5d": full(5, F.sum("_intraday"), "_intraday"), "_sd10": full(10, F.stddev_samp("_log"), "_log"),
-        "_obv": F.sum(F.coalesce(F.signum("_delta"), F.lit(0.0)) * v).over(by_ticker()),
-    }).withColumn("_obv5", full(5, F.avg("_obv"), "_obv"))
-    df = block_windows(df, {
-        20: {"_mid": ("avg", "close"), "_sd": ("sd", "close"), "avg_volume_20d_raw": ("avg", "volume"), "_top20": ("max", "high"), "_vol20": ("sd", "_ret"), "_mf20": ("sum", "_mf"), "_sum20": ("sum", "volume"), "_obv20": ("avg", "_obv")},
-        50: {"_mean50": ("avg", "close")}, 200: {"_mean200": ("avg", "close")}, 252: {"_hi": ("max", "close"), "_lo": ("min", "close")},
-        60: {"_peak": ("max", "close"), "_sd60": ("sd", "_log")}, 63: {"_vol63": ("sd", "_ret")},
+        "momentum_5d": change("close", 5), "momentum_20d": change("close", 20), "return_60d": change("close", 60), "return_120d": change("close", 120),
+        "mom_12_1_pct": safe(lag("close", 21), lag("close", 252)) - 1,
+        "price_vs_ma50": c / F.when(F.col("_50"), F.col("_fifty") / 50) - 1, "price_vs_ma200": c / F.when(F.col("_200"), summed("_fifty", 50, 4) / 200) - 1,
+        "avg_volume_20d_raw": sliding(20, F.avg("volume"), "volume"),
+        "dist_from_52w_high": c / F.when(F.col("_252"), spread(F.greatest, "_top63", 63, 4)) - 1, "dist_from_52w_low": c / F.when(F.col("_252"), spread(F.least, "_low63", 63, 4)) - 1,
+        "dist_from_5d_high": c / sliding(5, F.max("high"), "high") - 1, "dist_from_20d_high": c / sliding(20, F.max("high"), "high") - 1,
+        "vwap_divergence_pct": safe(c - F.col("vwap"), F.col("vwap")), "volume_trend": F.coalesce(safe(sliding(5, F.avg("volume"), "volume"), sliding(20, F.avg("volume"), "volume")), F.lit(1.0)),
+        "_peak": F.when(F.col("_60"), spread(F.greatest, "_top20", 20, 3)),
     })
     df = df.withColumns({
-        "price_vs_ma50": c / F.col("_mean50") - 1, "price_vs_ma200": c / F.col("_mean200") - 1, "dist_from_52w_high": c / F.col("_hi") - 1, "dist_from_52w_low": c / F.col("_lo") - 1,
-        "dist_from_20d_high": c / F.col("_top20") - 1, "vwap_divergence_pct": safe(c - F.col("vwap"), F.col("vwap")), "volume_trend": F.coalesce(safe(F.col("_v5"), F.col("avg_volume_20d_raw")), F.lit(1.0)),
-        "avg_volume_20d": F.coalesce(safe(F.col("avg_volume_20d_raw"), F.col("_expanding")), F.when(F.col("_expanding") == 0, F.lit(1.0))), "rel_volume_ratio": F.coalesce(safe(v, F.col("avg_volume_20d_raw")), F.lit(1.0)),
-        "vol_ratio_10_60": F.coalesce(safe(F.col("_sd10"), F.col("_sd60")), F.lit(1.0)), "realized_vol_20d": F.col("_vol20") * F.sqrt(F.lit(YEAR)), "realized_vol_63d": F.col("_vol63") * F.sqrt(F.lit(YEAR)),
-        "bollinger_pct": F.coalesce(safe(c - (F.col("_mid") - 2 * F.col("_sd")), 4 * F.col("_sd")), F.lit(0.5)), "price_accel": F.col("momentum_5d") - F.col("momentum_20d"),
-        "cmf_20_ratio": safe(F.col("_mf20"), F.col("_sum20")), "obv_slope_10d": safe(F.col("_obv5") - F.col("_obv20"), F.col("avg_volume_20d_raw")), "_dd": c / F.col("_peak") - 1,
+        "avg_volume_20d": F.coalesce(safe(F.col("avg_volume_20d_raw"), F.col("_expanding")), F.when(F.col("_expanding") == 0, F.lit(1.0))),
+        "rel_volume_ratio": F.coalesce(safe(v, F.col("avg_volume_20d_raw")), F.lit(1.0)),
+        "overnight_return_5d": sliding(5, F.sum("_overnight"), "_overnight"), "intraday_return_5d": sliding(5, F.sum("_intraday"), "_intraday"),
+        "vol_ratio_10_60": F.coalesce(safe(sliding(10, F.stddev_samp("_log"), "_log"), sliding(60, F.stddev_samp("_log"), "_log")), F.lit(1.0)),
+        "realized_vol_20d": sliding(20, F.stddev_samp("_ret"), "_ret") * F.sqrt(F.lit(YEAR)), "realized_vol_63d": sliding(63, F.stddev_samp("_ret"), "_ret") * F.sqrt(F.lit(YEAR)),
+        "bollinger_pct": F.coalesce(safe(c - (F.col("_mid") - 2 * F.col("_sd")), 4 * F.col("_sd")), F.lit(0.5)),
+        "price_accel": F.col("momentum_5d") - F.col("momentum_20d"),
+        "volume_price_div": F.signum(F.col("volume_trend") - 1) * F.signum("momentum_5d"),
+        "cmf_20_ratio": safe(sliding(20, F.sum("_mf"), "_mf"), sliding(20, F.sum("volume"), "volume")),
+        "_obv": F.sum(F.coalesce(F.signum("_delta"), F.lit(0.0)) * v).over(by_ticker()), "_dd": c / F.col("_peak") - 1,
+    })
+    df = df.withColumns({"_dd20": F.min("_dd").over(rows(20)), "_ddfull": known(60, "_dd"), "_obv5": sliding(5, F.avg("_obv"), "_obv"), "_obv20": sliding(20, F.avg("_obv"), "_obv")})
+    return df.withColumns({
+        "vol_of_vol_30d": sliding(30, F.stddev_samp("realized_vol_20d"), "realized_vol_20d"),
+        "max_drawdown_60d": F.when(F.col("_ddfull"), spread(F.least, "_dd20", 20, 3)),
+        "obv_slope_10d": safe(F.col("_obv5") - F.col("_obv20"), F.col("avg_volume_20d_raw")),
     })
-    df = df.withColumn("volume_price_div", F.signum(F.col("volume_trend") - 1) * F.signum("momentum_5d"))
-    return block_windows(df, {30: {"vol_of_vol_30d": ("sd", "realized_vol_20d")}, 60: {"max_drawdown_60d": ("min", "_dd")}})
 
 
 def oscillators(df: DataFrame) -> DataFrame:
