@@ -21,8 +21,8 @@ def rebased_deviation(a: DataFrame, b: DataFrame, tolerance: float) -> DataFrame
     return got.select("ticker", F.coalesce("common", F.lit(0)).cast("long").alias("common"), "deviation", status.alias("status"))
 
 
-def discrepancies(old: DataFrame, new: DataFrame, events: DataFrame, warn: float = 0.01, error: float = 0.05, tolerance: float = 0.005, restated: list | None = None) -> DataFrame:
-    """Cells whose close changed by more than the warning level, as warning, error, explained, or restated: an index whose only source revises it (`restated` lists them).
+def discrepancies(old: DataFrame, new: DataFrame, events: DataFrame, warn: float = 0.01, error: float = 0.05, tolerance: float = 0.005, restated: DataFrame | None = None) -> DataFrame:
+    """Cells whose close changed by more than the warning level, as warning, error, explained, or restated: an index whose only source revises it (`restated` has their tickers).
 
     An error is explained by an event of the ticker (ticker, ex_date, factor) from 3 days before to 60 days after, whose factor or inverse fits the ratio; of several the earliest one counts."""
     both = old.select("ticker", "date", F.col("close").alias("prior")).join(new.select("ticker", "date", F.col("close").alias("now")), ["ticker", "date"]).where("prior > 0 and now > 0")
@@ -30,8 +30,13 @@ def discrepancies(old: DataFrame, new: DataFrame, events: DataFrame, warn: float
     fits = (F.abs(F.col("ratio") / F.col("factor") - 1) <= tolerance) | (F.abs(F.col("ratio") * F.col("factor") - 1) <= tolerance)
     near = both.select("ticker", "date", "ratio").join(events, "ticker").where(F.col("ex_date").between(F.date_sub("date", 3), F.date_add("date", 60)) & fits)
     why = near.groupBy("ticker", "date").agg(F.min("ex_date").alias("explained_by"))
-    level = F.when(F.col("change") <= error, "warning").when(F.col("ticker").isin(restated or []), "restated").when(F.col("explained_by").isNotNull(), "explained").otherwise("error")
-    return both.join(why, ["ticker", "date"], "left").withColumn("level", level)
+    if restated is None:
+        both = both.withColumn("_revised", F.lit(False))
+    else:
+        names = restated.select("ticker").distinct().withColumn("_revised", F.lit(True))
+        both = both.join(names, "ticker", "left").fillna(False, ["_revised"])
+    level = F.when(F.col("change") <= error, "warning").when(F.col("_revised"), "restated").when(F.col("explained_by").isNotNull(), "explained").otherwise("error")
+    return both.join(why, ["ticker", "date"], "left").withColumn("level", level).drop("_revised")
 
 
 def uniform_groups(errors: DataFrame, tolerance: float = 0.02) -> DataFrame:

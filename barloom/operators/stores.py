@@ -120,7 +120,7 @@ def digest_sections(digest: DataFrame, keep: int = 5) -> DataFrame:
     """A digest (id, score, published_at, ticker) as sections of JSON: the best and the worst stories, and each ticker's count, largest first."""
     story = digest.dropDuplicates(["id"]).select("id", "score", "published_at")
     text = lambda d: F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("_k", "id", "score"))), lambda x: F.struct(x["id"].alias("id"), F.round(x["score"], 4).alias("score"))))  # noqa: E731, ARG005
-    part = lambda name, order: story.withColumn("_k", F.row_number().over(Window.orderBy(*order))).where(F.col("_k") <= keep).agg(text(None).alias("body")).select(F.lit(name).alias("section"), "body")
+    part = lambda name, order: story.orderBy(*order).limit(keep).withColumn("_k", F.row_number().over(Window.orderBy(*order))).agg(text(None).alias("body")).select(F.lit(name).alias("section"), "body")
     best = part("best", [F.desc("score"), F.asc("id")])
     worst = part("worst", [F.asc("score"), F.asc("id")])
     per = digest.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"))

@@ -217,11 +217,12 @@ def factor_momentum_slice(spark, d):  # noqa: ANN001, ANN201
     return cross_section.factor_momentum_ratio(long, 60, 5, 0.3, 5)
 
 
-@R.query(f"""WITH {_BARS}, o AS (SELECT ticker, date, close * CASE WHEN ticker % 4 = 0 THEN 1.2 WHEN ticker % 4 = 1 THEN 1.03 ELSE 1.0 END AS close FROM bars)
-SELECT bars.ticker, bars.date, CASE WHEN ticker % 4 = 1 THEN 'warning' WHEN ticker % 8 = 0 THEN 'restated' ELSE 'error' END AS level FROM bars WHERE ticker % 4 <= 1""")
+@R.query(f"""WITH {_BARS}, o AS (SELECT ticker, date, close * CASE WHEN ticker % 4 = 0 THEN 1.2 WHEN ticker % 4 = 1 THEN 1.03 ELSE 1.0 END AS close FROM bars),
+r AS (SELECT ticker, date, abs(o.close / bars.close - 1) AS change FROM bars JOIN o USING (ticker, date)), names AS (SELECT s_suppkey AS ticker FROM supplier WHERE s_suppkey % 8 = 0)
+SELECT ticker, date, CASE WHEN change <= 0.05 THEN 'warning' WHEN ticker IN (FROM names) THEN 'restated' ELSE 'error' END AS level FROM r WHERE change > 0.01""")
 def restated_discrepancies(spark, d):  # noqa: ANN001, ANN201
     b = tables.bars(spark, d).select("ticker", "date", "close")
     k = F.col("ticker") % 4
     none = b.limit(0).select("ticker", F.col("date").alias("ex_date"), F.col("close").alias("factor"))
-    names = [r[0] for r in tables.read(spark, d, "supplier").where("s_suppkey % 8 = 0").select("s_suppkey").collect()]  # the indexes, some few names
+    names = tables.read(spark, d, "supplier").where("s_suppkey % 8 = 0").select(F.col("s_suppkey").alias("ticker"))
     return reconcile.discrepancies(b, b.withColumn("close", F.col("close") * F.when(k == 0, 1.2).when(k == 1, 1.03).otherwise(1.0)), none, restated=names).select("ticker", "date", "level")
