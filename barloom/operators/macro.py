@@ -64,6 +64,18 @@ def year_on_year(monthly: DataFrame) -> DataFrame:
     return monthly.withColumn("yoy_pct", safe(F.col("value"), lag("value", 12, w)) * 100 - 100)
 
 
+def labelled_history(series: DataFrame, about: DataFrame, derived: dict[str, str]) -> DataFrame:
+    """The long history (date, series_id, label, value, units, frequency) of the series that `about` (series_id, label, units, frequency) describes, and of derived ones.
+
+    derived: name of a series of year-on-year changes -> the monthly series they are made of: in percent with two digits, against the value 12 values before, none where that
+    is missing or 0. A series that `about` does not describe is left out; about is a short list, sent to all tasks only if Spark finds it small."""
+    w = Window.partitionBy("series_id").orderBy("date")
+    of = F.coalesce(*[F.when(F.col("series_id") == base, F.lit(name)) for name, base in derived.items()])
+    change = F.round((F.col("value") / F.nullif(F.lag("value", 12).over(w), F.lit(0.0)) - 1) * 100, 2)
+    made = series.where(F.col("series_id").isin(list(derived.values()))).select(of.alias("series_id"), "date", change.alias("value")).where("value is not null")
+    return series.select("series_id", "date", "value").union(made).join(about, "series_id").select("date", "series_id", "label", "value", "units", "frequency")
+
+
 def snapshot(series: DataFrame, names: list[str]) -> DataFrame:
     """The newest value of each series, its date, and the slope TNX - IRX in basis points, in one row."""
     last = series.where(F.col("series_id").isin(names)).groupBy("series_id").agg(F.max_by("value", "date").alias("value"), F.max("date").alias("date"))

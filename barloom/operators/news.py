@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.sources import snapshots
+
 
 def daily_aggregate(articles: DataFrame, scores: DataFrame, events: DataFrame, trust: Column) -> DataFrame:
     """Per (ticker, date): articles, their trust, sentiment plain and weighted, words, events, their severity and the three gravest ones' descriptions, sources as sorted JSON.
@@ -63,6 +65,65 @@ def topic_feed(entries: DataFrame, cutoff: str, keep: int) -> DataFrame:
     return e.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= keep)
 
 
+def portfolio_entries(articles: DataFrame, exclude: str, keep: int = 30) -> DataFrame:
+    """The portfolio's part of a digest: entries of (rank, id, pos, ticker, score, published_at, source), a story standing once for each of its tickers, and at most `keep` entries in all.
+
+    Stories by the size of their score (none counts as 0), newest first among equals, then by id; tickers in their order, repeated ones as often as they stand. The excluded source is
+    told by name whatever its case; a story without a source stays, one without tickers has no entry, so it takes no place from others."""
+    e = articles.where(F.lower(F.coalesce("source", F.lit(""))) != exclude.lower()).select("id", "score", "published_at", "source", F.posexplode("tickers").alias("pos", "ticker"))
+    order = [F.desc(F.abs(F.coalesce("score", F.lit(0.0)))), F.desc_nulls_last("published_at"), F.asc("id"), F.asc("pos")]
+    top = e.orderBy(*order).limit(keep)
+    return top.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), "id", "pos", "ticker", F.round(F.coalesce("score", F.lit(0.0)), 6).alias("score"), "published_at", "source")
+
+
+def first_seen(entries: DataFrame, keys: list[str], order: str, within: str) -> DataFrame:
+    """The entries that a reader going through each group (`within`) in order would keep, who passes over an entry that shares any of the keys with one kept before.
+
+    An entry passed over leaves no mark, so dropping repeats by one key and then by the next gives another result. It is found in rounds instead of row by row: an entry that comes first
+    among the undecided ones of all its keys is kept, and those that share a key with it go. The first undecided entry of a group is always decided, and chains of n entries that each
+    wait for the one before take n rounds; others few. Equal combinations of keys are folded first, so a frequent key costs a row for each partner it has. A null key is a value as any other.
+    `order` must not repeat within a group. Rounds are cut by checkpoints."""
+    spark = entries.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(snapshots.scratch(spark, "rounds"))
+    text = lambda c: F.to_json(F.array(F.col(c).cast("string")))  # noqa: E731  null becomes a value
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = entries.select(text(within).alias("_g"), F.col(order).alias("_o"), *[text(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    undecided, kept = rows.groupBy("_g", *names).agg(F.min("_o").alias("_o")).checkpoint(), None
+    while not undecided.isEmpty():
+        marked = undecided
+        for k in names:
+            marked = marked.join(undecided.groupBy("_g", k).agg(F.min("_o").alias(f"_first{k}")), ["_g", k])
+        first = marked.where(" AND ".join(f"_o = _first{k}" for k in names)).select("_g", "_o", *names).checkpoint()
+        kept = first if kept is None else kept.union(first)
+        for k in names:
+            undecided = undecided.join(first.select("_g", k), ["_g", k], "left_anti")
+        undecided = undecided.checkpoint()
+    if kept is None:
+        return entries.limit(0)
+    return entries.withColumns({"_g": text(within), "_o": F.col(order)}).join(kept.select("_g", "_o"), ["_g", "_o"], "left_semi").select(*entries.columns)
+
+
+def topic_stories(entries: DataFrame, cutoff: str, keep: int) -> DataFrame:
+    """`topic_feed` for a reader who goes through a topic's entries by seq and passes over those whose URL or title stands on one kept before; newest first, undated last."""
+    e = entries.where((F.trim("url") != "") & (F.trim("title") != "")).where(F.col("published_at").isNull() | (F.col("published_at") >= F.lit(cutoff).cast("timestamp")))
+    e = e.withColumns({"_url": F.lower(F.regexp_replace(F.trim("url"), "/+$", "")), "_title": F.lower(F.trim("title"))})
+    w = Window.partitionBy("topic").orderBy(F.desc_nulls_last("published_at"), "seq")
+    return first_seen(e, ["_url", "_title"], "seq", "topic").drop("_url", "_title").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= keep)
+
+
+def digest_document(portfolio: DataFrame, topics: DataFrame, names: list[str]) -> DataFrame:
+    """The sections of a digest in order (pos, section, n, entries): the portfolio's entries, then each named topic's by rank; a topic without stories has an empty list.
+
+    portfolio: as of `portfolio_entries`; topics: topic, rank, id, published_at, source. Both are cut to a few entries a section before they come here, so a section's list is bounded."""
+    entry = lambda label: F.struct("rank", "id", label, "score", "published_at", "source")
+    own = portfolio.select(F.lit("portfolio").alias("section"), entry(F.col("ticker").cast("string").alias("ticker")).alias("e"))
+    feed = topics.where(F.col("topic").isin(names)).select(F.col("topic").alias("section"), "rank", "id", F.lit(None).cast("string").alias("ticker"), F.lit(None).cast("double").alias("score"), F.col("published_at"), "source")
+    lists = own.union(feed.select("section", F.struct("rank", "id", "ticker", "score", "published_at", "source"))).groupBy("section").agg(F.array_sort(F.collect_list("e")).alias("entries"))
+    want = portfolio.sparkSession.createDataFrame(list(enumerate(["portfolio", *names])), "pos int, section string")
+    return want.join(lists, "section", "left").select("pos", "section", F.coalesce(F.size("entries"), F.lit(0)).alias("n"), F.coalesce("entries", F.array()).alias("entries"))
+
+
 def ownership_text(rows: DataFrame) -> DataFrame:
     """A sentence on each (ticker, quarter): holders, shares, value and the change (ticker, quarter, holders, shares, prior_shares)."""
     pct = F.when(F.col("prior_shares") > 0, (F.col("shares") - F.col("prior_shares")) * 100 / F.col("prior_shares"))

@@ -128,12 +128,8 @@ def digest_sections(digest: DataFrame, keep: int = 5) -> DataFrame:
     return best.union(worst).union(tickers)
 
 
-def daily_append(stored: DataFrame, incoming: DataFrame, day: str, least: int = 265) -> tuple[DataFrame, DataFrame]:
-    """A day's append: the store with the accepted rows, the features of that day, and what became of each incoming row.
-
-    Incoming bars of the day pass the row gate against their own history and the splice guard; accepted ones replace stored rows of the day, and the features of the
-    day are computed on each ticker's last `least` rows, which is all that its windows reach. Returns (features of the day, verdicts); the accepted rows
-    are those with verdict `accepted`."""
+def judged(stored: DataFrame, incoming: DataFrame, day: str, least: int) -> tuple[DataFrame, DataFrame]:
+    """The last `least` rows of each ticker whose bar of the day passes the row gate and the splice guard, that bar included, and what became of each incoming bar of the day."""
     cols = ["ticker", "date", "open", "high", "low", "close", "volume", "vwap"]
     at = F.lit(day).cast("date")
     new = incoming.where(F.col("date") == at).select(*cols).withColumn("_new", F.lit(True))
@@ -144,8 +140,17 @@ def daily_append(stored: DataFrame, incoming: DataFrame, day: str, least: int =
     splice = actions.splice_guard(both).where(F.col("date") == at).select("ticker", "date", F.col("verdict").alias("splice"))
     verdict = F.when(F.col("blocking") != "", "blocked").when(F.col("splice") != "ok", F.col("splice")).otherwise("accepted")
     verdicts = gate.join(splice, ["ticker", "date"]).withColumn("verdict", verdict)
-    accepted = both.join(verdicts.where("verdict = 'accepted'").select("ticker"), "ticker", "left_semi").drop("_new")
-    return technicals.price_features(accepted).where(F.col("date") == at), verdicts
+    return both.join(verdicts.where("verdict = 'accepted'").select("ticker"), "ticker", "left_semi").drop("_new"), verdicts
+
+
+def daily_append(stored: DataFrame, incoming: DataFrame, day: str, least: int = 265) -> tuple[DataFrame, DataFrame]:
+    """A day's append: the features of that day, and what became of each incoming row (`daily.append_all` has all passes).
+
+    Incoming bars of the day pass the row gate against their own history and the splice guard; accepted ones replace stored rows of the day, and the features of the
+    day are computed on each ticker's last `least` rows, which is all that its windows reach. Returns (features of the day, verdicts); the accepted rows
+    are those with verdict `accepted`."""
+    accepted, verdicts = judged(stored, incoming, day, least)
+    return technicals.price_features(accepted).where(F.col("date") == F.lit(day).cast("date")), verdicts
 
 
 def appended(stored: DataFrame, incoming: DataFrame, verdicts: DataFrame) -> DataFrame:

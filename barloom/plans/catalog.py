@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import actions, articles, cross_section, gates, membership, merge, returns, technicals
-from barloom.plans import catalog_inputs, filings, known, panels, records, reports, series, shapes, sql, states, stores, tolerant, trees, upkeep
+from barloom.plans import catalog_inputs, filings, known, panels, passes, records, reports, series, shapes, sql, states, stores, tolerant, trees, upkeep
 from barloom.plans.registry import DIGITS, merged, rounded
 from barloom.sources import tables
 
@@ -331,4 +331,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 #: Modules with queries beside their SQL.
-MODULES = [known, trees, tolerant, series, records, states, upkeep, shapes, filings, panels, stores, reports]
+MODULES = [known, trees, tolerant, passes, series, records, states, upkeep, shapes, filings, panels, stores, reports]

@@ -76,3 +76,19 @@ def registry(spark: SparkSession, groups: dict[str, list[str]], tables: dict[str
     found = [(g, c, t, n) for n, df in tables.items() for c, t in df.dtypes for g, names in groups.items() if c in names]
     return spark.createDataFrame(found, "group string, column string, type string, table string")
 
+
+
+def filled_registry(spark: SparkSession, groups: dict[str, list[str]], tables: dict[str, DataFrame]) -> DataFrame:
+    """`registry` with the values and rows that each column has (filled, rows): one scan of each table, over the named columns only."""
+    counts = None
+    for name, df in tables.items():
+        cols = sorted({c for names in groups.values() for c in names if c in df.columns})
+        if not cols:
+            continue
+        one = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols], F.count(F.lit(1)).alias("_rows"))
+        long = one.unpivot(["_rows"], [F.col(f"`{c}`") for c in cols], "column", "filled").select(F.lit(name).alias("table"), "column", "filled", F.col("_rows").alias("rows"))
+        counts = long if counts is None else counts.union(long)
+    found = registry(spark, groups, tables)
+    if counts is None:
+        return found.withColumns({"filled": F.lit(0).cast("bigint"), "rows": F.lit(0).cast("bigint")})
+    return found.join(counts, ["table", "column"]).select("group", "column", "type", "table", "filled", "rows")

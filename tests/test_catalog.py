@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from barloom.operators import returns
-from barloom.plans import catalog, filings, known, panels, registry, reports, series, shapes, stores, tolerant, trees
+from barloom.plans import catalog, filings, known, panels, passes, registry, reports, series, shapes, stores, tolerant, trees
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,7 +31,7 @@ def test_a_name_is_registered_once():
 #: Queries that may find nothing in so small a table.
 EMPTY = {"change_divergence_since"}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-CHECKED = [*known.R.sql, *trees.R.sql, *tolerant.R.sql, *filings.R.sql, *panels.R.sql, *stores.R.sql, *reports.R.sql, "alternative_features", "alternative_payloads", "forward_returns_all_horizons", "exit_prices_all_horizons", "period_returns_all"]
+CHECKED = [*known.R.sql, *passes.R.sql, *trees.R.sql, *tolerant.R.sql, *filings.R.sql, *panels.R.sql, *stores.R.sql, *reports.R.sql, "alternative_features", "alternative_payloads", "forward_returns_all_horizons", "exit_prices_all_horizons", "period_returns_all"]
 CHECKED += ["price_features", "oscillators", "robust_zscores", "news_daily", "article_records", "article_dedupe", "roster_changes", "point_in_time_membership", "series_gate", "contract_gates", "change_hash"]
 
 
