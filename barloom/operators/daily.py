@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators import cross_section, documents, gates, macro, stores, technicals
+from barloom.operators import cross_section, documents, macro, stores, technicals
 from barloom.sources import snapshots
 
 #: Rows of a ticker that its longest chain of windows reaches: 60 for beta, 231 for its residuals, 21 skipped, and the warm-up of the exponential means.
@@ -24,8 +24,8 @@ def _written(df: DataFrame) -> DataFrame:
 def series_with_today(history: DataFrame, today: DataFrame, limits: dict[str, int]) -> DataFrame:
     """The series gate on history and today together, for today's tickers only: a row of today replaces the stored one of its ticker and date.
 
-    (ticker, gates that exceed their limits, those of them that only today's row brought about, quarantine). One pass: the gate without today is the gate's counts less what
-    today's row adds, which the rows before it decide; so history is neither read nor sorted twice. A ticker without history has its one row judged."""
+    (ticker, gates that exceed their limits, those of them that only today's row brought about, quarantine). One pass: the gate
+    without today is the gate's counts less what today's row adds (today is after all other rows), so history is neither read nor sorted twice. A ticker without history has its one row judged."""
     new = today.select(*history.columns).withColumn("_today", F.lit(True))
     old = history.join(new.select("ticker").distinct(), "ticker", "left_semi").join(new.select("ticker", "date"), ["ticker", "date"], "left_anti").withColumn("_today", F.lit(False))
     both = old.select(*history.columns, "_today").unionByName(new)
@@ -44,26 +44,30 @@ def series_with_today(history: DataFrame, today: DataFrame, limits: dict[str, in
     return n.select("ticker", F.array_join(fresh, ",").alias("fresh_gates")).join(over, "ticker")
 
 
+def judged_all(stored: DataFrame, incoming: DataFrame, day: str, limits: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """(the last REACH rows of the accepted tickers, verdicts of the day's bars): row gate, splice guard, then the series gate with `limits`, whose verdict is `quarantined`.
+
+    The judged rows and the verdicts are each written once, and reread by what follows."""
+    at = F.lit(day).cast("date")
+    rows, first = (_written(df) for df in stores.judged(stored, incoming, day, REACH))
+    bad = series_with_today(rows.where(F.col("date") < at), rows.where(F.col("date") == at), limits).where("quarantine").select("ticker", F.col("gates").alias("series_gates"))
+    verdicts = _written(first.join(bad, "ticker", "left").withColumn("verdict", F.when(F.col("series_gates").isNotNull(), "quarantined").otherwise(F.col("verdict"))))
+    return rows.join(verdicts.where("verdict = 'accepted'").select("ticker"), "ticker", "left_semi"), verdicts
+
+
 def append_all(
     stored: DataFrame, incoming: DataFrame, day: str, market: DataFrame, series: DataFrame, names: list[str], limits: dict[str, int], factors: list[str], scored: list[str],
     *, window: int = 231, skip: int = 21, quantile: float = 0.3, min_names: int = 20,
 ) -> tuple[DataFrame, DataFrame]:
     """A day's append with every pass: (features of the day, verdicts of the day's bars).
 
-    Guards: row gate, splice guard, then the series gate with `limits` (verdict `quarantined`). Passes over the last REACH rows of the accepted tickers, all windows of a ticker
-    in one partitioning: price features, oscillators, market (date, spy). Then the day's row of macro features (series: series_id, date, value), joined by date; the factor momentum
-    ratio, from long-short returns of the `factors` in the same rows; and z_<name>, robust z-scores across the day's names, of the columns `scored`. `unknown` counts a row's null features.
+    Bars are judged by `judged_all`. Passes over the last REACH rows of the accepted tickers, all windows of a ticker in one partitioning: price features, oscillators, market (date,
+    spy). Then the day's row of macro features (series: series_id, date, value), joined by date; the factor momentum ratio, from long-short returns of the `factors` in the same rows; and z_<name>, robust z-scores across the day's names, of the columns `scored`. `unknown` counts a row's null features.
 
-    The judged rows, the verdicts and the day's features are each written once and reread by what follows.
+    The day's features are written once, before they are compared with one another.
     A day without accepted bars gives no rows; a series or market without the day gives nulls (or the pass's neutral value), not a lost row."""
     at = F.lit(day).cast("date")
-    rows, first = stores.judged(stored, incoming, day, REACH)
-    rows, first = _written(rows), _written(first)
-    history, today = rows.where(F.col("date") < at), rows.where(F.col("date") == at)
-    bad = series_with_today(history, today, limits).where("quarantine").select("ticker", F.col("gates").alias("series_gates"))
-    verdicts = first.join(bad, "ticker", "left").withColumn("verdict", F.when(F.col("series_gates").isNotNull(), "quarantined").otherwise(F.col("verdict")))
-    verdicts = _written(verdicts)
-    kept = rows.join(verdicts.where("verdict = 'accepted'").select("ticker"), "ticker", "left_semi")
+    kept, verdicts = judged_all(stored, incoming, day, limits)
     own = technicals.oscillators(technicals.price_features(kept))
     own_names = [c for c in own.columns if not c.startswith("_") and c not in kept.columns]
     full = _written(technicals.market_features(own, market).where(F.col("date") == at).select("ticker", "date", *own_names, *MARKET))

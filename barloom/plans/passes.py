@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.operators import daily, macro, news
-from barloom.operators import technicals
+from barloom.operators import daily, macro, news, technicals
 from barloom.plans import records, series, sql, stores
 from barloom.plans.registry import Registry
 from barloom.sources import readers, snapshots, tables
@@ -53,9 +52,14 @@ al AS (SELECT today.*, f4.* EXCLUDE (date), factor_momentum_ratio, zw.* EXCLUDE
 SELECT ticker, date, {', '.join(_ALL)}, ({' + '.join(f'({c} IS NULL)::INT' for c in _ALL)})::INT AS unknown FROM al"""
 
 
-def _append(spark, d):  # noqa: ANN001, ANN202
+def _bars(spark, d):  # noqa: ANN001, ANN202
     b = tables.bars(spark, d)
     new = technicals.latest(b).withColumns({"date": F.lit(_DAY).cast("date"), "close": F.when(F.col("ticker") % 7 == 3, -F.col("close")).otherwise(F.col("close"))})
+    return b, new
+
+
+def _append(spark, d):  # noqa: ANN001, ANN202
+    b, new = _bars(spark, d)
     return daily.append_all(b, new, _DAY, tables.benchmark(spark, d), tables.macro(spark, d), series._NAMES, _LIMITS, _FACTORS, _SCORED, window=60, skip=5, min_names=5)
 
 
@@ -67,7 +71,7 @@ def append_all_features(spark, d):  # noqa: ANN001, ANN201
 
 @R.query(f"WITH {_APPEND} SELECT vd.ticker, date, blocking, splice, CASE WHEN series_gates IS NOT NULL THEN 'quarantined' ELSE verdict END AS verdict, series_gates FROM vd LEFT JOIN bad USING (ticker)")
 def append_all_verdicts(spark, d):  # noqa: ANN001, ANN201
-    return _append(spark, d)[1]
+    return daily.judged_all(*_bars(spark, d), _DAY, _LIMITS)[1]
 
 
 @R.query(f"""WITH {sql._BARS}, tod AS (SELECT ticker, DATE '1997-12-31' AS date, open, high, low, CASE WHEN ticker % 2 = 0 THEN close * 3 ELSE close END AS close, volume, vwap FROM bars WHERE ticker % 5 > 0 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1),
