@@ -258,7 +258,7 @@ def _row_key(id_: str, node: str) -> Column:
 def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE, weighted: bool = False) -> DataFrame:
     """id, node, class_id, class_size, kept for each row; see near_duplicates."""
     text = text_or_empty(text_col)
-    rows_ = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("node"), text.alias("text"))
+    rows_ = docs.select(F.col(id_col).alias("id"), F.unhex(F.sha2(text, 256)).alias("node"), text.alias("text"))
     with scratch(docs.sparkSession):
         signed = materialize(signatures(rows_, bands, rows, size, weighted), "signed", keep=True)
         nodes = signed.groupBy("node").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
@@ -306,7 +306,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Rows are known by id and text, so rows of one id with texts of different classes stay or go each by its own; of rows that
     agree in both, that whose other columns come first as JSON stays. Nulls, empty and long texts are as in near_duplicates."""
     kept = _classes(docs, id_col, text_col, **options).where("kept").select(_row_key("id", "node").alias("_key"))
-    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id"), F.unhex(F.md5(text_or_empty(text_col))).alias("_node"))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id"), F.unhex(F.sha2(text_or_empty(text_col), 256)).alias("_node"))
     rest = F.to_json(F.struct(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in (id_col, text_col)], F.lit(0).alias("_0")))
     joined = named.select("_row", _row_key("_id", "_node").alias("_key")).join(kept, "_key", "left_semi")
     one = Window.partitionBy("_key").orderBy(rest)
