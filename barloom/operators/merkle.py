@@ -48,13 +48,16 @@ def root(df: DataFrame, columns: list[str] | None = None) -> tuple[int, str]:
 
 
 def unequal(a: DataFrame, b: DataFrame, depth: int) -> DataFrame:
-    """The leaf prefixes at which two trees of one depth differ, found from the root down: of each level only children of nodes that differ are looked at."""
-    differs = lambda x, y, k: x.where(f"level = {k}").select("prefix", F.col("hash").alias("_a")).join(y.where(f"level = {k}").select("prefix", F.col("hash").alias("_b")), "prefix", "full_outer").where("not (_a <=> _b)").select("prefix")
-    open_ = differs(a, b, 0)
-    for k in range(1, depth + 1):
-        up = open_.withColumnRenamed("prefix", "_up")
-        below = lambda t, up=up, k=k: t.where(f"level = {k}").join(up, F.substring("prefix", 1, k - 1) == F.col("_up"), "left_semi")
-        open_ = differs(below(a), below(b), k)
+    """The leaf prefixes at which two trees of one depth differ, found from the root down: of each level only children of nodes that differ stay.
+
+    Each level of the trees is joined once and refers to the level above once, so that the plan grows with the depth, not with a power of it."""
+    side = lambda t, k, out: t.where(f"level = {k}").select("prefix", F.col("hash").alias(out))
+    open_ = None
+    for k in range(depth + 1):
+        differ = side(a, k, "_a").join(side(b, k, "_b"), "prefix", "full_outer").where("not (_a <=> _b)").select("prefix")
+        if open_ is not None:
+            differ = differ.join(open_.withColumnRenamed("prefix", "_up"), F.substring("prefix", 1, k - 1) == F.col("_up"), "left_semi")
+        open_ = differ
     return open_
 
 

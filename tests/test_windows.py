@@ -95,3 +95,10 @@ def test_roots_do_not_depend_on_order_and_lead_to_differences(spark):
     assert merkle.unequal(merkle.tree(ea, 2), merkle.tree(eb, 2), 2).count() <= 4  # few of some 250 leaves are looked at
     empty = a.limit(0)
     assert merkle.root(empty) == (0, "") and merkle.difference(a, empty).count() == a.distinct().count() and merkle.difference(empty, empty).count() == 0
+
+
+def test_the_walk_down_joins_each_level_once(spark):
+    rows = spark.range(50).select("id")
+    tree = merkle.tree(merkle.entries(rows), 5)
+    plan = merkle.unequal(tree, tree, 5)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Join FullOuter") == 6
