@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,9 +16,14 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.groupBy("ticker", "date").agg(F.min_by("price", F.struct("seq", "price")).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", F.struct("seq", "price")).alias("close"), F.sum("qty").alias("volume"), (F.sum("amount") / F.sum("qty")).alias("vwap"))
 
 
+def _mean(x: str) -> Column:
+    """The mean of prices. Their sum is exact, in decimals, so that it does not depend on the order in which partial sums meet: two passes over the same rows give equal values, to the last bit."""
+    return F.sum(F.col(x).cast("decimal(28,10)")).cast("double") / F.count(x)
+
+
 def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A market series: the mean order value of each date."""
-    return read(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.avg("o_totalprice").alias("spy"))
+    return read(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(_mean("o_totalprice").alias("spy"))
 
 
 def closes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,4 +39,4 @@ SERIES = {"1-URGENT": "VIX", "2-HIGH": "VIX3M", "3-MEDIUM": "TNX", "4-NOT SPECIF
 def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Macro series (series_id, date, value): the mean order value of a priority on a date; not every series has every date."""
     name = F.coalesce(*[F.when(F.col("o_orderpriority") == k, F.lit(v)) for k, v in SERIES.items()])
-    return read(spark, sf_dir, "orders").groupBy(name.alias("series_id"), F.to_date("o_orderdate").alias("date")).agg((F.avg("o_totalprice") / 10000).alias("value"))
+    return read(spark, sf_dir, "orders").groupBy(name.alias("series_id"), F.to_date("o_orderdate").alias("date")).agg((_mean("o_totalprice") / 10000).alias("value"))

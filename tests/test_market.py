@@ -153,3 +153,13 @@ def test_stream_sessions_and_deduplication(spark, tmp_path):
     assert {(r["user_id"], r["n"]) for r in spark.table("sessions").collect()} <= got
     for q in spark.streams.active:
         q.stop()
+
+
+def test_means_do_not_depend_on_the_order_of_rows(spark, tmp_path):
+    orders = tables.read(spark, "/root/testdata/sf0.01", "orders")
+    found = []
+    for n, by in enumerate([F.col("o_totalprice"), F.desc("o_totalprice"), F.hash("o_orderkey")]):
+        (tmp_path / str(n)).mkdir()
+        orders.coalesce(1).sortWithinPartitions(by).write.parquet(f"{tmp_path}/{n}/orders.parquet")
+        found.append([sorted(map(tuple, f(spark, f"{tmp_path}/{n}").collect())) for f in (tables.macro, tables.benchmark)])
+    assert found[0] == found[1] == found[2]
