@@ -28,19 +28,34 @@ def robust_zscores(long: DataFrame, keys: tuple[str, ...] = ("factor", "date"),
     return df.withColumn("z", z).drop("_med", "_n", "_mad", "_w", "_mu", "_sd")
 
 
+#: Rows of a group that are joined with its numbers in one task; larger groups are dealt over several.
+SHARE = 1 << 18
+
+
+def with_numbers(rows: DataFrame, numbers: DataFrame, on: list[str], share: int = SHARE) -> DataFrame:
+    """Rows joined with their group's numbers (one row a group, `_n` values in it; rows of other groups get nulls). A group of more than `share` values is cut into parts, each with a copy of the numbers.
+
+    The groups that are cut are at most rows / share, so their names can be sent to all tasks."""
+    cut = numbers.where(F.col("_n") > share).select(*on, F.ceil(F.col("_n") / share).alias("_parts"))
+    dealt = rows.join(F.broadcast(cut), on, "left").withColumn("_part", F.coalesce(F.monotonically_increasing_id() % F.col("_parts"), F.lit(0).cast("bigint"))).drop("_parts")
+    copies = numbers.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.ceil(F.col("_n") / share), F.lit(1)) - 1)))
+    return dealt.join(copies, [*on, "_part"], "left").drop("_part")
+
+
 def robust_zscores_counted(long: DataFrame, keys: tuple[str, ...] = ("factor", "date"), x: str = "x", clip: float = 3.0) -> DataFrame:
     """`robust_zscores` for groups of any size: medians by counting, mean and deviation by map-side sums; rows are joined with their group's numbers, and a hot group can be split.
 
     x as double; keys must not be null. Rows keep all their columns."""
     on = list(keys)
     rows = long.withColumn(x, F.col(x).cast("double"))
-    middle = medians(rows, on, x, "_med", "_n")
-    far = rows.select(*on, x).join(middle, on).withColumn("_far", F.abs(F.col(x) - F.col("_med")))
-    mad = medians(far, on, "_far", "_mad", "_m").drop("_m")
+    values = rows.where(F.col(x).isNotNull()).select(*on, x)
+    middle = medians(rows, on, x, "_med", "_n").localCheckpoint()  # one row a group, and so are the next two: their plans would be repeated in each that follows
+    far = with_numbers(values, middle, on).withColumn("_far", F.abs(F.col(x) - F.col("_med")))
+    mad = medians(far, on, "_far", "_mad", "_m").drop("_m").localCheckpoint()
     known = middle.join(mad, on, "left").withColumn("_mad", F.col("_mad") * MAD)
     held = F.least(F.greatest(F.col(x), F.col("_med") - clip * F.col("_mad")), F.col("_med") + clip * F.col("_mad"))
-    spread = rows.where(F.col(x).isNotNull()).select(*on, x).join(known, on).withColumn("_w", held).groupBy(*on).agg(F.avg("_w").alias("_mu"), F.stddev_pop("_w").alias("_sd"))
-    df = rows.join(known.join(spread, on), on, "left").withColumn("_w", F.when(F.col(x).isNotNull(), held))
+    spread = with_numbers(values, known, on).withColumn("_w", held).groupBy(*on).agg(F.avg("_w").alias("_mu"), F.stddev_pop("_w").alias("_sd"))
+    df = with_numbers(rows, known.join(spread, on).localCheckpoint(), on).withColumn("_w", F.when(F.col(x).isNotNull(), held))
     z = F.when((F.col("_n") >= 2) & (F.col("_mad") > 0) & (F.col("_sd") > 0), (F.col("_w") - F.col("_mu")) / F.col("_sd"))
     return df.select(*long.columns, z.alias("z"))
 

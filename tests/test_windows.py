@@ -102,3 +102,18 @@ def test_the_walk_down_joins_each_level_once(spark):
     tree = merkle.tree(merkle.entries(rows), 5)
     plan = merkle.unequal(tree, tree, 5)._jdf.queryExecution().analyzed().toString()
     assert plan.count("Join FullOuter") == 6
+
+
+def test_a_hot_group_is_joined_in_parts(spark):
+    rows = spark.range(2000, numPartitions=3).select("id", F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") < 1900, "b").otherwise("none").alias("g"), F.when(F.col("id") % 7 > 0, F.col("id").cast("double")).alias("x"))
+    numbers = rows.where("g <> 'none'").groupBy("g").agg(F.count("x").alias("_n"), F.max("x").alias("top"))
+    tops = {r["g"]: r["top"] for r in numbers.collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = cross_section.with_numbers(rows, numbers, ["g"], share=50).withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sorted(r["id"] for r in got) == list(range(2000)) and all(r["top"] == tops.get(r["g"]) for r in got)
+    assert len({r["p"] for r in got if r["g"] == "hot"}) > 1 and len({r["p"] for r in got if r["g"] == "b"}) > 1
