@@ -76,7 +76,7 @@ def oscillators(df: DataFrame) -> DataFrame:
 def market_features(bars: DataFrame, market: DataFrame) -> DataFrame:
     """Beta, idiosyncratic volatility and residual momentum against a market series of (date, spy); the market side is joined by exact date."""
     m = market.select("date", "spy")
-    df = numbered(bars.join(m, "date", "left"))
+    df = numbered(bars.join(F.broadcast(m), "date", "left"))  # a row a date: bars stay as they are dealt
     df = df.withColumns({"_r": F.log(F.col("close") / lag("close", 1)), "_m": F.log(F.col("spy") / lag("spy", 1)), "return_vs_spy_5d": change("close", 5) - change("spy", 5)})
     df = df.withColumn("_p", F.when(F.col("_r").isNotNull() & F.col("_m").isNotNull(), F.lit(1)))
     df = df.withColumn("beta_60d", F.when(known(60, "_p"), safe(F.covar_samp("_r", "_m").over(rows(60)), F.var_samp("_m").over(rows(60)))))

@@ -10,9 +10,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str, step: int) -> DataFrame:
+    """A table dealt by a key over partitions of about `step` bytes of its files, so that what one task sorts stays the same as the table grows.
+
+    Partitions chosen by the size of compressed shuffle blocks hold ever more of the rows that come of them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    size = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getContentSummary(path).getLength()
+    least = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return read(spark, sf_dir, name).repartition(max(least, -(-size // step)), key)
+
+
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars: one row per (ticker, date) from the day's trades, in order of their keys."""
-    t = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("amount"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"))
+    """Daily bars: one row per (ticker, date) from the day's trades, in order of their keys.
+
+    Trades are dealt by ticker, so bars need no further shuffle or sort for windows over a ticker's dates."""
+    t = dealt(spark, sf_dir, "lineitem", "l_suppkey", 4 << 20).select(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("amount"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"))
     return t.groupBy("ticker", "date").agg(F.min_by("price", F.struct("seq", "price")).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", F.struct("seq", "price")).alias("close"), F.sum("qty").alias("volume"), (F.sum("amount") / F.sum("qty")).alias("vwap"))
 
 

@@ -163,3 +163,9 @@ def test_means_do_not_depend_on_the_order_of_rows(spark, tmp_path):
         orders.coalesce(1).sortWithinPartitions(by).write.parquet(f"{tmp_path}/{n}/orders.parquet")
         found.append([sorted(map(tuple, f(spark, f"{tmp_path}/{n}").collect())) for f in (tables.macro, tables.benchmark)])
     assert found[0] == found[1] == found[2]
+
+
+def test_windows_over_bars_need_one_shuffle_and_one_sort(spark):
+    plan = technicals.price_features(tables.bars(spark, SF))._jdf.queryExecution().sparkPlan()
+    done = spark._jvm.org.apache.spark.sql.execution.QueryExecution.prepareExecutedPlan(spark._jsparkSession, plan).toString()
+    assert done.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in done and done.count("Sort [") == 1
