@@ -19,7 +19,7 @@ _FACTS = f"""facts AS (SELECT ticker, DATE '1993-06-30' + (k * 182)::INT AS peri
 
 def _facts(spark, d):  # noqa: ANN001, ANN202
     """Ten half-years of each ticker, known some weeks later; every third is restated 210 days after that."""
-    f = panels.fundamentals(_metrics(spark, d)).select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k")).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("r"))
+    f = panels.fundamentals(_metrics(spark, d, 1 << 18)).select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k")).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("r"))
     f = f.where("r = 0 or (ticker + k) % 3 = 0")
     day = "date_add(date'1993-06-30', cast(k * 182 {} as int))"
     return f.select("ticker", F.expr(day.format("")).alias("period"), F.expr(day.format("+ 40 + ticker % 25 + r * 210")).alias("known_at"), *[(F.col(c) * (10 + F.col("k")) / 10 * (4 + F.col("r")) / 4).alias(c) for c in _FIELDS])
