@@ -244,7 +244,7 @@ def ownership_forms(spark, d):  # noqa: ANN001, ANN201
 
     xml = f"""concat('<?xml version="1.0"?><ownershipDocument><issuer><issuerTradingSymbol>S', o_custkey, '</issuerTradingSymbol></issuer><reportingOwner><rptOwnerName>Owner ', o_custkey % 7, '</rptOwnerName></reportingOwner><nonDerivativeTable>',
  array_join(transform(sequence(0, cast(o_orderkey % 3 AS int)), n -> {transaction('nonDerivativeTransaction', 'Common &lt;A&gt;', 'n')}), ''), '</nonDerivativeTable><derivativeTable>', CASE WHEN o_orderkey % 3 = 1 THEN {transaction('derivativeTransaction', 'Option &amp; right', '0')} ELSE '' END, '</derivativeTable></ownershipDocument>')"""
-    forms = tables.read(spark, d, "orders").select("o_orderkey", F.expr(xml).alias("xml"))
+    forms = tables.dealt(spark, d, "orders", "o_orderkey", 1 << 20).select("o_orderkey", F.expr(xml).alias("xml"))
     return readers.ownership_transactions(forms, "o_orderkey", "xml")
 
 

@@ -31,7 +31,7 @@ def _forms(spark, d):  # noqa: ANN001, ANN202
  '<reportingOwner><reportingOwnerId><rptOwnerCik>', o_orderkey % 100, '</rptOwnerCik><rptOwnerName>A ', CASE WHEN kind <=> 'and' THEN '&' ELSE '&amp;' END, ' B ', o_custkey % 7, '</rptOwnerName></reportingOwnerId><reportingOwnerRelationship><isDirector>', o_orderkey % 2, '</isDirector><isOfficer>', CASE WHEN o_orderkey % 3 = 0 THEN 'true' ELSE 'false' END,
  '</isOfficer><officerTitle>Title ', o_orderkey % 4, '</officerTitle></reportingOwnerRelationship></reportingOwner><nonDerivativeTable>', array_join(transform(sequence(0, cast(o_orderkey % 3 AS int)), n -> {transaction('nonDerivativeTransaction', 'n')}), ''), '</nonDerivativeTable><derivativeTable>',
  CASE WHEN o_orderkey % 4 = 1 THEN {transaction('derivativeTransaction', '0')} ELSE '' END, '</derivativeTable></ownershipDocument>')"""
-    o = tables.read(spark, d, "orders").withColumn("kind", F.expr(_BROKEN))
+    o = tables.dealt(spark, d, "orders", "o_orderkey", 1 << 20).withColumn("kind", F.expr(_BROKEN))
     return o.select("o_orderkey", F.expr(f"CASE WHEN kind <=> 'none' THEN '' ELSE {xml} END").alias("xml"))
 
 

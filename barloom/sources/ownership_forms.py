@@ -18,16 +18,16 @@ derivativeTable struct<derivativeTransaction: array<{_TRANSACTION}>>, unread str
 
 def parsed(forms: DataFrame, xml_col: str) -> DataFrame:
     """forms with the struct `form`, and `reject`: why a form has none. A null, blank or broken form has a reject and stops no other."""
-    text = F.trim(F.coalesce(F.col(xml_col), F.lit("")), F.lit(" \t\r\n﻿"))
-    form = F.from_xml(F.when(text != "", text), FORM, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "unread", "valueTag": "_text"})
-    out = forms.withColumn("_form", form)
-    reject = F.when(text == "", "empty").when(F.col("_form").isNull() | F.col("_form.unread").isNotNull(), "not well-formed")
-    return out.withColumn("reject", reject).withColumn("form", F.when(F.col("reject").isNull(), F.col("_form"))).drop("_form")
+    trimmed = forms.withColumn("_text", F.trim(F.coalesce(F.col(xml_col), F.lit("")), F.lit(" \t\r\n﻿")))  # a column of its own: done once
+    out = trimmed.withColumn("_form", F.from_xml(F.nullif(F.col("_text"), F.lit("")), FORM, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "unread", "valueTag": "_text"}))
+    reject = F.when(F.col("_text") == "", "empty").when(F.col("_form").isNull() | F.col("_form.unread").isNotNull(), "not well-formed")
+    return out.withColumn("reject", reject).withColumn("form", F.when(F.col("reject").isNull(), F.col("_form"))).drop("_form", "_text")
 
 
 def rejected_forms(forms: DataFrame, id_col: str, xml_col: str) -> DataFrame:
     """(id, reject, length in characters) of the forms that cannot be read."""
-    return parsed(forms, xml_col).where("reject is not null").select(F.col(id_col).alias("id"), "reject", F.coalesce(F.length(xml_col), F.lit(0)).alias("length"))
+    found = F.when(F.col("reject").isNotNull(), F.array("reject")).otherwise(F.array().cast("array<string>"))  # exploded, not filtered, as below
+    return parsed(forms, xml_col).select(F.col(id_col).alias("id"), F.explode(found).alias("reject"), F.coalesce(F.length(xml_col), F.lit(0)).alias("length"))
 
 
 def insider_transactions(forms: DataFrame, id_col: str, xml_col: str) -> DataFrame:
@@ -40,7 +40,8 @@ def insider_transactions(forms: DataFrame, id_col: str, xml_col: str) -> DataFra
     flag = lambda c: F.lower(word(c)).isin("true", "1", "yes")
     owner = F.get("form.reportingOwner", F.lit(0))
     both = F.concat(*[_listed(table, name, derivative) for table, name, derivative in (("nonDerivativeTable", "nonDerivativeTransaction", False), ("derivativeTable", "derivativeTransaction", True))])
-    f = parsed(forms, xml_col).where("form is not null").select(F.col(id_col).alias("id"), F.col("form.issuer").alias("i"), owner.alias("o"), F.explode(both).alias("x"))
+    # no filter on the form: it would move below the parse, and each form would be parsed again for every condition in it; what has no form has no transactions either
+    f = parsed(forms, xml_col).select(F.col(id_col).alias("id"), F.col("form.issuer").alias("i"), owner.alias("o"), F.explode(both).alias("x"))
     t = "x.t."
     shares, price = number(F.col(f"{t}transactionAmounts.transactionShares.value")), number(F.col(f"{t}transactionAmounts.transactionPricePerShare.value"))
     code = F.coalesce(F.nullif(word(F.col(f"{t}transactionCoding.transactionCode._text")), F.lit("")), word(F.col(f"{t}transactionCoding.transactionCode.value")))

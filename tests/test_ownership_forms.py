@@ -33,3 +33,10 @@ def test_fields_of_good_forms_beside_broken_ones(spark):
     short = readers.ownership_transactions(forms, "id", "xml").where("id = 1").collect()
     assert sorted((r["table"], r["nth"], r["issuer"], r["code"]) for r in short) == [("derivative", 0, "ABC", None), ("non_derivative", 0, "ABC", "P"), ("non_derivative", 1, "ABC", "S")]
     assert ownership_forms.insider_transactions(forms.limit(0), "id", "xml").count() == 0
+
+
+def test_each_form_is_parsed_once(spark):
+    """A filter on what came of the parse moved below it, and its conditions parsed each form again: three times for rejects, four for transactions."""
+    forms = spark.createDataFrame([(1, GOOD)], "id int, xml string")
+    for got in (ownership_forms.insider_transactions(forms, "id", "xml"), ownership_forms.rejected_forms(forms, "id", "xml"), readers.ownership_transactions(forms, "id", "xml")):
+        assert got._jdf.queryExecution().executedPlan().toString().count("from_xml(") == 1
