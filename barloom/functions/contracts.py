@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +34,19 @@ def _literal(x) -> str:  # noqa: ANN001
     return json.dumps(x, ensure_ascii=False, separators=(",", ":"))
 
 
+def _let(value: Column, then) -> Column:  # noqa: ANN001
+    """then(value), with the value computed once however often it is used there, and only where this is."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _warnings(v: Column, contract: dict, at: Column) -> Column:
     """Array of warnings for a variant that is there."""
-    kind = F.schema_of_variant(v)
-    is_a = lambda names: F.coalesce(F.rlike(kind, F.lit("^(" + "|".join(x for n in names for x in _TYPES[n]) + ")")), F.lit(False))
+    return _let(F.schema_of_variant(v), lambda kind: _found(v, kind, contract, at))
+
+
+def _found(v: Column, kind: Column, contract: dict, at: Column) -> Column:
+    """The warnings of a variant of the kind that `schema_of_variant` gives."""
+    is_a = lambda names: F.coalesce(reduce(or_, [F.startswith(kind, F.lit(x)) for n in names for x in _TYPES[n]]), F.lit(False))
     say = lambda broken, text: F.when(broken, F.array(F.concat(at, F.lit(f": {text}"))))
     found: list[Column] = []
     allowed = contract.get("type")
@@ -62,18 +74,33 @@ def _warnings(v: Column, contract: dict, at: Column) -> Column:
     for name in contract.get("required", []):
         found.append(say(is_a(["object"]) & field(name).isNull(), f"lacks {name}"))
     for name, part in contract.get("properties", {}).items():
-        found.append(F.when(is_a(["object"]) & field(name).isNotNull(), _warnings(field(name), part, F.concat(at, F.lit(f".{name}")))))
+        found.append(F.when(is_a(["object"]), _let(field(name), _field(part, F.concat(at, F.lit(f".{name}"))))))
     if contract.get("additionalProperties") is False:
         names = F.map_keys(F.when(is_a(["object"]), F.try_variant_get(v, "$", "map<string, variant>")))
         more = F.filter(names, lambda n: ~n.isin(list(contract.get("properties", {}))))
         found.append(F.transform(F.array_sort(more), lambda n: F.concat(at, F.lit(": has "), n)))
     if {"items", "minItems", "maxItems"} & contract.keys():
         items = F.when(is_a(["array"]), F.try_variant_get(v, "$", "array<variant>"))
-        for key, broken, words in (("minItems", lambda x: F.size(items) < x, "items, fewer than"), ("maxItems", lambda x: F.size(items) > x, "items, more than")):
-            if key in contract:
-                found.append(F.when(is_a(["array"]) & broken(contract[key]), F.array(F.concat(at, F.lit(": has "), F.size(items).cast("string"), F.lit(f" {words} {contract[key]}")))))
-        if "items" in contract:
-            found.append(F.flatten(F.transform(items, lambda x, n: _warnings(x, contract["items"], F.concat(at, F.lit("["), n.cast("string"), F.lit("]"))))))
+        found.append(_let(items, lambda x: _listed(x, contract, at)))
+    return _joined(found)
+
+
+def _field(contract: dict, at: Column):  # noqa: ANN202
+    return lambda x: F.when(x.isNotNull(), _warnings(x, contract, at))
+
+
+def _listed(items: Column, contract: dict, at: Column) -> Column:
+    """The warnings of an array's number of items and of each of them; none for what is no array."""
+    found = []
+    for key, broken, words in (("minItems", lambda x: F.size(items) < x, "items, fewer than"), ("maxItems", lambda x: F.size(items) > x, "items, more than")):
+        if key in contract:
+            found.append(F.when(items.isNotNull() & broken(contract[key]), F.array(F.concat(at, F.lit(": has "), F.size(items).cast("string"), F.lit(f" {words} {contract[key]}")))))
+    if "items" in contract:
+        found.append(F.flatten(F.transform(items, lambda x, n: _warnings(x, contract["items"], F.concat(at, F.lit("["), n.cast("string"), F.lit("]"))))))
+    return _joined(found)
+
+
+def _joined(found: list[Column]) -> Column:
     none = F.array().cast("array<string>")
     return F.concat(*[F.coalesce(f, none) for f in found]) if found else none
 
@@ -87,8 +114,9 @@ def compiled(document: Column, contract: dict) -> Column:
         raise ValueError(f"not supported: {'; '.join(more)}")
     # the parser stops at a document's end: within brackets and within braces what follows it is an error
     v = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), document, F.lit("]"))), "$", "array<variant>")
-    whole = F.try_parse_json(F.concat(F.lit('{"":'), document, F.lit("}"))).isNotNull() & (F.size(v) == 1)
-    return F.when(F.coalesce(whole, F.lit(False)), _warnings(F.get(v, F.lit(0)), contract, F.lit("$"))).otherwise(F.array(F.lit("$: is not a document")))
+    whole = F.try_parse_json(F.concat(F.lit('{"":'), document, F.lit("}"))).isNotNull()
+    bad = F.array(F.lit("$: is not a document"))
+    return _let(v, lambda v: F.when(F.coalesce((F.size(v) == 1) & whole, F.lit(False)), _warnings(F.get(v, F.lit(0)), contract, F.lit("$"))).otherwise(bad))
 
 
 def validated(df: DataFrame, document: str, contract: dict, out: str = "warnings", keep: int | None = None) -> DataFrame:

@@ -71,3 +71,13 @@ def test_against_a_plain_validator(spark):
 def test_what_a_contract_cannot_say_is_refused():
     with pytest.raises(ValueError, match=r"\$\.a\[\]: oneOf"):
         contracts.compiled(None, {"properties": {"a": {"items": {"oneOf": []}}}})
+
+
+def test_a_value_is_taken_out_of_its_document_once(spark):
+    """Each check took its value out of the document anew, at each depth all those above it, too: the expression of three levels had hundreds of such steps."""
+    deep = {"type": "object", "required": ["a"], "properties": {"a": {"type": "object", "required": ["b"], "properties": {"b": {"type": "object", "required": ["c"], "properties": {"c": {"type": "integer", "minimum": 2, "maximum": 5}}}}}}}
+    df = spark.createDataFrame([('{"a": {"b": {"c": 1}}}',), ('{"a": {"b": {}}}',)], "doc string")
+    got = df.select(contracts.compiled(F.col("doc"), deep).alias("w"))
+    assert [r["w"] for r in got.collect()] == [["$.a.b.c: is less than 2"], ["$.a.b: lacks c"]]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("parse_?json", plan, re.I)) == 2 and len(re.findall("schema_?of_?variant", plan, re.I)) <= 8  # 24 and 26 before
