@@ -225,8 +225,7 @@ def price_files(spark, d):  # noqa: ANN001, ANN201
     path = snapshots.scratch(spark, "prices")
     b = tables.bars(spark, d).select(F.concat(F.lit("T"), F.col("ticker") % 20, F.lit(".parquet")).alias("name"), "ticker", "date", F.when(F.col("ticker") % 3 > 0, F.col("close")).otherwise(float("nan")).alias("close"), "volume")
     b.write.partitionBy("name").parquet(path)
-    folders = [f"{path}/name={r['name']}" for r in b.select("name").distinct().collect()]  # twenty at most
-    got = readers.price_history(spark, folders, "ticker bigint, date date, close double, volume double", "name")
+    got = readers.price_history(spark, f"{path}/name=*", "ticker bigint, date date, close double, volume double", "name")
     return got.withColumn("name", F.regexp_extract("name", r"(T\d+)$", 1))
 
 

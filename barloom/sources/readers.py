@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,11 +16,18 @@ def price_history(spark: SparkSession, path: str | list[str], schema: StructType
     paths = [path] if isinstance(path, str) else path
     df = spark.read.schema(schema).parquet(*paths)
     if ticker:
-        df = df.withColumn(ticker, F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.parquet)?(?:/part-[^/]*)?$", 1))
+        df = df.withColumn("_path", F.input_file_name()).withColumn(ticker, _named("_path")).drop("_path")
     clean = [F.when(~F.isnan(c), F.col(c)).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes]
     return df.select(*clean).where("date is not null")
 
 
+def _named(path: str) -> Column:
+    """The name of a file, or of the folder of a part file, without .parquet. By cuts at slashes: a pattern without a fixed start is tried at each place of the path, for each row."""
+    last = F.substring_index(path, "/", -1)
+    name = F.when(last.startswith("part-"), F.substring_index(F.substring_index(path, "/", -2), "/", 1)).otherwise(last)
+    return F.when(name.endswith(".parquet") & (F.length(name) > 8), name.substr(F.lit(1), F.length(name) - 8)).otherwise(name)
+
+
 def nested_payloads(spark: SparkSession, path: str, value: str, on_or_before: str, key: str = "ticker") -> DataFrame:
     """(date, ticker, value struct): the newest payload file's entries on or before a date.
 
