@@ -28,6 +28,21 @@ def robust_zscores(long: DataFrame, keys: tuple[str, ...] = ("factor", "date"),
     return df.withColumn("z", z).drop("_med", "_n", "_mad", "_w", "_mu", "_sd")
 
 
+def robust_zscores_wide(df: DataFrame, by: str, columns: list[str], clip: float = 3.0) -> DataFrame:
+    """df with each of these columns replaced by its `robust_zscores` among the rows of `by`: one shuffle and sort of the rows as they are, where the long form moves and sorts a row for each column.
+
+    A task holds the rows of one value of `by`, with all columns."""
+    w = Window.partitionBy(by)
+    name = lambda kind: {c: F.col(f"_{kind}_{c}") for c in columns}
+    med, n, mad, cut, mu, sd = map(name, ("med", "n", "mad", "w", "mu", "sd"))
+    df = df.withColumns({f"_med_{c}": F.median(c).over(w) for c in columns} | {f"_n_{c}": F.count(c).over(w) for c in columns})
+    df = df.withColumns({f"_mad_{c}": F.median(F.abs(F.col(c) - med[c])).over(w) * MAD for c in columns})
+    df = df.withColumns({f"_w_{c}": F.when(F.col(c).isNotNull(), F.least(F.greatest(c, med[c] - clip * mad[c]), med[c] + clip * mad[c])) for c in columns})
+    df = df.withColumns({f"_mu_{c}": F.avg(cut[c]).over(w) for c in columns} | {f"_sd_{c}": F.stddev_pop(cut[c]).over(w) for c in columns})
+    df = df.withColumns({c: F.when((n[c] >= 2) & (mad[c] > 0) & (sd[c] > 0), (cut[c] - mu[c]) / sd[c]) for c in columns})
+    return df.drop(*[f"_{kind}_{c}" for kind in ("med", "n", "mad", "w", "mu", "sd") for c in columns])
+
+
 #: Rows of a group that are joined with its numbers in one task; larger groups are dealt over several.
 SHARE = 1 << 18
 

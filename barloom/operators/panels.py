@@ -179,8 +179,8 @@ def factor_loadings(panel: DataFrame, loadings: dict[str, str] | None = None) ->
     loadings = loadings or LOADINGS
     have = [c for c in loadings if c in panel.columns]
     value = {c: F.when(F.col(c) > 0, F.log(c)) if c == "market_cap_raw" else F.col(c) for c in have}
-    long = panel.select("ticker", "date", *[F.when(F.abs(value[c]) < float("inf"), value[c]).alias(c) for c in have]).unpivot(["ticker", "date"], have, "factor", "x")
-    z = cross_section.robust_zscores(long).groupBy("ticker", "date").pivot("factor", have).agg(F.max("z"))
+    wide = panel.select("ticker", "date", *[F.when(F.abs(value[c]) < float("inf"), value[c]).alias(c) for c in have])
+    z = cross_section.robust_zscores_wide(wide, "date", have).groupBy("ticker", "date").agg(*[F.max(c).alias(c) for c in have])  # rows of a date are in one place: no shuffle
     return z.select("ticker", "date", *[(F.col(c) if c in have else F.lit(None).cast("double")).alias(out) for c, out in loadings.items()])
 
 

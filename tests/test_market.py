@@ -169,3 +169,21 @@ def test_windows_over_bars_need_one_shuffle_and_one_sort(spark):
     plan = technicals.price_features(tables.bars(spark, SF))._jdf.queryExecution().sparkPlan()
     done = spark._jvm.org.apache.spark.sql.execution.QueryExecution.prepareExecutedPlan(spark._jsparkSession, plan).toString()
     assert done.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in done and done.count("Sort [") == 1
+
+
+def test_loadings_move_each_row_once(spark):
+    """The long form moved a row for each loading, twice; duplicates, missing and infinite values count as before."""
+    from barloom.operators import cross_section, panels
+
+    rows = [(t, dt.date(2024, 1, 1 + t % 3), [float(t % 7), None, float("inf"), float("nan")][t % 4 if t % 5 == 0 else 0], float(t * t % 11), 3.0, float(t)) for t in range(40)]
+    panel = spark.createDataFrame([*rows, rows[4]], "ticker int, date date, m double, v double, flat double, market_cap_raw double")
+    names = {"m": "zm", "v": "zv", "flat": "zf", "market_cap_raw": "zs", "missing": "zx"}
+    got = panels.factor_loadings(panel, names)
+    finite = {c: F.when(F.abs(x) < float("inf"), x).alias(c) for c, x in {"m": F.col("m"), "v": F.col("v"), "flat": F.col("flat"), "market_cap_raw": F.when(F.col("market_cap_raw") > 0, F.log("market_cap_raw"))}.items()}
+    long = panel.select("ticker", "date", *finite.values()).unpivot(["ticker", "date"], list(finite), "factor", "x")
+    want = {(r["ticker"], r["factor"]): r["z"] for r in cross_section.robust_zscores(long).collect()}
+    assert got.count() == 40 and {r["zx"] for r in got.collect()} == {None}
+    for r in got.collect():
+        for c in finite:
+            assert r[names[c]] == (want[r["ticker"], c] if want[r["ticker"], c] is None else pytest.approx(want[r["ticker"], c], abs=1e-12))
+    assert panels.factor_loadings(panel, names)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
