@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -168,14 +169,8 @@ def _prefixes(docs: DataFrame, similarity: float, size: int) -> DataFrame:
     return ranked.where((F.col("nth") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1) & (F.col("lo") < F.col("hi"))).select("node", "root", "n", "nth", "shingle")
 
 
-def left_out(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
-    """Pairs (a, c) of nodes in different components that can still be similar, among all texts (node, text) of buckets whose members are not in one component.
-
-    Similar texts share one of their rarest shingles (see `_prefixes`). Texts of n and m shingles need similarity (n + m) / (1 + similarity)
-    in common, and where the first shared one is at place nth of a text, no more than n - nth + 1 are: so a shingle at a
-    late place reaches partners of few sizes only. Shingles meet in cells of sizes that both can reach, and
-    in a cell the rows of its most frequent component meet only those of others. What many texts share, such as a common
-    passage or the body of a large class, thus pairs nobody, and no pair of the given similarity is lost."""
+def _cells(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """key, short, node, root, n, reach: the rows that meet (see `left_out`), a row for each cell that a shingle of a text's prefix is in."""
     rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
     open_nodes = materialize(rooted.join(split, "band", "left_semi").select("node", "root").distinct(), "open")
@@ -187,14 +182,70 @@ def left_out(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity:
     short = prefix.where("reach >= n").withColumn("s", cell(n)).withColumn("l", F.explode(F.sequence(cell(n), cell(F.least(F.floor(n / similarity + 1e-9), F.col("reach"))))))
     long = prefix.withColumn("l", cell(n)).withColumn("s", F.explode(F.sequence(cell(least), cell(F.least(n, F.col("reach"))))))
     row = lambda d, is_short: d.select(F.xxhash64("shingle", "s", "l").alias("key"), F.lit(is_short).alias("short"), "node", "root", "n", "reach")
-    rows = row(short, True).union(row(long, False))
+    return _of_many_roots(row(short, True).union(row(long, False)))
+
+
+def _of_many_roots(rows: DataFrame) -> DataFrame:
+    """The rows of cells that have several roots, with `main`: whether a row is of its cell's most frequent root."""
     per = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("times")).groupBy("key").agg(F.max_by("root", "times").alias("most"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    rows = materialize(rows.join(per.select("key", "most"), "key").withColumn("main", F.expr("root = most")).drop("most"), "cells")
-    x = rows.where("short").select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("reach").alias("ha"), F.col("main").alias("ma"))
-    y = rows.where("not short").select("key", F.col("node").alias("c"), F.col("root").alias("rc"), F.col("n").alias("nc"), F.col("reach").alias("hc"), F.col("main").alias("mc"))
+    return materialize(rows.join(per.select("key", "most"), "key").withColumn("main", F.expr("root = most")).drop("most"), "cells")
+
+
+def _meeting(rows: DataFrame, similarity: float, few: int | None = None) -> DataFrame:
+    """Pairs (a, c) of the rows of `_of_many_roots`: all that can be similar or, with `few`, of these only pairs with one of a cell's first `few` rows of the main root or of the others, on either side.
+
+    Then there are at most 4 * few pairs for each row. Which rows are first goes by a hash that is another for each `few`."""
+    first = F.lit(True)
+    if few:
+        by = Window.partitionBy("key", "short", "main").orderBy(F.xxhash64("node", F.lit(few)), "node")
+        rows, first = rows.withColumn("place", F.row_number().over(by)), F.expr(f"pa <= {few} or pc <= {few}")
+    side = lambda end: ["key", F.col("node").alias("a" if end == "a" else "c"), *[F.col(c).alias(c[0] + end if c != "reach" else "h" + end) for c in ("root", "n", "reach", "main")], *([F.col("place").alias("p" + end)] if few else [])]
+    x, y = rows.where("short").select(*side("a")), rows.where("not short").select(*side("c"))
     fits = F.expr("ra != rc and ha >= nc and hc >= na and (na < nc or na = nc and a < c)") & (F.col("na") >= F.col("nc") * similarity - 1e-9)
-    got = x.where("not ma").join(y, "key").where(fits).select("a", "c").union(x.where("ma").join(y.where("not mc"), "key").where(fits).select("a", "c"))
-    return got.distinct()
+    kinds = [("not ma", "true"), ("ma", "not mc")]
+    if few:  # joined by the places themselves, so that a cell's other pairs are never made
+        kinds = [(f"({m}) and {p}", f"({k}) and {q}") for m, k in kinds for p, q in ((f"pa <= {few}", "true"), (f"pa > {few}", f"pc <= {few}"))]
+    parts = [x.where(m).join(y.where(k), "key").where(fits & first).select("a", "c") for m, k in kinds]
+    return reduce(DataFrame.union, parts).distinct()
+
+
+def left_out(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Pairs (a, c) of nodes in different components that can still be similar, among all texts (node, text) of buckets whose members are not in one component.
+
+    Similar texts share one of their rarest shingles (see `_prefixes`). Texts of n and m shingles need similarity (n + m) / (1 + similarity)
+    in common, and where the first shared one is at place nth of a text, no more than n - nth + 1 are: so a shingle at a
+    late place reaches partners of few sizes only. Shingles meet in cells of sizes that both can reach, and
+    in a cell the rows of its most frequent component meet only those of others. What many texts share, such as a common
+    passage or the body of a large class, thus pairs nobody, and no pair of the given similarity is lost."""
+    return _meeting(_cells(shared, roots, texts, similarity, size), similarity)
+
+
+def united(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots (node, root) after the components that links (a, c) of their nodes join have become one."""
+    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+    joined = components(links.join(root("a"), "a").join(root("c"), "c").select(F.col("ra").alias("a"), F.col("rc").alias("c")).distinct())
+    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("least"))
+    return materialize(roots.join(joined, "root", "left").select("node", F.coalesce("least", "root").alias("root")), "roots")
+
+
+def completed(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """node, root of all nodes of shared buckets, after the links that `left_out` finds.
+
+    Where chance has given a large class a poor leader, many of its texts are still alone, and each would meet all of that class. So rows meet a few of each cell first
+    and what is linked becomes one, with four times as many in each round, until all remaining pairs are no more than the rows; these are then all compared."""
+    roots = materialize(shared.select("node").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
+    cells, few = _cells(shared, roots, texts, similarity, size), 1
+    while True:
+        n = lambda when: F.sum(F.expr(f"bigint({when})"))
+        per = cells.groupBy("key").agg((n("short") * n("not short") - n("short and main") * n("not short and main")).alias("pairs"), F.count(F.lit(1)).alias("rows"))
+        total = per.agg(F.sum(F.col("pairs").cast("double")).alias("pairs"), F.sum("rows").alias("rows"), F.max("rows").alias("most")).first()
+        whole = total["rows"] is None or total["pairs"] <= total["rows"] or few >= total["most"]
+        links = materialize(verified(_meeting(cells, similarity, None if whole else few), texts, similarity, size), "more")
+        if not links.isEmpty():
+            roots = united(roots, links)
+        if whole:
+            return roots
+        cells, few = _of_many_roots(cells.drop("root", "main").join(roots, "node")), few * 4
 
 
 def _distinct(s: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -267,13 +318,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float = SI
         found = rows_.withColumn("pick", _row_key("id", "node")).join(wanted, "pick", "left_semi")  # by id, too: copies of a text are spread
         texts = materialize(found.dropDuplicates(["pick"]).select("node", "text"), "texts")
         roots = components(verified(pairs, texts, similarity, size))
-        more = materialize(verified(left_out(shared, roots, texts, similarity, size), texts, similarity, size), "more")
-        if not more.isEmpty():
-            root = lambda c: more.select(c).distinct().join(roots.withColumnRenamed("node", c), c, "left").select(c, F.coalesce("root", c).alias(f"r{c}"))
-            joined = components(more.join(root("a"), "a").join(root("c"), "c").select(F.col("ra").alias("a"), F.col("rc").alias("c")))
-            joined = joined.select(F.col("node").alias("root"), F.col("root").alias("least"))
-            every = shared.select("node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            roots = every.join(joined, "root", "left").select("node", F.coalesce("least", "root").alias("root"))
+        roots = completed(shared, roots, texts, similarity, size)
         classed = materialize(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first_id", "copies"), "classed", keep=True)
     # an id may stand on two texts of one class: the least text of that id is the one that stays
     head = F.min(F.struct(F.col("first_id").isNull(), F.col("first_id"), F.col("node"))).alias("head")

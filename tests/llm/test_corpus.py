@@ -151,6 +151,20 @@ def test_near_duplicates_against_all_pairs(spark):
     assert got == want
 
 
+def test_texts_that_leaders_left_alone_join_a_large_class_without_meeting_all_of_it(spark, monkeypatch):
+    """150 near copies of which 100 are one component already: all pairs between components are 6,225."""
+    base = [f"w{n}" for n in range(320)]
+    rows = [(f"{i:03d}".encode(), " ".join(base[: 2 * i] + [f"own{i}"] + base[2 * i + 1 :])) for i in range(150)] + [(b"xyz", "quite another text than these")]
+    texts = spark.createDataFrame(rows, "node binary, text string")
+    shared = texts.selectExpr("node", "1L AS band")
+    roots = spark.createDataFrame([(r[0], b"000") for r in rows[:100]], "node binary, root binary")
+    met, plain = [], near_dedup.verified
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, *rest: met.append(pairs.count()) or plain(pairs, *rest))
+    got = {r["node"]: r["root"] for r in near_dedup.completed(shared, roots, texts, 0.8, 5).collect()}
+    assert {got.pop(b"xyz")} == {b"xyz"} and len(got) == 150 and {bytes(x) for x in got.values()} == {b"000"}
+    assert len(met) > 1 and sum(met) < 2000
+
+
 def test_pairs_left_out_by_centers_are_found(spark):
     rng = np.random.default_rng(5)
     passage = " ".join(f"p{i}" for i in range(100))
