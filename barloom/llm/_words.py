@@ -5,7 +5,10 @@ is a 256-entry mask, so a whole batch is cut and hashed by numpy without a Pytho
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +21,22 @@ WORD = ((_BYTE >= 48) & (_BYTE <= 57)) | ((_BYTE >= 97) & (_BYTE <= 122)) | ((_B
 LOWER = np.where((_BYTE >= 65) & (_BYTE <= 90), _BYTE + 32, _BYTE).astype(np.uint8)
 
 
+def frugal(run: Callable, forget: Callable = lambda: None) -> Callable:
+    """A task's function over batches that hands back at its end what it has freed: Python workers live on and keep it, beside those of later stages. `forget` drops first what the task has learned."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64's constants)."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm._shared import text_or_empty
-from barloom.llm._words import buffers, chunks
+from barloom.llm._words import buffers, chunks, frugal
 
 #: The pre-split pattern of byte-level BPE vocabularies, over Unicode classes, and the same over ASCII alone.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -191,6 +191,12 @@ def automaton(source: str) -> Automaton:
     return _made[key][1]
 
 
+def forget() -> None:
+    """Drop the words that this process remembers: they serve one task, and would otherwise stay beside the stages that follow."""
+    for _, a in _made.values():
+        a.known, a.older, a.table = {}, {}, {}
+
+
 def read_vocabulary(path: str) -> str:
     with open(path, encoding="utf-8") as f:  # on the driver; tasks get the content by broadcast
         return f.read()
@@ -221,7 +227,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 yield pa.RecordBatch.from_arrays([b.column(0), got] + ([pa.array(texts, pa.string())] if decoded else []), ["id", "ids"] + ["decoded"] * decoded)
 
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, ids array<int>" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run, forget), f"id {dict(rows.dtypes)['id']}, ids array<int>" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
 
 
 def decode(tokens: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -235,4 +241,4 @@ def decode(tokens: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
     rows = tokens.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, text string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run), f"id {dict(rows.dtypes)['id']}, text string").withColumnRenamed("id", id_col)

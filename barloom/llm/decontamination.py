@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm._shared import materialize, text_or_empty
-from barloom.llm._words import LOWER, U, buffers, chunks, grams, words
+from barloom.llm._words import LOWER, U, buffers, chunks, frugal, grams, words
 
 #: Words of a window that counts as shared, and words of a fingerprint's k-gram.
 WINDOW, GRAM = 10, 5
@@ -181,7 +181,7 @@ def _broadcast(docs: DataFrame, items: DataFrame, window: int, gram: int) -> Dat
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), *_scan(known, b.column(1))], ["id", "n_words", "n_hit", "n_items", "items_sha256"])
 
-    return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, {_OUT}")
+    return docs.mapInArrow(frugal(run), f"id {dict(docs.dtypes)['id']}, {_OUT}")
 
 
 def fingerprints(rows: DataFrame, short: list[int], window: int, gram: int) -> DataFrame:
@@ -209,7 +209,7 @@ def fingerprints(rows: DataFrame, short: list[int], window: int, gram: int) -> D
                 found = pa.ListArray.from_arrays(lists, pa.array(np.concatenate(windows).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(rows_))), pa.array(np.concatenate(prints).view(np.int64)), found], ["key", "print", "windows"])
 
-    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, print bigint, windows array<bigint>")
+    return rows.mapInArrow(frugal(run), f"key {dict(rows.dtypes)['key']}, print bigint, windows array<bigint>")
 
 
 def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFrame:
@@ -246,7 +246,7 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int) -> DataFr
                     spans.append(at)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(names, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int64())))], ["node", "item", "spans"])
 
-    found = pairs.select("node", "name", "item_text", "text").mapInArrow(run, "node binary, item string, spans array<array<bigint>>")
+    found = pairs.select("node", "name", "item_text", "text").mapInArrow(frugal(run), "node binary, item string, spans array<array<bigint>>")
     per = found.groupBy("node").agg(F.array_sort(F.collect_set("item")).alias("items"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
     def hits(spans: Column) -> Column:
@@ -302,4 +302,4 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         for b in batches:
             yield b.filter(pc.equal(_scan(known, b.column(at))[1], 0))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)

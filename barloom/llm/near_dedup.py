@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm._shared import materialize, scratch, text_or_empty
-from barloom.llm._words import U, buffers, chunks, grams, mix, words
+from barloom.llm._words import U, buffers, chunks, frugal, grams, mix, words
 
 #: Words in a shingle, similarity from which two texts are linked, bands and rows of the signature.
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 20, 5
@@ -129,7 +129,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _signed(b.column(2), bands, rows, size, weighted)], ["id", "node", "bands"])
 
-    return docs.select("id", "node", "text").mapInArrow(run, f"id {dict(docs.dtypes)['id']}, node binary, bands array<bigint>")
+    return docs.select("id", "node", "text").mapInArrow(frugal(run), f"id {dict(docs.dtypes)['id']}, node binary, bands array<bigint>")
 
 
 def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -162,7 +162,7 @@ def _prefixes(docs: DataFrame, similarity: float, size: int) -> DataFrame:
                 at = pa.array(d + i)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(n[d]), pa.array(s.view(np.int64))], ["node", "root", "n", "shingle"])
 
-    every = materialize(docs.select("node", "root", "text").mapInArrow(run, "node binary, root binary, n bigint, shingle bigint"), "shingled")
+    every = materialize(docs.select("node", "root", "text").mapInArrow(frugal(run), "node binary, root binary, n bigint, shingle bigint"), "shingled")
     common = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("df > 1")
     own = Window.partitionBy("node")  # the shingles of one text; those that no other text has come before all others
     ranked = every.join(common, "shingle").withColumn("nth", F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "shingle")))
@@ -280,7 +280,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float, size: int) -
 
     one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     two = one.join(texts.select(F.col("node").alias("c"), F.col("text").alias("tc")), "c")
-    return two.select("a", "c", "ta", "tc").mapInArrow(run, "a binary, c binary")
+    return two.select("a", "c", "ta", "tc").mapInArrow(frugal(run), "a binary, c binary")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm._shared import text_or_empty
-from barloom.llm._words import buffers, chunks, words
+from barloom.llm._words import buffers, chunks, frugal, words
 
 #: Labelled rows, at most, from which lexicon and weights are learned.
 SAMPLE = 20_000
@@ -230,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
             x = features(held.value, b.column(0))
             yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), FEATURES).cast(pa.list_(pa.float64())), b.column(1)], ["x", "y"])
 
-    got = rows.select("text", "y").mapInArrow(run, "x array<double>, y double").collect()  # at most `sample` rows of a few numbers
+    got = rows.select("text", "y").mapInArrow(frugal(run), "x array<double>, y double").collect()  # at most `sample` rows of a few numbers
     x, y = np.array([r["x"] for r in got]), np.array([r["y"] for r in got])
     return Model(chosen, lexicon, fit_logistic(x, y))
 
@@ -248,7 +248,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(held.value.scores(pc.utf8_lower(b.column(1))))], ["id", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    out = rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, score double")
+    out = rows.mapInArrow(frugal(run), f"id {dict(rows.dtypes)['id']}, score double")
     return out.select(F.col("id").alias(id_col), F.coalesce(held_out("id"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -260,4 +260,4 @@ def gentle(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(held.value.scores(pc.utf8_lower(b.column(at))) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)

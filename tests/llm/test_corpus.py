@@ -449,3 +449,16 @@ def test_em_finds_the_weak_labeller():
     _, table, share = quality.expectation_maximization(patterns, counts.astype(float))
     right = share * table[1, :, 1] + (1 - share) * table[0, :, 0]
     assert abs(share - 0.7) < 0.03 and np.allclose(right, [0.95, 0.9, 0.85, 0.55], atol=0.03)
+
+
+def test_a_task_leaves_no_remembered_words_in_its_worker(spark):
+    docs = spark.range(64, numPartitions=8).selectExpr("id AS doc_id", "concat('word', id, ' another', id) AS text")
+    assert bpe.encode(docs, bpe.read_vocabulary(vocabulary_path())).where("size(ids) > 0").count() == 64
+
+    def held(batches):
+        for b in batches:
+            n = [len(a.known) + len(a.older) + len(a.table) for _, a in bpe._made.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], ["n"])
+
+    got = [r["n"] for r in spark.range(64, numPartitions=8).mapInArrow(held, "n bigint").collect()]  # by the same workers
+    assert got and set(got) == {0}
