@@ -15,14 +15,19 @@ ALL_HORIZONS = (1, 3, 5, 10, 15, 21, 30, 60, 90)
 def forward_returns(bars: DataFrame, market: DataFrame, horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
     """Per (ticker, date, horizon): simple and log return after so many sessions of the calendar, the market's, and whether it was beaten.
 
-    Horizons count sessions, not the ticker's rows, so the later bar is found by its ordinal; windows that are not closed give no row."""
-    cal = sessions(bars)
-    p = bars.select("ticker", "date", "close").join(cal, "date")
-    m = market.select("date", "spy").join(cal, "date").select("session", "spy")
-    h = F.explode(F.array(*[F.lit(n) for n in horizons])).alias("horizon")
-    now = p.select("ticker", "date", F.col("close").alias("c0"), "session", h).withColumn("then", F.col("session") + F.col("horizon"))
-    later = p.select("ticker", F.col("session").alias("then"), F.col("close").alias("c1"))
-    df = now.join(later, ["ticker", "then"]).join(m.withColumnRenamed("spy", "m0"), "session", "left").join(m.select(F.col("session").alias("then"), F.col("spy").alias("m1")), "then", "left")
+    bars and market have a row for each (ticker, date) and date. Horizons count sessions, not the ticker's rows, so the later bar is found by its ordinal; windows that are not closed give no row.
+
+    Later bars are taken from windows over the ticker's sessions, so bars are sorted once where they are, whatever the number of horizons; the market's values come with the
+    calendar, which has a row for each date and is sent to the tasks."""
+    after = lambda by, n: by.rangeBetween(n, n)
+    calendar = Window.orderBy("session")
+    cal = sessions(bars).join(market.select("date", "spy"), "date", "left")
+    cal = cal.select("date", "session", F.col("spy").alias("m0"), F.array(*[F.max("spy").over(after(calendar, n)) for n in horizons]).alias("m"))
+    p = bars.where("ticker is not null").select("ticker", "date", F.col("close").alias("c0")).join(F.broadcast(cal), "date")
+    own = Window.partitionBy("ticker").orderBy("session")
+    found = {f"_{n}": F.first(F.struct(F.col("c0").alias("c1"))).over(after(own, n)) for n in horizons}  # null where the ticker has no bar, whatever its close
+    later = F.array(*[F.struct(F.lit(n).alias("horizon"), F.col(f"_{n}").alias("bar"), F.get("m", F.lit(k)).alias("m1")) for k, n in enumerate(horizons)])
+    df = p.withColumns(found).select("ticker", "date", "c0", "m0", F.inline(F.filter(later, lambda x: x.bar.isNotNull()))).withColumn("c1", F.col("bar.c1"))
     r, rm = F.col("c1") / F.col("c0") - 1, F.col("m1") / F.col("m0") - 1
     return df.select("ticker", "date", "horizon", r.alias("ret"), F.log(F.col("c1") / F.col("c0")).alias("log_ret"), rm.alias("spy_ret"), F.log(F.col("m1") / F.col("m0")).alias("log_spy"), (r > rm).alias("beat_spy"))
 

@@ -63,3 +63,18 @@ def test_long_periods_and_the_year_to_date(spark):
     got = {r["ticker"]: r for r in returns.period_returns(b, (1, 10), year_to_date=True).collect()}
     assert got["A"]["return_10y"] == pytest.approx(244 / 124 - 1) and got["A"]["return_ytd"] == pytest.approx(244 / 233 - 1) and got["A"]["return_1y"] == pytest.approx(244 / 232 - 1)
     assert got["B"]["return_10y"] is None and got["B"]["return_ytd"] is None
+
+
+def test_forward_returns_shuffle_no_row_per_horizon(spark):
+    """Bars are shuffled as they are: no join of a row for each horizon."""
+    days = [f"2020-01-{n:02d}" for n in range(1, 11)]
+    rows = [(t, day, 10.0 * t + n) for t in (1, 2) for n, day in enumerate(days) if not (t == 2 and n == 4)] + [(None, days[0], 1.0)]
+    bars = spark.createDataFrame(rows, "ticker int, date string, close double").selectExpr("ticker", "date(date) AS date", "close")
+    market = bars.where("ticker = 1 and day(date) != 3").selectExpr("date", "close AS spy")
+    df = returns.forward_returns(bars, market, (1, 3))
+    got = {(r["ticker"], r["date"].day, r["horizon"]): r for r in df.collect()}
+    assert len(got) == 9 + 7 + 7 + 5 and df.count() == len(got)
+    assert (2, 4, 1) not in got and got[2, 4, 3]["ret"] == pytest.approx(26 / 23 - 1) and got[1, 3, 1]["spy_ret"] is None and got[1, 2, 1]["spy_ret"] is None
+    assert got[1, 1, 3]["spy_ret"] == pytest.approx(13 / 10 - 1) and got[1, 1, 3]["beat_spy"] is False
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" in plan and "horizon" not in "".join(x for x in plan.splitlines() if "Join" in x)
