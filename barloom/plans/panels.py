@@ -94,7 +94,7 @@ j AS (SELECT f.*, rsi_14, atr_14_pct, sector_vs_spy_5d, VIX / 20 - 1 AS v, coale
 SELECT ticker, date, m5 * v AS mom5d_x_vix, (rsi_14 - 50) / 50 * v AS rsi_x_vix, sector_vs_spy_5d * trend AS sector_x_trend, atr_14_pct * v AS atr_x_vix, (coalesce(vt, 1) - 1) * v AS vol_trend_x_vix FROM j""", "mom5d_x_vix rsi_x_vix sector_x_trend atr_x_vix vol_trend_x_vix")
 def regime_products_all(spark, d):  # noqa: ANN001, ANN201
     b = tables.bars(spark, d)
-    f = technicals.price_features(b).select("ticker", "date", "momentum_5d", "volume_trend").join(technicals.oscillators(b).select("ticker", "date", "rsi_14", "atr_14_pct"), ["ticker", "date"])
+    f = technicals.oscillators(technicals.price_features(b)).select("ticker", "date", "momentum_5d", "volume_trend", "rsi_14", "atr_14_pct")  # one pass over the bars for both
     f = f.join(series._sector(spark, d, "broad", "sector_vs_spy"), ["ticker", "date"])
     return panels.regime_products(f, macro.macro_features(series._frame(spark, d)).select("date", "vix_level"), tables.benchmark(spark, d))
 

@@ -78,3 +78,8 @@ def test_forward_returns_shuffle_no_row_per_horizon(spark):
     assert got[1, 1, 3]["spy_ret"] == pytest.approx(13 / 10 - 1) and got[1, 1, 3]["beat_spy"] is False
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate inline" in plan and "horizon" not in "".join(x for x in plan.splitlines() if "Join" in x)
+
+
+def test_regime_products_join_no_two_passes_of_one_bars(spark):
+    plan = catalog.queries()["regime_products_all"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Join Inner" in x and "ticker#" in x and "date#" in x]) == 2  # with the sectors' returns, and the join inside these
