@@ -17,6 +17,8 @@ from barloom.llm._words import U, buffers, chunks, frugal, grams, mix, words
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 20, 5
 #: Ratio of the sizes in a cell in which shingles meet.
 CELL = 1.1
+#: Bits by which texts are told apart before they are compared.
+BITS = 512
 _STEP = U(0x9E3779B97F4A7C15)
 #: Distribution function of the number of darts in a region of unit area.
 _POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1.0, n + 1)) for n in range(18)])
@@ -147,11 +149,11 @@ def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return best.select(F.col("node").alias("a"), F.col("c.node").alias("c")), shared.select("node", "band")
 
 
-def _prefixes(docs: DataFrame, similarity: float, size: int) -> DataFrame:
-    """node, root, n (shingles in the text), nth and shingle: for each text of (node, root, text) those of its rarest shingles that texts of other roots have, too.
+def _texts_by_rarity(docs: DataFrame, similarity: float, size: int) -> DataFrame:
+    """node, root, n (shingles in the text), own (those that no other text has), weight (numbers of texts that have them, added up), bits and prefix: of each text of (node, root, text) with shingles that others have.
 
-    Two texts of the given similarity share one of their n - ceil(similarity n) + 1 rarest shingles; nth is a shingle's place in
-    that order, which is one for all texts: by the number of texts that have it, then by its value."""
+    Two texts of the given similarity share one of their n - ceil(similarity n) + 1 rarest shingles; prefix lists those of them that texts of other roots have, with their place (nth) in
+    that order, which is one for all texts: by the number of texts that have it, then by its value. bits are 512, of which each shingle that others have turns one over (see `_may_be_similar`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -164,60 +166,76 @@ def _prefixes(docs: DataFrame, similarity: float, size: int) -> DataFrame:
 
     every = materialize(docs.select("node", "root", "text").mapInArrow(frugal(run), "node binary, root binary, n bigint, shingle bigint"), "shingled")
     common = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("df > 1")
-    own = Window.partitionBy("node")  # the shingles of one text; those that no other text has come before all others
-    ranked = every.join(common, "shingle").withColumn("nth", F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "shingle")))
-    return ranked.where((F.col("nth") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1) & (F.col("lo") < F.col("hi"))).select("node", "root", "n", "nth", "shingle")
+    of_others = every.join(common, "shingle").select("node", "root", "n", "df", "shingle", F.expr("lo < hi").alias("open"))
+    bits = [F.expr(f"bit_xor(if((shingle & 511) >> 6 = {i}, shiftleft(1L, cast(shingle & 63 as int)), 0L))").alias(f"b{i}") for i in range(BITS // 64)]
+    ranked = of_others.groupBy("node", "root", "n").agg(F.count(F.lit(1)).alias("others"), F.sum("df").alias("weight"), *bits, F.sort_array(F.collect_list(F.struct("df", "shingle", "open"))).alias("rare"))
+    length = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1  # shingles that no other text has come before all others
+    cut = ranked.withColumn("own", F.col("n") - F.col("others")).withColumn("rare", F.slice("rare", F.lit(1), F.greatest(length - F.col("own"), F.lit(0)).cast("int")))
+    prefix = F.expr("transform(filter(transform(rare, (x, i) -> struct(own + i + 1 AS nth, x.shingle AS shingle, x.open AS open)), x -> x.open), x -> struct(x.nth, x.shingle)) AS prefix")
+    return cut.select("node", "root", "n", "own", "weight", F.struct(*[f"b{i}" for i in range(BITS // 64)]).alias("bits"), prefix)
 
 
-def _cells(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
-    """key, short, node, root, n, reach: the rows that meet (see `left_out`), a row for each cell that a shingle of a text's prefix is in."""
+def _may_be_similar(x: str, y: str, similarity: float) -> Column:
+    """Whether texts x and y (structs of n, own and bits) can have the given similarity.
+
+    Then they differ in at most (n + m) (1 - similarity) / (1 + similarity) shingles, and they do differ in all that no other text has,
+    and in at least as many of the rest as bits are unlike."""
+    unlike = " + ".join(f"bit_count({x}.bits.b{i} ^ {y}.bits.b{i})" for i in range(BITS // 64))
+    near = F.least(F.col(f"{x}.n"), F.col(f"{y}.n")) >= F.greatest(F.col(f"{x}.n"), F.col(f"{y}.n")) * similarity - 1e-9
+    return near & (F.expr(f"{x}.own + {y}.own + {unlike}") <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * ((1 - similarity) / (1 + similarity)) + 1e-6)
+
+
+def _rooted(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """`_texts_by_rarity` of all texts of buckets whose members are not in one component."""
     rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
     open_nodes = materialize(rooted.join(split, "band", "left_semi").select("node", "root").distinct(), "open")
-    prefix = materialize(_prefixes(texts.join(open_nodes, "node"), similarity, size), "prefixes")
+    return materialize(_texts_by_rarity(texts.join(open_nodes, "node"), similarity, size), "rare")
+
+
+def _central(rare: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, c) of each text with the weightiest ones that share a shingle of its prefix, if these are of other roots and can be similar: no more pairs than prefixes have shingles.
+
+    A text's weight is what it has in common with all texts, so that of edited copies the one with the fewest edits comes first: the one that most of what
+    can be linked at all is linked with."""
+    rows = rare.select(F.struct("weight", "node", "root", "n", "own", "bits").alias("t"), F.explode("prefix.shingle").alias("shingle"))
+    centers = rows.groupBy("shingle").agg(F.max("t").alias("c"))
+    return rows.join(centers, "shingle").where((F.col("t.root") != F.col("c.root")) & _may_be_similar("t", "c", similarity)).select(F.col("t.node").alias("a"), F.col("c.node").alias("c")).distinct()
+
+
+def _cells(rare: DataFrame, similarity: float) -> DataFrame:
+    """key, short, node, root, n, reach, own, bits, main: the rows that meet (see `left_out`), a row for each cell of several roots that a shingle of a text's prefix is in; `main` tells those of a cell's most frequent root."""
     n = F.col("n")
+    prefix = rare.withColumn("_p", F.explode("prefix")).select("*", "_p.nth", "_p.shingle")
     prefix = prefix.withColumn("reach", F.floor((n - F.col("nth") + 1) * ((1 + similarity) / similarity) - n + 1e-9))
     cell = lambda x: F.floor(F.log(x.cast("double")) / float(np.log(CELL)) + 1e-9)
     least = F.ceil(n * similarity - 1e-9)
     short = prefix.where("reach >= n").withColumn("s", cell(n)).withColumn("l", F.explode(F.sequence(cell(n), cell(F.least(F.floor(n / similarity + 1e-9), F.col("reach"))))))
-    long = prefix.withColumn("l", cell(n)).withColumn("s", F.explode(F.sequence(cell(least), cell(F.least(n, F.col("reach"))))))
-    row = lambda d, is_short: d.select(F.xxhash64("shingle", "s", "l").alias("key"), F.lit(is_short).alias("short"), "node", "root", "n", "reach")
-    return _of_many_roots(row(short, True).union(row(long, False)))
-
-
-def _of_many_roots(rows: DataFrame) -> DataFrame:
-    """The rows of cells that have several roots, with `main`: whether a row is of its cell's most frequent root."""
+    long = prefix.where(F.col("reach") >= least).withColumn("l", cell(n)).withColumn("s", F.explode(F.sequence(cell(least), cell(F.least(n, F.col("reach"))))))
+    row = lambda d, is_short: d.select(F.xxhash64("shingle", "s", "l").alias("key"), F.lit(is_short).alias("short"), "node", "root", "n", "reach", "own", "bits")
+    rows = row(short, True).union(row(long, False))
     per = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("times")).groupBy("key").agg(F.max_by("root", "times").alias("most"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
     return materialize(rows.join(per.select("key", "most"), "key").withColumn("main", F.expr("root = most")).drop("most"), "cells")
 
 
-def _meeting(rows: DataFrame, similarity: float, few: int | None = None) -> DataFrame:
-    """Pairs (a, c) of the rows of `_of_many_roots`: all that can be similar or, with `few`, of these only pairs with one of a cell's first `few` rows of the main root or of the others, on either side.
-
-    Then there are at most 4 * few pairs for each row. Which rows are first goes by a hash that is another for each `few`."""
-    first = F.lit(True)
-    if few:
-        by = Window.partitionBy("key", "short", "main").orderBy(F.xxhash64("node", F.lit(few)), "node")
-        rows, first = rows.withColumn("place", F.row_number().over(by)), F.expr(f"pa <= {few} or pc <= {few}")
-    side = lambda end: ["key", F.col("node").alias("a" if end == "a" else "c"), *[F.col(c).alias(c[0] + end if c != "reach" else "h" + end) for c in ("root", "n", "reach", "main")], *([F.col("place").alias("p" + end)] if few else [])]
-    x, y = rows.where("short").select(*side("a")), rows.where("not short").select(*side("c"))
-    fits = F.expr("ra != rc and ha >= nc and hc >= na and (na < nc or na = nc and a < c)") & (F.col("na") >= F.col("nc") * similarity - 1e-9)
-    kinds = [("not ma", "true"), ("ma", "not mc")]
-    if few:  # joined by the places themselves, so that a cell's other pairs are never made
-        kinds = [(f"({m}) and {p}", f"({k}) and {q}") for m, k in kinds for p, q in ((f"pa <= {few}", "true"), (f"pa > {few}", f"pc <= {few}"))]
-    parts = [x.where(m).join(y.where(k), "key").where(fits & first).select("a", "c") for m, k in kinds]
+def _meeting(cells: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, c) of the rows of `_cells` that can be similar."""
+    side = lambda short, end: cells.where("short" if short else "not short").select("key", F.struct("node", "root", "n", "reach", "own", "bits", "main").alias(end))
+    x, y = side(True, "x"), side(False, "y")
+    fits = F.expr("x.root != y.root and x.reach >= y.n and y.reach >= x.n and (x.n < y.n or x.n = y.n and x.node < y.node)") & _may_be_similar("x", "y", similarity)
+    parts = [x.where(m).join(y.where(k), "key").where(fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("c")) for m, k in (("not x.main", "true"), ("x.main", "not y.main"))]
     return reduce(DataFrame.union, parts).distinct()
 
 
 def left_out(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
     """Pairs (a, c) of nodes in different components that can still be similar, among all texts (node, text) of buckets whose members are not in one component.
 
-    Similar texts share one of their rarest shingles (see `_prefixes`). Texts of n and m shingles need similarity (n + m) / (1 + similarity)
+    Similar texts share one of their rarest shingles (see `_texts_by_rarity`). Texts of n and m shingles need similarity (n + m) / (1 + similarity)
     in common, and where the first shared one is at place nth of a text, no more than n - nth + 1 are: so a shingle at a
     late place reaches partners of few sizes only. Shingles meet in cells of sizes that both can reach, and
-    in a cell the rows of its most frequent component meet only those of others. What many texts share, such as a common
+    in a cell the rows of its most frequent component meet only those of others, and of these only those that by their bits can be similar (`_may_be_similar`). What many texts share, such as a common
     passage or the body of a large class, thus pairs nobody, and no pair of the given similarity is lost."""
-    return _meeting(_cells(shared, roots, texts, similarity, size), similarity)
+    return _meeting(_cells(_rooted(shared, roots, texts, similarity, size), similarity), similarity)
 
 
 def united(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -231,21 +249,16 @@ def united(roots: DataFrame, links: DataFrame) -> DataFrame:
 def completed(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
     """node, root of all nodes of shared buckets, after the links that `left_out` finds.
 
-    Where chance has given a large class a poor leader, many of its texts are still alone, and each would meet all of that class. So rows meet a few of each cell first
-    and what is linked becomes one, with four times as many in each round, until all remaining pairs are no more than the rows; these are then all compared."""
+    Where chance has given a large class a poor leader, many of its texts are still alone, and each would meet all of that class. So texts are
+    compared with the central ones first (`_central`), what is linked becomes one, and only then all remaining pairs are compared."""
     roots = materialize(shared.select("node").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
-    cells, few = _cells(shared, roots, texts, similarity, size), 1
-    while True:
-        n = lambda when: F.sum(F.expr(f"bigint({when})"))
-        per = cells.groupBy("key").agg((n("short") * n("not short") - n("short and main") * n("not short and main")).alias("pairs"), F.count(F.lit(1)).alias("rows"))
-        total = per.agg(F.sum(F.col("pairs").cast("double")).alias("pairs"), F.sum("rows").alias("rows"), F.max("rows").alias("most")).first()
-        whole = total["rows"] is None or total["pairs"] <= total["rows"] or few >= total["most"]
-        links = materialize(verified(_meeting(cells, similarity, None if whole else few), texts, similarity, size), "more")
-        if not links.isEmpty():
-            roots = united(roots, links)
-        if whole:
-            return roots
-        cells, few = _of_many_roots(cells.drop("root", "main").join(roots, "node")), few * 4
+    rare = _rooted(shared, roots, texts, similarity, size)
+    links = materialize(verified(_central(rare, similarity), texts, similarity, size), "central")
+    if not links.isEmpty():
+        roots = united(roots, links)
+        rare = rare.drop("root").join(roots, "node")
+    links = materialize(verified(_meeting(_cells(rare, similarity), similarity), texts, similarity, size), "more")
+    return roots if links.isEmpty() else united(roots, links)
 
 
 def _distinct(s: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

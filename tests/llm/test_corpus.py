@@ -165,6 +165,32 @@ def test_texts_that_leaders_left_alone_join_a_large_class_without_meeting_all_of
     assert len(met) > 1 and sum(met) < 2000
 
 
+def test_a_cloud_without_leaders_joins_by_few_comparisons_and_one_join_of_cells(spark, monkeypatch):
+    """400 edited copies, each alone, most of them just too far from each other: few of the pairs that share rare shingles are compared, and cells are made once."""
+    rng = np.random.default_rng(11)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for _ in range(400):
+        mine = list(base)
+        for at in rng.integers(0, 150, int(rng.integers(1, 5))):
+            mine[at] = f"e{rng.integers(1 << 40)}"
+        texts.append(" ".join(mine))
+    df = spark.createDataFrame([(i.to_bytes(2, "big"), t) for i, t in enumerate(texts)], "node binary, text string")
+    sets = [frozenset(near_dedup.shingles(*near_dedup.buffers(pa.array([t])))[0].tolist()) for t in texts]
+    want = list(range(400))
+    for i in range(400):
+        for j in range(i):
+            if want[i] != want[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                low, high = sorted((want[i], want[j]))
+                want = [low if x == high else x for x in want]
+    met, plain, made, cells = [], near_dedup.verified, [], near_dedup._cells
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, *rest: met.append(pairs.count()) or plain(pairs, *rest))
+    monkeypatch.setattr(near_dedup, "_cells", lambda *rest: made.append(1) or cells(*rest))
+    got = near_dedup.completed(df.selectExpr("node", "1L as band"), spark.createDataFrame([], "node binary, root binary"), df, 0.8, 5).collect()
+    assert {int.from_bytes(r["node"], "big"): int.from_bytes(r["root"], "big") for r in got} == dict(enumerate(want))
+    assert 1 < len(set(want)) < 300 and sum(met) < 1600 and len(met) == 2 and len(made) == 1
+
+
 def test_pairs_left_out_by_centers_are_found(spark):
     rng = np.random.default_rng(5)
     passage = " ".join(f"p{i}" for i in range(100))
