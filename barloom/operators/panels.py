@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.bitemporal import known_on
+from barloom.functions.bitemporal import all_known_on, known_on
 from barloom.functions.windows import change, lag, rows, safe
 from barloom.operators import cross_section, gates
 from barloom.operators.payloads import clipped, picked
@@ -99,14 +99,15 @@ def with_alternative_known(panel: DataFrame, parts: dict[str, DataFrame]) -> Dat
     parts: of `earnings`, `revision` and `options` those that there are, each ticker, period, known_at and the fields of PARTS. Days since the earnings go on from the day they were known;
     implied volatility is set against the realised one of the row's own date, not of the newest. What was not known yet is neutral."""
     df = panel.select("ticker", "date", "realized_vol_20d")
+    given = {f"_{name}_": (parts[name], fields) for name, fields in PARTS.items() if name in parts}
+    if given:  # by years: what is carried into a block is a row a ticker and year, and a year's dates are few
+        df = all_known_on(df, given, block="year")
     for name, fields in PARTS.items():
-        if name in parts:
-            df = known_on(df, parts[name], fields).withColumnRenamed("known_at", f"_{name}").drop("period")
-        else:
-            df = df.withColumns({f"_{name}": F.lit(None).cast("date"), **{f: F.lit(None).cast("double") for f in fields}})
+        if name not in parts:
+            df = df.withColumns({f"_{name}_known_at": F.lit(None).cast("date"), **{f: F.lit(None).cast("double") for f in fields}})
     c = F.col
     neutral = lambda x, value: F.coalesce(x, F.lit(value))
-    days = F.when(c("_earnings").isNotNull(), F.coalesce(c("days_since_earnings") + F.datediff("date", "_earnings"), F.lit(90.0)) / 90)
+    days = F.when(c("_earnings_known_at").isNotNull(), F.coalesce(c("days_since_earnings") + F.datediff("date", "_earnings_known_at"), F.lit(90.0)) / 90)
     ratio = F.when((c("realized_vol_20d") > 0) & (c("atm_iv") > 0), c("atm_iv") / c("realized_vol_20d"))
     return df.select(
         "ticker", "date", neutral(c("surprise_pct"), 0.0).alias("earnings_surprise_pct"), neutral(days, 1.0).alias("days_since_earnings"), neutral(c("eps_revision_4w"), 0.0).alias("eps_revision_4w"),

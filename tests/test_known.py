@@ -66,3 +66,18 @@ def test_alternative_parts_have_days_of_their_own(spark):
     assert [round(got["t", k]["days_since_earnings"] * 90) for k in range(5)] == [90, 9, 10, 11, 12]
     assert [got["t", k]["iv_vs_rv"] for k in range(5)] == [1, 1, 1, 2.5, 2.5] and got["t", 4]["iv_rank"] == 0.5 and got["t", 4]["eps_revision_4w"] == 0
     assert got["u", 0]["days_since_earnings"] == 1
+
+
+def test_several_tables_of_facts_are_joined_in_one_sort_of_the_panel(spark):
+    from barloom.plans import known
+
+    d = "/root/testdata/sf0.001"
+    panel = known.technicals.price_features(known.tables.bars(spark, d)).select("ticker", "date", "realized_vol_20d")
+    parts = {n: known._part(spark, d, n) for n in known._VALUES}
+    df = known.panels.with_alternative_known(panel, parts)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Window [" in x and "_kind" in x]) == 1
+    one = known.panels.known_on(panel, parts["revision"], ["eps_revision_4w", "revision_streak"])
+    got = df.select("ticker", "date", "eps_revision_4w", "revision_streak")
+    want = one.selectExpr("ticker", "date", "coalesce(eps_revision_4w, 0.0D) AS eps_revision_4w", "coalesce(revision_streak, 0.0D) AS revision_streak")
+    assert got.exceptAll(want).count() == 0 and got.count() == panel.count()
