@@ -82,16 +82,22 @@ def zscores(df: DataFrame, x: str, out: str) -> DataFrame:
     return df.withColumn(out, F.when(sd > 1e-9, (F.col(x) - F.avg(x).over(day)) / sd))
 
 
+def _days(panel: DataFrame, quantile: float, min_names: int) -> DataFrame:
+    """factor, date, factor_return, names and the mean and deviation of all loadings (mu, sd), of days with enough names: one shuffle by day."""
+    before = Window.partitionBy("factor", "ticker").orderBy("date")
+    df = panel.withColumn("l", F.lag("loading").over(before)).withColumn("valid", F.expr("l is not null and ret is not null"))
+    day = Window.partitionBy("factor", "date")
+    df = df.withColumns({"n": F.count(F.when(F.col("valid"), 1)).over(day), "rn": F.row_number().over(day.orderBy(F.desc("valid"), "l", "ticker"))}).where(F.col("n") >= min_names)
+    k = F.greatest(F.expr(f"bround(n * {quantile})"), F.lit(1))
+    top, bottom = (F.avg(F.when(F.col("valid") & at, F.col("ret"))) for at in (F.col("rn") > F.col("n") - k, F.col("rn") <= k))
+    return df.groupBy("factor", "date").agg((top - bottom).alias("factor_return"), F.max("n").alias("names"), F.avg("loading").alias("mu"), F.stddev_samp("loading").alias("sd"))
+
+
 def factor_returns(panel: DataFrame, quantile: float = 0.3, min_names: int = 20) -> DataFrame:
     """Long-short returns per (factor, date): the mean return of the top names by the loading of the day before, less the bottom's.
 
     panel: ticker, date, factor, loading, ret. Ties go by ticker."""
-    before = Window.partitionBy("factor", "ticker").orderBy("date")
-    df = panel.withColumn("l", F.lag("loading").over(before)).where("l is not null and ret is not null")
-    day = Window.partitionBy("factor", "date")
-    df = df.withColumns({"n": F.count(F.lit(1)).over(day), "rn": F.row_number().over(day.orderBy("l", "ticker"))}).where(F.col("n") >= min_names)
-    k = F.greatest(F.expr(f"bround(n * {quantile})"), F.lit(1))
-    return df.groupBy("factor", "date").agg((F.avg(F.when(F.col("rn") > F.col("n") - k, F.col("ret"))) - F.avg(F.when(F.col("rn") <= k, F.col("ret")))).alias("factor_return"), F.max("n").alias("names"))
+    return _days(panel, quantile, min_names).drop("mu", "sd")
 
 
 def factor_momentum(returns: DataFrame, window: int = 231, skip: int = 21) -> DataFrame:
@@ -104,11 +110,10 @@ def factor_momentum(returns: DataFrame, window: int = 231, skip: int = 21) -> Da
 
 def factor_momentum_ratio(panel: DataFrame, window: int = 231, skip: int = 21, quantile: float = 0.3, min_names: int = 20) -> DataFrame:
     """For each (ticker, date) the mean over factors of its z-scored loading times the factor's momentum."""
-    mom = factor_momentum(factor_returns(panel, quantile, min_names), window, skip).select("factor", "date", "momentum")
-    w = Window.partitionBy("factor", "date")
-    sd = F.stddev_samp("loading").over(w)
-    z = panel.withColumn("z", F.when(sd > 1e-9, (F.col("loading") - F.avg("loading").over(w)) / sd))
-    return z.join(mom, ["factor", "date"]).groupBy("ticker", "date").agg(F.avg(F.col("z") * F.col("momentum")).alias("factor_momentum_ratio"))
+    days = factor_momentum(_days(panel, quantile, min_names), window, skip).select("factor", "date", "momentum", "mu", "sd")
+    z = F.when(F.col("sd") > 1e-9, (F.col("loading") - F.col("mu")) / F.col("sd"))
+    rows = panel.select("ticker", "date", "factor", "loading").join(F.broadcast(days), ["factor", "date"])  # a row a factor and day, however many names
+    return rows.groupBy("ticker", "date").agg(F.avg(z * F.col("momentum")).alias("factor_momentum_ratio"))
 
 
 def breadth(features: DataFrame) -> DataFrame:

@@ -65,7 +65,8 @@ def admitted_universe(spark, d):  # noqa: ANN001, ANN201
 def _loadings(spark, d):  # noqa: ANN001, ANN202
     f = technicals.price_features(tables.bars(spark, d))
     cols = ["momentum_20d", "price_vs_ma50", "realized_vol_20d"]
-    return f.select("ticker", "date", F.col("_ret").alias("ret"), *cols).unpivot(["ticker", "date", "ret"], cols, "factor", "loading")
+    # exploded, not unpivoted: rows stay dealt by ticker, so windows and groups of a ticker need no further shuffle
+    return f.select("ticker", "date", F.col("_ret").alias("ret"), F.explode(F.array(*[F.struct(F.lit(c).alias("factor"), F.col(c).alias("loading")) for c in cols])).alias("_l")).select("ticker", "date", "ret", "_l.factor", "_l.loading")
 
 
 @query

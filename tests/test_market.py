@@ -187,3 +187,13 @@ def test_loadings_move_each_row_once(spark):
         for c in finite:
             assert r[names[c]] == (want[r["ticker"], c] if want[r["ticker"], c] is None else pytest.approx(want[r["ticker"], c], abs=1e-12))
     assert panels.factor_loadings(panel, names)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_factor_momentum_ratio_deals_its_long_rows_once(spark):
+    """By day, for the ranks; the loadings of a ticker stay where its bars are."""
+    import re
+
+    df = catalog.factor_momentum_ratio(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    dealt = set(re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan))
+    assert not [x for x in dealt if "ticker" in x] and len([x for x in re.findall(r"Exchange hashpartitioning\(factor#\d+, date#\d+", plan)]) == 1
