@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -81,9 +84,34 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(by_ticker()))
 
 
-def sliding(n: int, agg: Column, x: str) -> Column:
-    """As `full`, for a numbered table."""
-    return F.when(known(n, x), agg.over(rows(n)))
+def streak(x: str) -> Column:
+    """How many rows up to this one have x, without a gap; needs the column `_rn`. A window of n rows is full where it is n or more."""
+    return F.col("_rn") - F.coalesce(F.max(F.when(F.col(x).isNull(), F.col("_rn"))).over(by_ticker()), F.lit(0))
+
+
+def moments(x: str, n: int) -> dict[str, Column]:
+    """Of the last n rows the mean of x, and the squares of its distances from it, summed: columns `_mean_x` and `_squares_x`."""
+    return {f"_mean_{x}": F.avg(x).over(rows(n)), f"_squares_{x}": F.var_pop(x).over(rows(n)) * n}
+
+
+def lags(x: str, *distances: int) -> dict[str, Column]:
+    """Columns x_n, the x of n rows before."""
+    return {f"{x}_{n}": lag(x, n) for n in distances}
+
+
+def joined(*parts: tuple[int, Column, Column | None]) -> tuple[Column, Column]:
+    """Mean and squares of rows that are given in two or more parts of (rows, mean, squares), the squares None for a single row.
+
+    All is reckoned from the first part's mean, so that values that are all equal have squares of 0."""
+    first, total = parts[0][1], sum(n for n, _, _ in parts)
+    far = [(n, mean - first) for n, mean, _ in parts[1:]]
+    shift = _plus(d * n for n, d in far)
+    squares = _plus(q for _, _, q in parts if q is not None) + _plus(d * d * n for n, d in far) - shift * shift / total
+    return first + shift / total, F.greatest(squares, F.lit(0.0))
+
+
+def _plus(terms: Iterable[Column]) -> Column:
+    return functools.reduce(lambda a, b: a + b, terms)
 
 
 def spread(combine, x: str, step: int, times: int) -> Column:  # noqa: ANN001

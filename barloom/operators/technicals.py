@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.sliding import block_windows
-from barloom.functions.windows import by_ticker, change, ewms, known, lag, numbered, rows, safe, sliding, spread, summed
+from barloom.functions.windows import by_ticker, change, ewms, joined, known, lag, lags, moments, numbered, rows, safe, spread, streak, summed
 
 YEAR = 252
 
@@ -14,47 +14,65 @@ YEAR = 252
 def price_features(bars: DataFrame) -> DataFrame:
     """Moves, distances, volumes and oscillators of each ticker's own bars: (ticker, date, open, high, low, close, volume, vwap) in, the features added.
 
-    One sort by (ticker, date). A sliding frame costs its width at each row, so long sums and extremes are put together from those of shorter frames at fixed distances: 200 rows are
-    four times 50, and 50 five times 10. Each is summed anew, so an infinite or missing price leaves a feature with the window that held it."""
-    c, v = F.col("close"), F.col("volume")
-    prior = lag("close", 1)
-    df = numbered(bars).withColumns({
-        "_ten": F.sum("close").over(rows(10)), "_top63": F.max("close").over(rows(63)), "_low63": F.min("close").over(rows(63)), "_top20": F.max("close").over(rows(20)),
-        "_50": known(50, "close"), "_200": known(200, "close"), "_252": known(252, "close"), "_60": known(60, "close"),
+    One sort by (ticker, date). A sliding frame costs its width at each row, and a deviation some four times what a sum does, so frames are 5 or 10 rows wide and all others are put
+    together from theirs at fixed distances: 200 rows are four times 50, those five times 10, and 63 three times 20 and three rows. Each piece is reckoned anew at its row, so an
+    infinite or missing price leaves a feature with the window that held it."""
+    c, v, prior = F.col("close"), F.col("volume"), F.col("_prior")
+    year = F.sqrt(F.lit(YEAR))
+    full = lambda n, x, value: F.when(F.col(f"_n_{x}") >= n, value)
+    part = lambda n, x, by=None: (n, F.col(f"_mean_{x}" + (f"_{by}" if by else "")), F.col(f"_squares_{x}" + (f"_{by}" if by else "")))
+    deviation = lambda n, x, squares: full(n, x, F.sqrt(squares / (n - 1)))
+    streaks = lambda *xs: {f"_n_{x}": streak(x) for x in xs}
+    behind = lambda x, *distances: lags(f"_mean_{x}", *distances) | lags(f"_squares_{x}", *distances)
+
+    df = numbered(bars.withColumn("_prior", lag("close", 1)))
+    df = df.withColumns({
         "_log": F.log(c / prior), "_ret": safe(c, prior) - 1, "_delta": c - prior, "_overnight": safe(F.col("open"), prior) - 1, "_intraday": safe(c, F.col("open")) - 1,
-        "_expanding": F.when(F.count("volume").over(by_ticker()) >= 20, F.avg("volume").over(by_ticker())),
         "_mf": F.coalesce(safe((c - F.col("low")) - (F.col("high") - c), F.col("high") - F.col("low")), F.lit(0.0)) * v,
-        "_mid": sliding(20, F.avg("close"), "close"), "_sd": sliding(20, F.stddev_samp("close"), "close"),
     })
-    df = df.withColumn("_fifty", summed("_ten", 10, 5))
     df = df.withColumns({
+        **streaks("close", "volume", "high", "_overnight", "_intraday", "_log", "_ret", "_mf"), **moments("close", 10), **moments("_ret", 10), **moments("_log", 10),
+        "_ten": F.sum("close").over(rows(10)), "_top": F.max("close").over(rows(10)), "_low": F.min("close").over(rows(10)),
+        "_volume5": F.sum("volume").over(rows(5)), "_high5": F.max("high").over(rows(5)), "_overnight5": F.sum("_overnight").over(rows(5)), "_intraday5": F.sum("_intraday").over(rows(5)), "_mf5": F.sum("_mf").over(rows(5)),
+        "_expanding": F.when(F.count("volume").over(by_ticker()) >= 20, F.avg("volume").over(by_ticker())), "_obv": F.sum(F.coalesce(F.signum("_delta"), F.lit(0.0)) * v).over(by_ticker()),
         "momentum_5d": change("close", 5), "momentum_20d": change("close", 20), "return_60d": change("close", 60), "return_120d": change("close", 120),
         "mom_12_1_pct": safe(lag("close", 21), lag("close", 252)) - 1,
-        "price_vs_ma50": c / F.when(F.col("_50"), F.col("_fifty") / 50) - 1, "price_vs_ma200": c / F.when(F.col("_200"), summed("_fifty", 50, 4) / 200) - 1,
-        "avg_volume_20d_raw": sliding(20, F.avg("volume"), "volume"),
-        "dist_from_52w_high": c / F.when(F.col("_252"), spread(F.greatest, "_top63", 63, 4)) - 1, "dist_from_52w_low": c / F.when(F.col("_252"), spread(F.least, "_low63", 63, 4)) - 1,
-        "dist_from_5d_high": c / sliding(5, F.max("high"), "high") - 1, "dist_from_20d_high": c / sliding(20, F.max("high"), "high") - 1,
-        "vwap_divergence_pct": safe(c - F.col("vwap"), F.col("vwap")), "volume_trend": F.coalesce(safe(sliding(5, F.avg("volume"), "volume"), sliding(20, F.avg("volume"), "volume")), F.lit(1.0)),
-        "_peak": F.when(F.col("_60"), spread(F.greatest, "_top20", 20, 3)),
     })
     df = df.withColumns({
+        "price_accel": F.col("momentum_5d") - F.col("momentum_20d"), "overnight_return_5d": full(5, "_overnight", F.col("_overnight5")), "intraday_return_5d": full(5, "_intraday", F.col("_intraday5")), "_sd10": deviation(10, "_log", F.col("_squares__log")),
+        "dist_from_5d_high": c / full(5, "high", F.col("_high5")) - 1, "vwap_divergence_pct": safe(c - F.col("vwap"), F.col("vwap")),
+    })
+    df = df.withColumns({
+        **streaks("_obv"), **behind("close", 10), **behind("_ret", 10), **behind("_log", 10, 20),
+        "_twenty": summed("_ten", 10, 2), "_fifty": summed("_ten", 10, 5), "_top30": spread(F.greatest, "_top", 10, 3), "_low30": spread(F.least, "_low", 10, 3), "_peak": spread(F.greatest, "_top", 10, 6),
+        "_volume20": summed("_volume5", 5, 4), "_mf20": summed("_mf5", 5, 4), "_high20": spread(F.greatest, "_high5", 5, 4), "_obv5": F.sum("_obv").over(rows(5)),
+    })
+    close20, ret20, log30 = joined(part(10, "close"), part(10, "close", 10)), joined(part(10, "_ret"), part(10, "_ret", 10)), joined(part(10, "_log"), part(10, "_log", 10), part(10, "_log", 20))
+    df = df.withColumns({
+        "_sd20": deviation(20, "close", close20[1]), "realized_vol_20d": deviation(20, "_ret", ret20[1]) * year,
+        "_mean__ret": ret20[0], "_squares__ret": ret20[1], "_mean__log": log30[0], "_squares__log": log30[1], "_dd": c / full(60, "close", F.col("_peak")) - 1,
+        "avg_volume_20d_raw": full(20, "volume", F.col("_volume20") / 20), "price_vs_ma50": c / full(50, "close", F.col("_fifty") / 50) - 1, "dist_from_20d_high": c / full(20, "high", F.col("_high20")) - 1,
+    })
+    df = df.withColumn("bollinger_pct", F.coalesce(safe(c - (full(20, "close", F.col("_twenty") / 20) - 2 * F.col("_sd20")), 4 * F.col("_sd20")), F.lit(0.5)))
+    df = df.withColumns({
+        **streaks("realized_vol_20d", "_dd"), **moments("realized_vol_20d", 10), **behind("_ret", 20, 40), **lags("_ret", 60, 61, 62), **behind("_log", 30),
+        "_200": summed("_fifty", 50, 4), "_top252": F.greatest(spread(F.greatest, "_top30", 30, 8), lag("_top30", 222)), "_low252": F.least(spread(F.least, "_low30", 30, 8), lag("_low30", 222)),
+        "_obv20": summed("_obv5", 5, 4), "_dd10": F.min("_dd").over(rows(10)),
+    })
+    ret63 = joined(part(20, "_ret"), part(20, "_ret", 20), part(20, "_ret", 40), *[(1, F.col(f"_ret_{n}"), None) for n in (60, 61, 62)])
+    log60 = joined(part(30, "_log"), part(30, "_log", 30))
+    df = df.withColumns({
+        "price_vs_ma200": c / full(200, "close", F.col("_200") / 200) - 1,
+        "dist_from_52w_high": c / full(252, "close", F.col("_top252")) - 1, "dist_from_52w_low": c / full(252, "close", F.col("_low252")) - 1,
+        "volume_trend": F.coalesce(safe(full(5, "volume", F.col("_volume5") / 5), F.col("avg_volume_20d_raw")), F.lit(1.0)),
         "avg_volume_20d": F.coalesce(safe(F.col("avg_volume_20d_raw"), F.col("_expanding")), F.when(F.col("_expanding") == 0, F.lit(1.0))),
         "rel_volume_ratio": F.coalesce(safe(v, F.col("avg_volume_20d_raw")), F.lit(1.0)),
-        "overnight_return_5d": sliding(5, F.sum("_overnight"), "_overnight"), "intraday_return_5d": sliding(5, F.sum("_intraday"), "_intraday"),
-        "vol_ratio_10_60": F.coalesce(safe(sliding(10, F.stddev_samp("_log"), "_log"), sliding(60, F.stddev_samp("_log"), "_log")), F.lit(1.0)),
-        "realized_vol_20d": sliding(20, F.stddev_samp("_ret"), "_ret") * F.sqrt(F.lit(YEAR)), "realized_vol_63d": sliding(63, F.stddev_samp("_ret"), "_ret") * F.sqrt(F.lit(YEAR)),
-        "bollinger_pct": F.coalesce(safe(c - (F.col("_mid") - 2 * F.col("_sd")), 4 * F.col("_sd")), F.lit(0.5)),
-        "price_accel": F.col("momentum_5d") - F.col("momentum_20d"),
-        "volume_price_div": F.signum(F.col("volume_trend") - 1) * F.signum("momentum_5d"),
-        "cmf_20_ratio": safe(sliding(20, F.sum("_mf"), "_mf"), sliding(20, F.sum("volume"), "volume")),
-        "_obv": F.sum(F.coalesce(F.signum("_delta"), F.lit(0.0)) * v).over(by_ticker()), "_dd": c / F.col("_peak") - 1,
-    })
-    df = df.withColumns({"_dd20": F.min("_dd").over(rows(20)), "_ddfull": known(60, "_dd"), "_obv5": sliding(5, F.avg("_obv"), "_obv"), "_obv20": sliding(20, F.avg("_obv"), "_obv")})
-    return df.withColumns({
-        "vol_of_vol_30d": sliding(30, F.stddev_samp("realized_vol_20d"), "realized_vol_20d"),
-        "max_drawdown_60d": F.when(F.col("_ddfull"), spread(F.least, "_dd20", 20, 3)),
-        "obv_slope_10d": safe(F.col("_obv5") - F.col("_obv20"), F.col("avg_volume_20d_raw")),
+        "vol_ratio_10_60": F.coalesce(safe(F.col("_sd10"), deviation(60, "_log", log60[1])), F.lit(1.0)), "realized_vol_63d": deviation(63, "_ret", ret63[1]) * year,
+        "obv_slope_10d": safe(full(5, "_obv", F.col("_obv5") / 5) - full(20, "_obv", F.col("_obv20") / 20), F.col("avg_volume_20d_raw")),
     })
+    df = df.withColumns({**behind("realized_vol_20d", 10, 20), "max_drawdown_60d": full(60, "_dd", spread(F.least, "_dd10", 10, 6))})
+    vol30 = joined(part(10, "realized_vol_20d"), part(10, "realized_vol_20d", 10), part(10, "realized_vol_20d", 20))
+    return df.withColumns({"cmf_20_ratio": safe(full(20, "_mf", F.col("_mf20")), full(20, "volume", F.col("_volume20"))), "vol_of_vol_30d": deviation(30, "realized_vol_20d", vol30[1]), "volume_price_div": F.signum(F.col("volume_trend") - 1) * F.signum("momentum_5d")})
 
 
 def oscillators(df: DataFrame) -> DataFrame:

@@ -117,3 +117,66 @@ def test_a_hot_group_is_joined_in_parts(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sorted(r["id"] for r in got) == list(range(2000)) and all(r["top"] == tops.get(r["g"]) for r in got)
     assert len({r["p"] for r in got if r["g"] == "hot"}) > 1 and len({r["p"] for r in got if r["g"] == "b"}) > 1
+
+
+def test_price_features_slide_over_ten_rows_at_most(spark):
+    """A frame of 63 rows was gone through anew at each row; and code of over 8,000 bytes would not be compiled."""
+    import re
+
+    from barloom.plans import catalog
+
+    df = catalog.queries()["price_features"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert max(int(n) for n in re.findall(r"specifiedwindowframe\(RowFrame, -(\d+), currentrow", plan)) == 9
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    on = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        code = catalog.queries()["price_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", on)
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
+
+
+def test_pieced_windows_against_slices(spark):
+    """Deviations, means and extremes put together from pieces, over random prices, over one price (no last bit of a deviation may stay) and around missing ones."""
+    r = random.Random(7)
+    close = {"random": [100 * math.exp(r.gauss(0, 0.3)) for _ in range(300)], "one": [0.1] * 300, "gap": [None if d == 120 else 50 + 0.1 * (d % 3) for d in range(300)]}
+    rows = [(t, d, x, x, x, x, 5.0 + d % 4, x) for t, xs in close.items() for d, x in enumerate(xs)]
+    b = spark.createDataFrame(rows, "ticker string, date int, open double, high double, low double, close double, volume double, vwap double")
+    got = {(x["ticker"], x["date"]): x for x in technicals.price_features(b).collect()}
+    for t, xs in close.items():
+        ret = [None] + [None if None in (x, y) else y / x - 1 for x, y in zip(xs, xs[1:])]
+        log = [None] + [None if None in (x, y) else math.log(y / x) for x, y in zip(xs, xs[1:])]
+        window = lambda of, d, n: of[d - n + 1 : d + 1] if d >= n - 1 and None not in of[d - n + 1 : d + 1] else None
+        same = lambda x, y: (x is None) == (y is None) and (x is None or x == pytest.approx(y, rel=1e-9, abs=1e-14))
+        sd = lambda w, k=1.0: None if w is None else statistics.stdev(w) * k
+        vols = [sd(window(ret, d, 20), math.sqrt(252)) for d in range(300)]
+        for d in range(300):
+            x, c = got[t, d], xs[d]
+            assert same(x["realized_vol_20d"], vols[d]) and same(x["realized_vol_63d"], sd(window(ret, d, 63), math.sqrt(252))) and same(x["vol_of_vol_30d"], sd(window(vols, d, 30)))
+            s10, s60 = sd(window(log, d, 10)), sd(window(log, d, 60))
+            assert same(x["vol_ratio_10_60"], s10 / s60 if s10 is not None and s60 else 1.0)
+            for n, k in ((50, "price_vs_ma50"), (200, "price_vs_ma200")):
+                assert same(x[k], c / statistics.fmean(window(xs, d, n)) - 1 if window(xs, d, n) else None)
+            for f, k in ((max, "dist_from_52w_high"), (min, "dist_from_52w_low")):
+                assert same(x[k], c / f(window(xs, d, 252)) - 1 if window(xs, d, 252) else None)
+    assert got["one", 299]["bollinger_pct"] == 0.5 and got["one", 299]["realized_vol_63d"] == 0 == got["one", 299]["vol_of_vol_30d"]
+
+
+def test_doubles_are_rounded_as_duckdb_rounds(spark):
+    """Whole multiples with halves away from zero; the last digit of large values differed."""
+    import duckdb
+
+    from barloom.plans import registry
+
+    r = random.Random(3)
+    xs = [None, INF, -INF, NAN, 0.0, -0.0, 1e308, -1e305, 5e-324, 1e10 + 0.1234567, 2610062970.0373473, -842919142.0930204] + [r.gauss(0, 10.0 ** r.randrange(-6, 17)) for _ in range(20000)]
+    got = registry.rounded(spark.createDataFrame(list(enumerate(xs)), "i int, x double").select("i", "x", F.lit("kept").alias("note"), F.col("x").alias("a.b"))).collect()
+    con = duckdb.connect()
+    for t in got:
+        x = xs[t["i"]]
+        want = None if x is None else con.execute("SELECT round(?::DOUBLE + ?::DOUBLE, 6) + 0.0", [x, registry.NUDGE]).fetchone()[0] if t["i"] < 3000 else t["x"]
+        assert repr(t["x"]) == repr(want) and repr(t["a.b"]) == repr(t["x"]) and t["note"] == "kept"
+    whole = registry.rounded(spark.range(2).select("id"))
+    assert whole.columns == ["id"] and whole.count() == 2
